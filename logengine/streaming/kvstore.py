@@ -1,0 +1,135 @@
+"""A key/value sink as a Python data source (``format("kvfiles")``).
+
+This is the shape of a network key/value or time-series target: rows are
+written by executors, one connection-like handle per task
+(``DataSourceStreamWriter.write`` runs per partition), and the driver
+commits or aborts the micro-batch. Here the "store" is a directory of
+JSON-lines files on a shared POSIX mount; a real target would open its
+client in ``write``. Per-row Python only touches the (aggregated) result
+rows being written, never the raw stream.
+
+Layout: ``<path>/batch=<id>/part-<partition>.jsonl``; a replayed batch
+replaces its folder (idempotent). :func:`read_kv` gives the last value per
+key across batches.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import shutil
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceStreamWriter,
+    DataSourceWriter,
+    WriterCommitMessage,
+)
+
+
+@dataclass
+class StagedFile(WriterCommitMessage):
+    staged: str
+    partition: int
+
+
+def _write_partition(path: str, rows) -> StagedFile:
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    pid = ctx.partitionId() if ctx else 0
+    stage = os.path.join(path, "_staging", uuid.uuid4().hex)
+    os.makedirs(stage, exist_ok=True)
+    f = os.path.join(stage, f"part-{pid:05d}.jsonl")
+    with open(f, "w", encoding="utf-8") as out:
+        for r in rows:
+            d = r.asDict()
+            out.write(json.dumps({"key": d.get("key"), "value": d.get("value")}) + "\n")
+    return StagedFile(staged=f, partition=pid)
+
+
+def _commit(path: str, messages, batch_id: int) -> None:
+    final = os.path.join(path, f"batch={batch_id:020d}")
+    tmp = final + ".tmp-" + uuid.uuid4().hex
+    os.makedirs(tmp, exist_ok=True)
+    for m in messages:
+        if m is not None:
+            shutil.move(m.staged, os.path.join(tmp, os.path.basename(m.staged)))
+    if os.path.exists(final):
+        shutil.rmtree(final)
+    os.rename(tmp, final)
+
+
+def _abort(messages) -> None:
+    for m in messages:
+        if m is not None and os.path.exists(m.staged):
+            os.remove(m.staged)
+
+
+class _KVStreamWriter(DataSourceStreamWriter):
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, iterator):
+        return _write_partition(self.path, iterator)
+
+    def commit(self, messages, batchId):
+        _commit(self.path, messages, batchId)
+
+    def abort(self, messages, batchId):
+        _abort(messages)
+
+
+class _KVBatchWriter(DataSourceWriter):
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, iterator):
+        return _write_partition(self.path, iterator)
+
+    def commit(self, messages):
+        existing = [d for d in os.listdir(self.path) if d.startswith("batch=")] if os.path.isdir(self.path) else []
+        _commit(self.path, messages, len(existing))
+
+    def abort(self, messages):
+        _abort(messages)
+
+
+class KVFilesDataSource(DataSource):
+    """``df.writeStream.format("kvfiles").option("path", dir)``; rows need
+    ``key`` and ``value`` string columns."""
+
+    @classmethod
+    def name(cls):
+        return "kvfiles"
+
+    def schema(self):
+        return "key string, value string"
+
+    def _path(self) -> str:
+        p = self.options.get("path")
+        if not p:
+            raise ValueError("kvfiles needs option 'path'")
+        return p
+
+    def streamWriter(self, schema, overwrite):
+        return _KVStreamWriter(self._path())
+
+    def writer(self, schema, overwrite):
+        return _KVBatchWriter(self._path())
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(KVFilesDataSource)
+
+
+def read_kv(spark: SparkSession, path: str) -> DataFrame:
+    """Last value per key (latest batch wins)."""
+    df = spark.read.json(os.path.join(path, "batch=*"), schema="key string, value string").withColumn(
+        "_b", F.regexp_extract(F.input_file_name(), r"batch=(\d+)", 1).cast("long")
+    )
+    return df.groupBy("key").agg(F.max_by("value", "_b").alias("value"))
