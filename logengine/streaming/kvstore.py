@@ -85,23 +85,28 @@ class _KVStreamWriter(DataSourceStreamWriter):
 
 
 class _KVBatchWriter(DataSourceWriter):
-    def __init__(self, path: str):
+    def __init__(self, path: str, batch_id: int | None):
         self.path = path
+        self.batch_id = batch_id
 
     def write(self, iterator):
         return _write_partition(self.path, iterator)
 
     def commit(self, messages):
-        existing = [d for d in os.listdir(self.path) if d.startswith("batch=")] if os.path.isdir(self.path) else []
-        _commit(self.path, messages, len(existing))
+        bid = self.batch_id
+        if bid is None:
+            existing = [d for d in os.listdir(self.path) if d.startswith("batch=")] if os.path.isdir(self.path) else []
+            bid = len(existing)
+        _commit(self.path, messages, bid)
 
     def abort(self, messages):
         _abort(messages)
 
 
 class KVFilesDataSource(DataSource):
-    """``df.writeStream.format("kvfiles").option("path", dir)``; rows need
-    ``key`` and ``value`` string columns."""
+    """``df.writeStream.format("kvfiles").option("path", dir)`` (append or
+    complete mode) or ``df.write.format("kvfiles")``; rows need ``key`` and
+    ``value`` string columns."""
 
     @classmethod
     def name(cls):
@@ -120,13 +125,26 @@ class KVFilesDataSource(DataSource):
         return _KVStreamWriter(self._path())
 
     def writer(self, schema, overwrite):
-        return _KVBatchWriter(self._path())
+        bid = self.options.get("batch_id")
+        return _KVBatchWriter(self._path(), int(bid) if bid is not None else None)
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(KVFilesDataSource)
 
 
+def kv_batch_sink(path: str):
+    """``foreachBatch`` body for update-mode queries (Python stream writers
+    take append / complete only): the batch writer, keyed by ``batch_id``
+    so a replayed micro-batch replaces its own folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.select("key", "value").write.format(KVFilesDataSource.name()).mode("append") \
+            .option("path", path).option("batch_id", str(batch_id)).save()
+
+    return write
+
+
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
     """Last value per key (latest batch wins)."""
     df = spark.read.json(os.path.join(path, "batch=*"), schema="key string, value string").withColumn(
