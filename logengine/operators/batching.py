@@ -37,13 +37,14 @@ def consistency(level: str | None) -> str:
 
 def assign_batches(lines: DataFrame, batch_size: int, salts: int = 64, id_col: str = "id",
                    salt: Column | None = None) -> DataFrame:
-    """Add ``salt`` and ``batch_no`` (0-based, per db / rp / salt, by id)."""
+    """Add ``salt`` and ``batch_no`` (0-based, per db / rp / salt, by id;
+    the line text breaks ties so the numbering is repeatable on retry)."""
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     if salts < 1:
         raise ValueError("salts must be at least 1")
     s = salt if salt is not None else F.pmod(F.col(id_col), F.lit(salts))
-    w = Window.partitionBy("db", "rp", "salt").orderBy(id_col)
+    w = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line")
     return lines.withColumn("salt", s.cast("int")).withColumn(
         "batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("int")
     )
