@@ -41,14 +41,26 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _has_any(c: Column, chars: str) -> Column:
+    out = None
+    for ch in chars:
+        t = c.contains(ch)
+        out = t if out is None else out | t
+    return out
+
+
 def escape_key(c: Column | str) -> Column:
-    """Backslash before each space, comma and ``=``."""
-    return F.regexp_replace(_c(c), "([ ,=])", "\\\\$1")
+    """Backslash before each space, comma and ``=``. The regex runs only
+    when a byte search finds one of them (most keys have none)."""
+    c = _c(c)
+    return F.when(_has_any(c, KEY_SPECIALS), F.regexp_replace(c, "([ ,=])", "\\\\$1")).otherwise(c)
 
 
 def escape_field_string(c: Column | str) -> Column:
-    """Backslash before each backslash and double quote (one pass)."""
-    return F.regexp_replace(_c(c), '([\\\\"])', "\\\\$1")
+    """Backslash before each backslash and double quote (one pass), with
+    the same byte-search fast path."""
+    c = _c(c)
+    return F.when(_has_any(c, FIELD_SPECIALS), F.regexp_replace(c, '([\\\\"])', "\\\\$1")).otherwise(c)
 
 
 def quoted_string(c: Column | str) -> Column:
@@ -105,16 +117,27 @@ def tags_text_from_columns(tags: Mapping[str, Column | str]) -> Column:
     return F.concat_ws("", *parts) if parts else F.lit("")
 
 
+def tag_entries(tags: Column | str) -> Column:
+    """Sorted ``(key, value)`` entries of a tag map, empty keys / values
+    dropped: a groupable canonical form of the tag set."""
+    return F.array_sort(
+        F.filter(F.map_entries(_c(tags)), lambda e: (e["key"] != F.lit("")) & (e["value"] != F.lit("")) & e["value"].isNotNull())
+    )
+
+
+def render_tag_entries(entries: Column, sep_first: bool = True) -> Column:
+    """``,k=v,k=v`` (or ``k=v,k=v`` with ``sep_first=False``), escaped."""
+    pairs = F.transform(entries, lambda e: F.concat(escape_key(e["key"]), F.lit("="), escape_key(e["value"])))
+    joined = F.array_join(pairs, ",")
+    if not sep_first:
+        return joined
+    return F.when(F.size(entries) > 0, F.concat(F.lit(","), joined)).otherwise(F.lit(""))
+
+
 def tags_text_from_map(tags: Column | str) -> Column:
     """Same for a ``MAP<STRING,STRING>`` column: sort entries by key, drop
     empty keys / values, escape, join."""
-    entries = F.array_sort(
-        F.filter(F.map_entries(_c(tags)), lambda e: (e["key"] != F.lit("")) & (e["value"] != F.lit("")) & e["value"].isNotNull())
-    )
-    return F.array_join(
-        F.transform(entries, lambda e: F.concat(F.lit(","), escape_key(e["key"]), F.lit("="), escape_key(e["value"]))),
-        "",
-    )
+    return render_tag_entries(tag_entries(tags))
 
 
 def merge_batch_tags(tags: Column | str, batch_tags: Mapping[str, str]) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logengine.functions.lineproto import tags_text_from_map
+from logengine.functions.lineproto import render_tag_entries, tag_entries
 from logengine.functions.time import iso_to_millis, scale_epoch
 from logengine.operators.numbering import ordinal_within
 
@@ -67,21 +67,25 @@ def select_measurement(points: DataFrame, measurement: str) -> DataFrame:
 
 def with_series(points: DataFrame) -> DataFrame:
     """Add ``series``: canonical text of the tag set (sorted ``k=v``)."""
-    return points.withColumn("series", F.regexp_replace(tags_text_from_map("tags"), "^,", ""))
+    return points.withColumn("series", render_tag_entries(tag_entries("tags"), sep_first=False))
 
 
 def group_by_all_tags(points: DataFrame, measurement: str) -> DataFrame:
     """``SELECT * FROM m GROUP BY *`` summarised: one row per distinct tag
-    set with its point count and time range (partial aggregate; a hot
-    series costs one row per task before the shuffle)."""
+    set with its point count and time range. Rows are grouped by the
+    sorted tag entries (partial aggregate; a hot series costs one row per
+    task before the shuffle) and the series text is rendered once per
+    group, not once per row."""
     return (
-        with_series(select_measurement(points, measurement))
-        .groupBy("measurement", "series")
+        select_measurement(points, measurement)
+        .groupBy("measurement", tag_entries("tags").alias("_k"))
         .agg(
             F.count(F.lit(1)).alias("n_points"),
             F.min("time_ns").alias("first_ns"),
             F.max("time_ns").alias("last_ns"),
         )
+        .select("measurement", render_tag_entries(F.col("_k"), sep_first=False).alias("series"),
+                "n_points", "first_ns", "last_ns")
     )
 
 
