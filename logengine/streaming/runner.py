@@ -98,6 +98,44 @@ def running_word_count_stream(rows: DataFrame) -> DataFrame:
     return agg.words(rows, "value").groupBy("word").agg(F.count(F.lit(1)).alias("total"))
 
 
+def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str = "0 seconds",
+                                  ts_col: str = "record_ts") -> DataFrame:
+    """Running total per word whose state expires once the stream's
+    event-time watermark passes ``ttl_ms`` after the word was last seen
+    (the reference keeps every key forever). Output mode ``update``: each
+    tick emits the words seen in it with their running total.
+
+    Stateful per-key logic Spark's built-in aggregate cannot express, so it
+    runs in ``applyInPandasWithState``: groups arrive as Arrow batches and
+    the count is ``len()`` per batch, never a per-row Python loop. Only the
+    word and its time cross to Python. The timeout is event-time
+    (on ``ts_col`` with ``watermark``), so expiry is deterministic and an
+    ``availableNow`` run terminates."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    if ttl_ms <= 0:
+        raise ValueError("ttl_ms must be positive")
+
+    def update(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        total, last = state.get if state.exists else (0, 0)
+        for pdf in batches:
+            total += len(pdf)
+            last = max(last, int(pdf["ms"].max()))
+        state.update((total, last))
+        state.setTimeoutTimestamp(last + ttl_ms)
+        yield pd.DataFrame({"word": [key[0]], "total": [total]})
+
+    w = agg.words(rows, "value", keep=(ts_col,)).withWatermark(ts_col, watermark)
+    # the event-time column stays in the input: it carries the watermark
+    return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms")).groupBy("word").applyInPandasWithState(
+        update, "word string, total long", "total long, last_ms long", "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def key_count_stream(rows: DataFrame, ts_col: str = "record_ts", watermark: str | None = None) -> DataFrame:
     """Per-tick (tumbling 5 s) count per ``host_service_level``."""
     recs = _records(rows, ts_col, watermark, False)

@@ -19,6 +19,7 @@ from logengine.streaming.runner import (
     flagship_stream,
     foreach_tick,
     running_word_count_stream,
+    running_word_count_ttl_stream,
     run_to_end,
     sliding_counts_stream,
     start,
@@ -194,3 +195,35 @@ def test_kafka_record_normalisation(spark):
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     r = normalise_kafka(recs).first()
     assert r["value"].startswith("h1 svc") and r["off"] == (2 << 40) + 5
+
+
+def test_running_count_state_ttl(spark, scratch):
+    def run(tag, ttl_ms):
+        src, ck, out = (os.path.join(scratch, f"{d}{tag}") for d in ("src", "ck", "out"))
+
+        def tick(lines, at_s):
+            log_frame(spark, lines, start_ms=1_000_000 + at_s * 1000).coalesce(1).write.mode("append").parquet(src)
+            q = start(running_word_count_ttl_stream(read_log_stream(spark, "parquet", src), ttl_ms),
+                      StreamConfig(f"ttl_words{tag}", output_mode="update", available_now=True, checkpoint=ck),
+                      keyed_upsert_sink(out))
+            run_to_end(q, TIMEOUT)
+            return {r["word"]: r["total"] for r in read_keyed(spark, out, ["word"]).collect()}
+
+        return [tick(["a b"], 0), tick(["c"], 10), tick(["a a"], 20)]
+
+    short = run("s", 5_000)
+    assert short[0] == {"a": 1, "b": 1} and short[1]["c"] == 1
+    assert short[2]["a"] == 2      # a expired after 5 s of stream time, starts again
+    long = run("l", 3_600_000)
+    assert long[2]["a"] == 3       # kept: the total keeps growing
+
+
+def test_console_sink_runs(spark, scratch):
+    from logengine.streaming.sinks import console
+
+    src = os.path.join(scratch, "src")
+    log_frame(spark, ["h1 svc 2017-01-13 19:57:16,367 INFO x"]).write.parquet(src)
+    counts = sliding_counts_stream(read_log_stream(spark, "parquet", src))
+    q = console(counts, num_rows=10).outputMode("update").trigger(availableNow=True) \
+        .option("checkpointLocation", os.path.join(scratch, "ck")).start()
+    run_to_end(q, TIMEOUT)
