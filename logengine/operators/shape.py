@@ -68,13 +68,20 @@ def count_documents(counts: DataFrame) -> DataFrame:
     )
 
 
-def tick_snapshot(counts: DataFrame) -> DataFrame:
-    """``(key, value)``: per tick, key = tick text, value = JSON array of
-    ``{host_service_logtype, count}`` sorted by key (``[]`` when empty)."""
-    entry = F.struct(
-        series_key("hostName", "serviceName", "logType").alias(COUNT_TAG),
-        F.col("cnt").cast("string").alias(COUNT_FIELD),
+def tick_snapshot(counts: DataFrame, max_entries: int = 10000) -> DataFrame:
+    """``(key, part, value)``: per tick, key = tick text, value = JSON array
+    of ``{host_service_logtype, count}`` sorted by key (``[]`` when empty).
+
+    A tick with more than ``max_entries`` keys is cut into parts (part 0
+    holds the first ``max_entries`` keys in key order), so no single value
+    grows with the number of hosts."""
+    k = series_key("hostName", "serviceName", "logType")
+    entry = F.struct(k.alias(COUNT_TAG), F.col("cnt").cast("string").alias(COUNT_FIELD))
+    w = Window.partitionBy("tick").orderBy(k)
+    parted = counts.select(
+        "tick", entry.alias("_e"),
+        F.floor((F.row_number().over(w) - 1) / F.lit(max_entries)).cast("int").alias("part"),
     )
-    return counts.groupBy("tick").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("value")).select(
-        java_timestamp_text("tick").alias("key"), "value"
+    return parted.groupBy("tick", "part").agg(F.to_json(F.array_sort(F.collect_list("_e"))).alias("value")).select(
+        java_timestamp_text("tick").alias("key"), "part", "value"
     )

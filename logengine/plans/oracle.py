@@ -202,8 +202,9 @@ ORACLE_SQL: dict[str, str] = {
         "|| '\",\"logType\":\"' || logType || '\",\"count\":\"' || cnt || '\"}]' AS value FROM v"
     ),
     "tick_snapshot": (
-        f"{LOG}, {VARIANT} SELECT " + jts("tick") + " AS key, '[' || string_agg('{\"host_service_logtype\":\"' || "
-        f"{KEY} || '\",\"count\":\"' || cnt || '\"}}', ',' ORDER BY {KEY}) || ']' AS value FROM v GROUP BY tick"
+        f"{LOG}, {VARIANT}, vp AS (SELECT *, CAST((row_number() OVER (PARTITION BY tick ORDER BY {KEY}) - 1) // 10000 "
+        "AS INTEGER) AS part FROM v) SELECT " + jts("tick") + " AS key, part, '[' || string_agg('{\"host_service_logtype\":\"' || "
+        f"{KEY} || '\",\"count\":\"' || cnt || '\"}}', ',' ORDER BY {KEY}) || ']' AS value FROM vp GROUP BY tick, part"
     ),
     "millis_to_iso": f"WITH {LOGTOPIC} SELECT off, epoch_ms(record_ts) AS ms, strftime(record_ts, {ISO}) AS iso FROM logtopic",
     "iso_to_millis": (

@@ -36,35 +36,55 @@ def console(df: DataFrame, num_rows: int = 10, truncate: bool = False):
     return df.writeStream.format("console").option("numRows", num_rows).option("truncate", truncate)
 
 
+def write_line_protocol(lines: DataFrame, out_dir: str, database: str,
+                        retention_policy: str = DEFAULT_RETENTION_POLICY, consistency_level: str | None = None,
+                        batch_size: int = 5000, salts: int = 64, compression: str | None = None) -> None:
+    """Write any frame with a ``line`` column as payload files under
+    ``out_dir/db=/rp=/consistency=``: payloads of at most ``batch_size``
+    lines (ordered by a hash of the row, so repeatable), optional gzip.
+    Used per micro-batch by :func:`line_protocol_sink` and directly for
+    whole point tables."""
+    level = consistency(consistency_level)
+    keyed = lines.select(
+        F.lit(database).alias("db"),
+        F.lit(retention_policy).alias("rp"),
+        F.xxhash64(*[F.col(c) for c in lines.columns]).alias("id"),
+        "line",
+    )
+    payloads = write_batches(keyed, batch_size=batch_size, salts=salts).select(
+        "db", "rp", F.lit(level).alias("consistency"), "payload"
+    )
+    w = payloads.write.mode("overwrite").partitionBy("db", "rp", "consistency")
+    if compression:
+        w = w.option("compression", compression)
+    w.text(out_dir)
+
+
 def line_protocol_sink(path: str, database: str, retention_policy: str = DEFAULT_RETENTION_POLICY,
                        consistency_level: str | None = None, batch_size: int = 5000, salts: int = 64,
                        compression: str | None = None) -> BatchFn:
-    """``foreachBatch`` body writing ``(tick, line)`` rows as payload files.
+    """``foreachBatch`` body writing a micro-batch's lines as payload files.
 
     Each micro-batch is cut into payloads of at most ``batch_size`` lines
     (the count half of "flush at N points or every interval"; the
     interval is the trigger). ``compression="gzip"`` gzips payload files.
     """
-    level = consistency(consistency_level)
+    consistency(consistency_level)  # reject a bad level before the stream starts
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select(
-            F.lit(database).alias("db"),
-            F.lit(retention_policy).alias("rp"),
-            F.xxhash64("tick", "line").alias("id"),
-            "line",
-        )
-        payloads = write_batches(lines, batch_size=batch_size, salts=salts).select(
-            "db", "rp", F.lit(level).alias("consistency"), "payload"
-        )
-        w = payloads.write.mode("overwrite").partitionBy("db", "rp", "consistency")
-        if compression:
-            w = w.option("compression", compression)
-        w.text(_batch_dir(path, batch_id))
+        write_line_protocol(batch, _batch_dir(path, batch_id), database, retention_policy, consistency_level,
+                            batch_size, salts, compression)
 
     return write
 
 
+def points_sink(path: str, database: str, encode: Callable[[DataFrame], DataFrame], **kwargs) -> BatchFn:
+    """``foreachBatch`` body for point batches: ``encode`` turns the batch
+    into ``line`` rows (e.g. :func:`logengine.operators.points.encode_points`)."""
+    sink = line_protocol_sink(path, database, **kwargs)
+    return lambda batch, batch_id: sink(encode(batch).select("line"), batch_id)
+
+
 def keyed_upsert_sink(path: str) -> BatchFn:
     """``foreachBatch`` body for a keyed target: each batch's rows are
     stored under its ``batch_id``; :func:`read_keyed` resolves the last
@@ -95,11 +115,9 @@ def append_list_sink(path: str) -> BatchFn:
 
 
 def read_append_list(spark: SparkSession, path: str) -> DataFrame:
-    """``(key, values)``: each key's documents in tick order, as the list
-    a right-push would have built. A window re-emitted by a later batch
-    (update mode) keeps its last version."""
+    """``(key, tick, value)``: each key's documents, one row each, in the
+    order a right-push list would hold them (by tick). A window re-emitted
+    by a later batch (update mode) keeps its last version. Rows, not one
+    collected list per key: a key's history grows without bound."""
     df = spark.read.parquet(path)
-    last = df.groupBy("key", "tick").agg(F.max_by("value", F.col(BATCH_COL)).alias("value"))
-    return last.groupBy("key").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("tick", "value"))), lambda x: x["value"]).alias("values")
-    )
+    return df.groupBy("key", "tick").agg(F.max_by("value", F.col(BATCH_COL)).alias("value"))

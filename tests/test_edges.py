@@ -85,7 +85,7 @@ def test_snapshot_and_documents_json(spark):
                                 (dt.datetime(2017, 1, 13, 19, 57, 20), "a", "s", "WARN", 1)],
                                "tick timestamp, hostName string, serviceName string, logType string, cnt long")
     snap = shape.tick_snapshot(df).first()
-    assert snap["key"] == "2017-01-13 19:57:20.0"
+    assert snap["key"] == "2017-01-13 19:57:20.0" and snap["part"] == 0
     assert snap["value"] == ('[{"host_service_logtype":"a_s_WARN","count":"1"},'
                              '{"host_service_logtype":"h_s_INFO","count":"3"}]')
     doc = {r["key"]: r["value"] for r in shape.count_documents(df).collect()}
@@ -93,6 +93,15 @@ def test_snapshot_and_documents_json(spark):
                                '"logType":"INFO","count":"3"}]')
 
 
+def test_snapshot_parts(spark):
+    df = spark.range(25).select(F.lit(dt.datetime(2017, 1, 13, 19, 57, 20)).cast("timestamp").alias("tick"),
+                                F.format_string("h%02d", "id").alias("hostName"), F.lit("s").alias("serviceName"),
+                                F.lit("INFO").alias("logType"), F.lit(1).cast("long").alias("cnt"))
+    parts = {r["part"]: r["value"] for r in shape.tick_snapshot(df, max_entries=10).collect()}
+    assert sorted(parts) == [0, 1, 2]
+    assert parts[0].startswith('[{"host_service_logtype":"h00_s_INFO"') and parts[2].count("host_service_logtype") == 5
+
+
 def test_java_timestamp_text(spark):
     df = spark.createDataFrame([(dt.datetime(2017, 1, 13, 19, 57, 16, 370000),), (dt.datetime(2017, 1, 13, 19, 57, 16),),
                                 (dt.datetime(2017, 1, 13, 19, 57, 16, 367000),)], "t timestamp")
