@@ -19,6 +19,7 @@ import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -148,15 +149,27 @@ def key_count_stream(rows: DataFrame, ts_col: str = "record_ts", watermark: str
 
 
 def foreach_tick(fn: Callable[[DataFrame, int], None],
-                 on_empty: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
+                 on_empty: Callable[[int], None] | None = None,
+                 persist: bool = True) -> Callable[[DataFrame, int], None]:
     """Wrap a per-tick body with the emptiness guard: an empty micro-batch
-    calls ``on_empty`` (default: print the reference's message)."""
+    calls ``on_empty`` (default: print the reference's message).
+
+    The guard and the body are two actions on the same micro-batch, and
+    each would re-run the batch's plan (state store read included), so the
+    batch is persisted (memory, spilling to disk) for the tick and released
+    after it."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            (on_empty or (lambda _b: print(EMPTY_TICK_MESSAGE)))(batch_id)
-            return
-        fn(batch, batch_id)
+        if persist:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                (on_empty or (lambda _b: print(EMPTY_TICK_MESSAGE)))(batch_id)
+                return
+            fn(batch, batch_id)
+        finally:
+            if persist:
+                batch.unpersist()
 
     return body
 
