@@ -86,8 +86,9 @@ def millis_to_iso(ms: Column | str) -> Column:
 
 
 def iso_to_millis(text: Column | str) -> Column:
-    """ISO text with a ``Z`` zone → epoch ms (true fraction; any digit count)."""
-    return F.unix_millis(F.to_timestamp(_c(text)))
+    """ISO text with a ``Z`` zone → epoch ms (true fraction; any digit count);
+    unparsable text gives null instead of failing the job."""
+    return F.unix_millis(F.try_to_timestamp(_c(text)))
 
 
 def java_timestamp_text(ts: Column | str) -> Column:

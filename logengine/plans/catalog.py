@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logengine.functions import lineproto as lp
-from logengine.functions.text import LINE_TS_FORMAT, series_key
+from logengine.functions.text import series_key
 from logengine.functions.time import java_timestamp_text, millis_to_iso, iso_to_millis, scale_epoch, to_nanos
 from logengine.operators import aggregate as agg
 from logengine.operators import batching, parse, points, series, shape, windows
@@ -324,8 +324,8 @@ def q_series_rows(spark, sf):
         F.col("tags")["o_orderstatus"].alias("o_orderstatus"),
         "row_idx",
         F.col("cells")["time"].alias("time"),
-        F.col("cells")["o_custkey"].cast("long").alias("o_custkey"),
-        F.col("cells")["o_totalprice"].cast("double").alias("o_totalprice"),
+        F.col("cells")["o_custkey"].try_cast("long").alias("o_custkey"),
+        F.col("cells")["o_totalprice"].try_cast("double").alias("o_totalprice"),
         F.col("cells")["o_orderpriority"].alias("o_orderpriority"),
     )
 
