@@ -8,8 +8,9 @@ can collide).
 Scale: the numbering window is partitioned by ``(db, rp, salt)`` with
 ``salt = pmod(id, salts)``, so one hot database is spread over ``salts``
 window partitions instead of landing in one task; choose ``salts`` so
-rows / (dbs × salts) fits a task (e.g. 4096 at 100 TB). Each payload
-then holds at most ``batch_size`` lines, so no group is unbounded.
+rows / (dbs × salts) fits a task, or ``salts="auto"`` to size the salt
+count per database from its row count. Each payload then holds at most
+``batch_size`` lines, so no group is unbounded.
 """
 
 from __future__ import annotations
@@ -35,22 +36,50 @@ def consistency(level: str | None) -> str:
     return lv
 
 
-def assign_batches(lines: DataFrame, batch_size: int, salts: int = 64, id_col: str = "id",
-                   salt: Column | None = None) -> DataFrame:
+# Largest per-database table broadcast for ``salts="auto"`` (rows; one row
+# per (db, rp) pair). Above it the small table is shuffle-joined instead.
+AUTO_SALT_BROADCAST_ROWS = 100_000
+
+
+def _auto_salts(lines: DataFrame, rows_per_task: int) -> DataFrame:
+    """Join each line with a salt count sized to its database: a database
+    holding a third of all points gets thousands of salts, a small one gets
+    one. The per-(db, rp) counts are one partial aggregate; the table has
+    one row per database and is broadcast only under a checked size."""
+    per_db = lines.groupBy("db", "rp").agg(F.count(F.lit(1)).alias("_n")).select(
+        "db", "rp", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("long").alias("_salts")
+    )
+    n_db = per_db.count()  # one scalar reaches the driver
+    side = F.broadcast(per_db) if n_db <= AUTO_SALT_BROADCAST_ROWS else per_db
+    return lines.join(side, ["db", "rp"], "inner")
+
+
+def assign_batches(lines: DataFrame, batch_size: int, salts: int | str = 64, id_col: str = "id",
+                   salt: Column | None = None, rows_per_task: int = 2_000_000) -> DataFrame:
     """Add ``salt`` and ``batch_no`` (0-based, per db / rp / salt, by id;
-    the line text breaks ties so the numbering is repeatable on retry)."""
+    the line text breaks ties so the numbering is repeatable on retry).
+
+    ``salts`` is a fixed count, or ``"auto"`` to size it per database so a
+    window partition holds about ``rows_per_task`` lines."""
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    if salts < 1:
-        raise ValueError("salts must be at least 1")
-    s = salt if salt is not None else F.pmod(F.col(id_col), F.lit(salts))
+    if salts == "auto":
+        if rows_per_task < 1:
+            raise ValueError("rows_per_task must be at least 1")
+        lines = _auto_salts(lines, rows_per_task)
+        s = salt if salt is not None else F.pmod(F.col(id_col), F.col("_salts"))
+    else:
+        if not isinstance(salts, int) or salts < 1:
+            raise ValueError("salts must be a positive integer or 'auto'")
+        s = salt if salt is not None else F.pmod(F.col(id_col), F.lit(salts))
     w = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line")
-    return lines.withColumn("salt", s.cast("int")).withColumn(
+    out = lines.withColumn("salt", s.cast("int")).withColumn(
         "batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("int")
     )
+    return out.drop("_salts") if salts == "auto" else out
 
 
-def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int = 64, id_col: str = "id") -> DataFrame:
+def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id") -> DataFrame:
     """``(db, rp, salt, batch_no, n_points, n_bytes, payload)`` from
     ``(db, rp, id, line)``. Lines keep id order inside a payload."""
     b = assign_batches(lines, batch_size, salts, id_col)
@@ -64,7 +93,7 @@ def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int = 64, id_
     )
 
 
-def oversize_batches(lines: DataFrame, batch_size: int = 5000, salts: int = 64, id_col: str = "id",
+def oversize_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id",
                      limit: int = DATAGRAM_LIMIT) -> DataFrame:
     """``(db, rp, salt, batch_no, n_points, n_bytes, oversize)`` without
     building payloads: bytes are summed per batch (partial aggregate)."""

@@ -275,3 +275,20 @@ def test_ordinal_within_matches_row_number_under_skew(spark):
     ref = df.withColumn("ordinal", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")) - 1)
     assert got.select("g", "id", "ordinal").exceptAll(ref.select("g", "id", "ordinal")).count() == 0
     assert got.count() == 20000
+
+
+def test_auto_salts_split_hot_database(spark):
+    # one database holds 90% of the points
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.lit("cold")).alias("db"),
+        F.lit("autogen").alias("rp"), F.col("id"), F.concat(F.lit("m v="), F.col("id").cast("string"), F.lit("i")).alias("line"))
+    b = write_batches(df, batch_size=1000, salts="auto")
+    from logengine.operators.batching import assign_batches
+    a = assign_batches(df, 1000, salts="auto", rows_per_task=5000)
+    per_db = {r["db"]: r["n"] for r in a.groupBy("db").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert per_db["hot"] == 6 and per_db["cold"] == 1
+    assert b.agg(F.sum("n_points")).first()[0] == 30000
+    assert b.agg(F.max("n_points")).first()[0] <= 1000
+    import pytest
+    with pytest.raises(ValueError):
+        assign_batches(df, 10, salts=0)
