@@ -174,6 +174,18 @@ def foreach_tick(fn: Callable[[DataFrame, int], None],
     return body
 
 
+def sql_tick(statement: str, sink: Callable[[DataFrame, int], None], view: str = "cdhrolelogs") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that registers the micro-batch as ``view`` and
+    hands ``spark.sql(statement)`` to ``sink`` — the per-tick SQL form,
+    with the result written from executors (no collect)."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        batch.createOrReplaceTempView(view)
+        sink(batch.sparkSession.sql(statement), batch_id)
+
+    return body
+
+
 def start(df: DataFrame, cfg: StreamConfig, batch_fn: Callable[[DataFrame, int], None] | None = None,
           fmt: str | None = None, options: dict[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query with a ``foreachBatch`` body or a sink format."""

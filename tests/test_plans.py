@@ -65,3 +65,16 @@ def test_word_count_partial_aggregate(spark):
     p = _formatted(se.queries()["word_count"](spark, SF_SMALL))
     assert "partial_count" in p
     assert "ReadSchema: struct<text:string>" in p
+
+
+def test_select_measurement_prunes_other_tables(spark):
+    p = _formatted(se.queries()["select_measurement"](spark, SF_SMALL))
+    assert _nodes(p, "Scan parquet") == 1
+    assert "orders.parquet" in p and "lineitem.parquet" not in p
+
+
+def test_series_rows_no_shuffle_after_documents(spark):
+    # reading documents is per row (explode / zip); the only exchanges are
+    # the two that build the documents from orders
+    p = _formatted(se.queries()["series_rows"](spark, SF_SMALL))
+    assert _nodes(p, "Exchange") == 2

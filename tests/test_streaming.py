@@ -22,6 +22,7 @@ from logengine.streaming.runner import (
     running_word_count_ttl_stream,
     run_to_end,
     sliding_counts_stream,
+    sql_tick,
     start,
 )
 from logengine.streaming.sinks import (
@@ -246,3 +247,18 @@ def test_write_points_table_payloads(spark, scratch):
         line_protocol_sink(out, "db", consistency_level="sometimes")
     with pytest.raises(ValueError):
         write_line_protocol(lines, out, "db", batch_size=0)
+
+
+def test_sql_per_tick(spark, scratch):
+    from logengine.plans.sql import LEVEL_COUNT_SQL
+
+    rows = logtopic(spark, SF_SMALL)
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    _write_chunks(spark, rows, src, 2)
+    recs = parse.parse_log(read_log_stream(spark, "parquet", src))
+    q = start(recs, StreamConfig("sql_tick", output_mode="append", available_now=True,
+                                 checkpoint=os.path.join(scratch, "ck")),
+              foreach_tick(sql_tick(LEVEL_COUNT_SQL, keyed_upsert_sink(out))))
+    run_to_end(q, TIMEOUT)
+    got = read_keyed(spark, out, agg.LEVEL_KEYS)
+    assert _same(got, agg.level_count(parse.parse_log(rows)))
