@@ -11,8 +11,10 @@ it yields the exact ordinal. The offset table has one row per
 (group, partition) pair; AQE broadcasts it only when its measured size is
 under the broadcast threshold, otherwise it is a shuffle join.
 
-The ordering must be total (add a unique tie-breaker) for the ordinals
-to be repeatable after a task retry.
+The numbered, range-partitioned frame is checkpointed once (reliable
+checkpoint into ``spark.checkpoint.dir``) and both the rows and the
+per-partition counts are read from it. The ordering must be total (add a
+unique tie-breaker) for the ordinals to be well defined.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logengine.session import checkpoint_dir
+
 
 def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    num_partitions: int | None = None, out_col: str = "ordinal") -> DataFrame:
@@ -34,6 +38,14 @@ def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_idx", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
+    # The range bounds come from a sample seeded by the RDD id, so the two
+    # uses below (rows, and per-partition counts) would each draw their
+    # own bounds unless they share one exchange; column pruning makes their
+    # plans differ. Materialise the numbered frame once (reliable
+    # checkpoint into the cluster's spark.checkpoint.dir) so both read the
+    # same partitions; this also cuts the lineage for retries.
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(*g, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))

@@ -89,17 +89,23 @@ def group_by_all_tags(points: DataFrame, measurement: str) -> DataFrame:
     )
 
 
-def chunked_result(points: DataFrame, measurement: str, chunk_size: int,
+def chunked_result(points: DataFrame, measurement: str, chunk_size: int, group_by_tags: bool = False,
                    tie_breakers: Sequence[str] = ("point_id",)) -> DataFrame:
-    """Result rows cut into chunks of ``chunk_size`` per series, in time
-    order: 3 rows with size 2 give chunk 0 (2 rows) and chunk 1 (1 row).
-    Ordinals come from :func:`ordinal_within`, so a hot series is split
-    over many tasks instead of sorted in one."""
+    """Result rows cut into chunks of ``chunk_size`` in time order: 3 rows
+    with size 2 give chunk 0 (2 rows) and chunk 1 (1 row).
+
+    ``SELECT * FROM m`` (default) is one series holding every point of the
+    measurement, i.e. one group as hot as the measurement itself;
+    ``group_by_tags=True`` is ``GROUP BY *`` and chunks each tag set on its
+    own. Ordinals come from :func:`ordinal_within`, so even the single
+    whole-measurement group is split over many tasks instead of sorted in
+    one."""
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     s = with_series(select_measurement(points, measurement))
-    o = ordinal_within(s, ["series"], ["time_ns", *tie_breakers], out_col="row_in_series")
-    return o.withColumn("chunk", F.floor(F.col("row_in_series") / F.lit(chunk_size)).cast("long"))
+    group = ["series"] if group_by_tags else ["measurement"]
+    o = ordinal_within(s, group, ["time_ns", *tie_breakers], out_col="row_idx")
+    return o.withColumn("chunk", F.floor(F.col("row_idx") / F.lit(chunk_size)).cast("long"))
 
 
 def result_epoch(rows: DataFrame, time_col: str, unit: str) -> DataFrame:

@@ -341,7 +341,7 @@ def q_group_by_all_tags(spark, sf):
 
 def q_chunked_result(spark, sf):
     c = series.chunked_result(points_table(spark, sf), "orders", CHUNK_SIZE)
-    return c.select("point_id", "series", "row_in_series", "chunk")
+    return c.select("point_id", "series", "row_idx", "chunk")
 
 
 def q_result_epoch(spark, sf):

@@ -271,8 +271,8 @@ ORACLE_SQL: dict[str, str] = {
     "chunked_result": (
         "WITH p AS (SELECT o_orderkey AS point_id, 'o_orderpriority=' || " + esc("o_orderpriority") + " || ',o_orderstatus=' || "
         + esc("o_orderstatus") + " AS series, epoch_ns(o_orderdate) AS time_ns FROM orders) "
-        "SELECT point_id, series, row_number() OVER (PARTITION BY series ORDER BY time_ns, point_id) - 1 AS row_in_series, "
-        "(row_number() OVER (PARTITION BY series ORDER BY time_ns, point_id) - 1) // 1000 AS chunk FROM p"
+        "SELECT point_id, series, row_number() OVER (ORDER BY time_ns, point_id) - 1 AS row_idx, "
+        "(row_number() OVER (ORDER BY time_ns, point_id) - 1) // 1000 AS chunk FROM p"
     ),
     "result_epoch": (
         f"WITH {ORDER_SERIES} SELECT doc_id, series_idx, row_idx, epoch_ms(o_orderdate) // 1000 AS epoch_s, "

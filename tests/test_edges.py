@@ -190,12 +190,16 @@ def test_oversize_payload(spark):
 
 
 def test_chunks_two_then_one(spark):
+    # SELECT * FROM disk with chunk size 2: three points (tags a, b, c) → 2 then 1
     pts = spark.createDataFrame(
-        [("disk", i, {"atag": "a"}, 1000 + i, 1.0) for i in range(3)],
+        [("disk", i, {"atag": t}, 1000 + i, 1.0) for i, t in enumerate("abc")],
         "measurement string, point_id long, tags map<string,string>, time_ns long, value double",
     )
-    got = sorted((r["row_in_series"], r["chunk"]) for r in chunked_result(pts, "disk", 2).collect())
+    got = sorted((r["row_idx"], r["chunk"]) for r in chunked_result(pts, "disk", 2).collect())
     assert got == [(0, 0), (1, 0), (2, 1)]
+    per_tag = chunked_result(pts, "disk", 2, group_by_tags=True).collect()
+    assert sorted((r["series"], r["row_idx"], r["chunk"]) for r in per_tag) == [
+        ("atag=a", 0, 0), ("atag=b", 0, 0), ("atag=c", 0, 0)]
 
 
 def test_group_by_all_tags_three_series(spark):
@@ -267,14 +271,18 @@ def test_tick_preview_at_most_ten(spark):
 
 
 def test_ordinal_within_matches_row_number_under_skew(spark):
-    # one group holds most rows
+    # one group holds most rows; an extra carried column makes the row
+    # branch and the count branch plan differently (the case that needs the
+    # shared, checkpointed partitioning)
     df = spark.range(20000).select(
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
-        (F.col("id") * 7919 % 20011).alias("o"), F.col("id"))
-    got = ordinal_within(df, ["g"], ["o", "id"], num_partitions=16)
+        (F.col("id") * 7919 % 20011).alias("o"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
     ref = df.withColumn("ordinal", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")) - 1)
-    assert got.select("g", "id", "ordinal").exceptAll(ref.select("g", "id", "ordinal")).count() == 0
-    assert got.count() == 20000
+    for _ in range(3):
+        got = ordinal_within(df, ["g"], ["o", "id"], num_partitions=16)
+        cols = ["g", "id", "payload", "ordinal"]
+        assert got.select(cols).exceptAll(ref.select(cols)).count() == 0
+        assert got.count() == 20000
 
 
 def test_auto_salts_split_hot_database(spark):
