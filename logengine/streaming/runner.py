@@ -16,6 +16,7 @@ collect: rows stay on executors and are written by Spark's writers).
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -152,7 +153,7 @@ def foreach_tick(fn: Callable[[DataFrame, int], None],
                  on_empty: Callable[[int], None] | None = None,
                  persist: bool = True) -> Callable[[DataFrame, int], None]:
     """Wrap a per-tick body with the emptiness guard: an empty micro-batch
-    calls ``on_empty`` (default: print the reference's message).
+    calls ``on_empty`` (default: the reference's message, on stderr).
 
     The guard and the body are two actions on the same micro-batch, and
     each would re-run the batch's plan (state store read included), so the
@@ -164,7 +165,7 @@ def foreach_tick(fn: Callable[[DataFrame, int], None],
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
-                (on_empty or (lambda _b: print(EMPTY_TICK_MESSAGE)))(batch_id)
+                (on_empty or (lambda _b: print(EMPTY_TICK_MESSAGE, file=sys.stderr)))(batch_id)
                 return
             fn(batch, batch_id)
         finally:
@@ -216,14 +217,15 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
 
 def flagship_stream(rows: DataFrame, sink_path: str, database: str, cfg: StreamConfig,
                     retention_policy: str = "autogen", ts_col: str = "record_ts", watermark: str | None = None,
-                    compression: str | None = None) -> StreamingQuery:
+                    compression: str | None = None,
+                    on_empty: Callable[[int], None] | None = None) -> StreamingQuery:
     """The packaged job: 15 s / 5 s sliding level counts → count lines →
     line-protocol payload files, every 5 s."""
     from logengine.streaming.sinks import line_protocol_sink
 
     counts = sliding_counts_stream(rows, ts_col=ts_col, watermark=watermark)
     sink = line_protocol_sink(sink_path, database, retention_policy, compression=compression)
-    return start(counts, cfg, foreach_tick(lambda b, i: sink(count_lines(b), i)))
+    return start(counts, cfg, foreach_tick(lambda b, i: sink(count_lines(b), i), on_empty=on_empty))
 
 
 def keys_of(df: DataFrame, exclude: Sequence[str]) -> list[str]:
