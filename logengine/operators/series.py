@@ -90,7 +90,7 @@ def group_by_all_tags(points: DataFrame, measurement: str) -> DataFrame:
 
 
 def chunked_result(points: DataFrame, measurement: str, chunk_size: int, group_by_tags: bool = False,
-                   tie_breakers: Sequence[str] = ("point_id",)) -> DataFrame:
+                   tie_breakers: Sequence[str] = ("point_id",), columns: Sequence[str] | None = None) -> DataFrame:
     """Result rows cut into chunks of ``chunk_size`` in time order: 3 rows
     with size 2 give chunk 0 (2 rows) and chunk 1 (1 row).
 
@@ -99,11 +99,15 @@ def chunked_result(points: DataFrame, measurement: str, chunk_size: int, group_b
     ``group_by_tags=True`` is ``GROUP BY *`` and chunks each tag set on its
     own. Ordinals come from :func:`ordinal_within`, so even the single
     whole-measurement group is split over many tasks instead of sorted in
-    one."""
+    one. ``columns`` narrows what is carried through the numbering."""
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     s = with_series(select_measurement(points, measurement))
     group = ["series"] if group_by_tags else ["measurement"]
+    if columns is not None:
+        # the numbered frame is materialised once; carry only what is asked for
+        need = list(dict.fromkeys([*group, "time_ns", *tie_breakers, *columns]))
+        s = s.select(*need)
     o = ordinal_within(s, group, ["time_ns", *tie_breakers], out_col="row_idx")
     return o.withColumn("chunk", F.floor(F.col("row_idx") / F.lit(chunk_size)).cast("long"))
 

@@ -340,7 +340,7 @@ def q_group_by_all_tags(spark, sf):
 
 
 def q_chunked_result(spark, sf):
-    c = series.chunked_result(points_table(spark, sf), "orders", CHUNK_SIZE)
+    c = series.chunked_result(points_table(spark, sf), "orders", CHUNK_SIZE, columns=["point_id", "series"])
     return c.select("point_id", "series", "row_idx", "chunk")
 
 
