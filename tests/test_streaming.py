@@ -262,3 +262,58 @@ def test_sql_per_tick(spark, scratch):
     run_to_end(q, TIMEOUT)
     got = read_keyed(spark, out, agg.LEVEL_KEYS)
     assert _same(got, agg.level_count(parse.parse_log(rows)))
+
+
+def test_tick_snapshot_put_on_final_windows(spark, scratch):
+    """Snapshots need whole windows: append mode + watermark emits each
+    window once, when it is final; a later sentinel row closes the last ones."""
+    rows = logtopic(spark, SF_SMALL)
+    src, out, ck = (os.path.join(scratch, d) for d in ("src", "out", "ck"))
+    cfg = StreamConfig("snapshots", output_mode="append", available_now=True, checkpoint=ck)
+
+    def run():
+        counts = sliding_counts_stream(read_log_stream(spark, "parquet", src), 30, 5, watermark="0 seconds",
+                                       fixed_levels=True)
+        run_to_end(start(counts, cfg, lambda b, i: keyed_upsert_sink(out)(shape.tick_snapshot(b), i)), TIMEOUT)
+
+    _write_chunks(spark, rows, src, 2)
+    run()
+    last_ms = rows.agg(F.max(F.unix_millis("record_ts"))).first()[0]
+    log_frame(spark, ["h9 svc 2017-01-13 23:00:00,000 INFO sentinel"], start_ms=last_ms + 3_600_000) \
+        .write.mode("append").parquet(src)
+    run()
+    got = read_keyed(spark, out, ["key", "part"])
+    recs = parse.parse_log(rows).where(F.col("logType").isin("INFO", "DEBUG", "WARN", "ERROR"))
+    expected = shape.tick_snapshot(windows.sliding_count(recs, agg.LEVEL_KEYS, 30, 5))
+    assert _same(got.select(expected.columns), expected)
+
+
+def test_reference_jobs_run(spark, scratch):
+    from logengine.streaming import jobs
+
+    kvstore.register(spark)
+    rows = logtopic(spark, SF_SMALL)
+    src = os.path.join(scratch, "src")
+    _write_chunks(spark, rows, src, 2)
+
+    def cfg(name):
+        return StreamConfig(name, available_now=True, checkpoint=os.path.join(scratch, "ck-" + name))
+
+    def stream():
+        return read_log_stream(spark, "parquet", src)
+
+    run_to_end(jobs.key_count_job(stream(), cfg("v1")), TIMEOUT)
+    run_to_end(jobs.word_count_job(stream(), cfg("wc")), TIMEOUT)
+    run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "online_log_analysis", cfg("v2")), TIMEOUT)
+    run_to_end(jobs.documents_job(stream(), os.path.join(scratch, "v3"), cfg("v3")), TIMEOUT)
+    run_to_end(jobs.latest_level_job(stream(), os.path.join(scratch, "v4"), cfg("v4")), TIMEOUT)
+    run_to_end(jobs.snapshot_job(stream(), os.path.join(scratch, "v5"), cfg("v5")), TIMEOUT)
+    assert glob.glob(os.path.join(scratch, "v2", "batch_id=*", "db=online_log_analysis"))
+    # append-mode jobs emit closed windows only: all but the last 30 s
+    docs = read_append_list(spark, os.path.join(scratch, "v3"))
+    assert docs.count() > 0
+    latest = kvstore.read_kv(spark, os.path.join(scratch, "v4"))
+    batch_latest = agg.latest_level(parse.parse_log(rows)).select(F.col("hostName").alias("key"),
+                                                                  F.col("logType").alias("value"))
+    assert _same(latest, batch_latest)
+    assert read_keyed(spark, os.path.join(scratch, "v5"), ["key", "part"]).count() > 0
