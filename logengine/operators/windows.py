@@ -130,11 +130,8 @@ def empty_ticks(
     by = list(by)
     k = _check(length_s, slide_s)
     step = slide_s * US
-    ticks = (
-        records.select(*by, pane_end_us(ts_col, slide_s).alias("_pe"))
-        .select(*by, _expand_ends(F.col("_pe"), k, slide_s).alias("_te"))
-        .distinct()
-    )
+    panes = records.select(*by, pane_end_us(ts_col, slide_s).alias("_pe")).distinct()  # raw rows touched once
+    ticks = panes.select(*by, _expand_ends(F.col("_pe"), k, slide_s).alias("_te")).distinct()
     w = Window.partitionBy(*[F.col(c) for c in by]).orderBy("_te") if by else Window.orderBy("_te")
     gaps = ticks.withColumn("_prev", F.lag("_te").over(w)).where(F.col("_te") - F.col("_prev") > F.lit(step))
     return gaps.select(
