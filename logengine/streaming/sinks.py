@@ -38,10 +38,12 @@ def console(df: DataFrame, num_rows: int = 10, truncate: bool = False):
 
 def write_line_protocol(lines: DataFrame, out_dir: str, database: str,
                         retention_policy: str = DEFAULT_RETENTION_POLICY, consistency_level: str | None = None,
-                        batch_size: int = 5000, salts: int = 64, compression: str | None = None) -> None:
+                        batch_size: int = 5000, salts: int | str = "auto", compression: str | None = None) -> None:
     """Write any frame with a ``line`` column as payload files under
     ``out_dir/db=/rp=/consistency=``: payloads of at most ``batch_size``
     lines (ordered by a hash of the row, so repeatable), optional gzip.
+    ``salts="auto"`` keeps a small batch in one payload (one write per
+    tick, as the reference) and spreads a huge one over many tasks.
     Used per micro-batch by :func:`line_protocol_sink` and directly for
     whole point tables."""
     level = consistency(consistency_level)
@@ -61,7 +63,7 @@ def write_line_protocol(lines: DataFrame, out_dir: str, database: str,
 
 
 def line_protocol_sink(path: str, database: str, retention_policy: str = DEFAULT_RETENTION_POLICY,
-                       consistency_level: str | None = None, batch_size: int = 5000, salts: int = 64,
+                       consistency_level: str | None = None, batch_size: int = 5000, salts: int | str = "auto",
                        compression: str | None = None) -> BatchFn:
     """``foreachBatch`` body writing a micro-batch's lines as payload files.
 

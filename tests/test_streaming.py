@@ -341,3 +341,17 @@ def test_sinks_idempotent_on_replay(spark, scratch):
     assert spark.read.parquet(paths["keyed"]).count() == counts.count()
     assert spark.read.parquet(paths["list"]).count() == docs.count()
     assert spark.read.json(os.path.join(paths["kv"], "batch=*")).count() == kv.count()
+
+
+def test_small_tick_is_one_payload(spark, scratch):
+    from logengine.streaming.sinks import write_line_protocol
+
+    lines = shape.count_lines(windows.sliding_count(parse.parse_log(logtopic(spark, SF_SMALL)), agg.LEVEL_KEYS, 15, 5)) \
+        .where(F.col("tick") == F.lit(dt.datetime(2017, 1, 13, 20, 0, 0)).cast("timestamp"))
+    n = lines.count()
+    assert 0 < n < 50
+    out = os.path.join(scratch, "one")
+    write_line_protocol(lines.select("line"), out, "db")
+    payloads = spark.read.text(out, wholetext=True).where(F.length("value") > 0)
+    # n newline-terminated lines, plus the text writer's row terminator
+    assert payloads.count() == 1 and payloads.first()["value"].count("\n") == n + 1
