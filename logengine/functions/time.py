@@ -101,12 +101,12 @@ def java_timestamp_text(ts: Column | str) -> Column:
 
 
 def int_div(c: Column | str, divisor: int) -> Column:
-    """Exact integer division truncating toward zero (as Java's ``/``);
-    goes through DECIMAL(38,0) so 19-digit nanosecond epochs stay exact."""
+    """Exact integer division truncating toward zero (as Java's ``/``):
+    SQL ``div`` on longs, so 19-digit nanosecond epochs stay exact."""
     c = _c(c)
     if divisor == 1:
         return c
-    return (c.cast("decimal(38,0)") / F.lit(divisor).cast("decimal(38,0)")).cast("long")
+    return F.call_function("div", c.cast("long"), F.lit(divisor).cast("long"))
 
 
 def scale_epoch(ns: Column | str, unit: str) -> Column:
