@@ -59,13 +59,16 @@ def latest_level(records: DataFrame, ts_col: str = "record_ts") -> DataFrame:
     return records.groupBy("hostName").agg(F.max_by("logType", F.struct(ts_col, "off")).alias("logType"))
 
 
-def words(texts: DataFrame, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per word (Java split at U+0020), with its 0-based position."""
-    return texts.select(*keep, F.posexplode(java_split(text_col)).alias("pos", "word"))
+def words(texts: DataFrame, text_col: str, keep: tuple[str, ...] = (), with_pos: bool = True) -> DataFrame:
+    """One row per word (Java split at U+0020), with its 0-based position
+    unless ``with_pos=False``."""
+    if with_pos:
+        return texts.select(*keep, F.posexplode(java_split(text_col)).alias("pos", "word"))
+    return texts.select(*keep, F.explode(java_split(text_col)).alias("word"))
 
 
 def word_count(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    return words(texts, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return words(texts, text_col, with_pos=False).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def running_count(rows: DataFrame, slide_s: int = 5, ts_col: str = "record_ts") -> DataFrame:
@@ -78,7 +81,7 @@ def running_count(rows: DataFrame, slide_s: int = 5, ts_col: str = "record_ts")
     words × ticks); the stream form in ``streaming`` re-emits all keys.
     """
     per_tick = (
-        words(rows, "value", keep=(ts_col,))
+        words(rows, "value", keep=(ts_col,), with_pos=False)
         .groupBy("word", pane_end_us(ts_col, slide_s).alias("_te"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -91,7 +94,7 @@ def running_count(rows: DataFrame, slide_s: int = 5, ts_col: str = "record_ts")
 def windowed_word_count(rows: DataFrame, length_s: int = 30, slide_s: int = 5, ts_col: str = "record_ts",
                         method: str = "pane") -> DataFrame:
     """``(tick, word, cnt)``: sliding count per word."""
-    return sliding_count(words(rows, "value", keep=(ts_col,)), ["word"], length_s, slide_s, ts_col=ts_col,
+    return sliding_count(words(rows, "value", keep=(ts_col,), with_pos=False), ["word"], length_s, slide_s, ts_col=ts_col,
                          count_col="word", method=method)
 
 

@@ -83,7 +83,7 @@ def snapshot_job(rows: DataFrame, sink_path: str, cfg: StreamConfig, watermark:
 
 def word_count_job(rows: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     """Per-tick word counts (tumbling 5 s on arrival time) → console."""
-    w = agg.words(rows, "value", keep=("record_ts",))
+    w = agg.words(rows, "value", keep=("record_ts",), with_pos=False)
     counts = w.groupBy(F.window("record_ts", "5 seconds").alias("_w"), "word").agg(F.count(F.lit(1)).alias("cnt")) \
         .select(F.col("_w.end").alias("tick"), "word", "cnt")
     q = console(counts, num_rows=PREVIEW_ROWS).queryName(cfg.query_name).outputMode("update")

@@ -97,7 +97,7 @@ def latest_level_stream(rows: DataFrame, length_s: int = VARIANT_LENGTH_S, slide
 def running_word_count_stream(rows: DataFrame) -> DataFrame:
     """Total per word over all history (run in ``complete`` mode: every
     known word is re-emitted each tick, state never expires)."""
-    return agg.words(rows, "value").groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    return agg.words(rows, "value", with_pos=False).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
 
 
 def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str = "0 seconds",
@@ -131,7 +131,7 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str =
         state.setTimeoutTimestamp(last + ttl_ms)
         yield pd.DataFrame({"word": [key[0]], "total": [total]})
 
-    w = agg.words(rows, "value", keep=(ts_col,)).withWatermark(ts_col, watermark)
+    w = agg.words(rows, "value", keep=(ts_col,), with_pos=False).withWatermark(ts_col, watermark)
     # the event-time column stays in the input: it carries the watermark
     return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms")).groupBy("word").applyInPandasWithState(
         update, "word string, total long", "total long, last_ms long", "update", GroupStateTimeout.EventTimeTimeout
