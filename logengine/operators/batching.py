@@ -79,10 +79,11 @@ def assign_batches(lines: DataFrame, batch_size: int, salts: int | str = 64, id_
     return out.drop("_salts") if salts == "auto" else out
 
 
-def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id") -> DataFrame:
+def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id",
+                  rows_per_task: int = 2_000_000) -> DataFrame:
     """``(db, rp, salt, batch_no, n_points, n_bytes, payload)`` from
     ``(db, rp, id, line)``. Lines keep id order inside a payload."""
-    b = assign_batches(lines, batch_size, salts, id_col)
+    b = assign_batches(lines, batch_size, salts, id_col, rows_per_task=rows_per_task)
     return b.groupBy("db", "rp", "salt", "batch_no").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.sum(F.octet_length("line") + F.lit(1)).alias("n_bytes"),
@@ -94,10 +95,10 @@ def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 6
 
 
 def oversize_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id",
-                     limit: int = DATAGRAM_LIMIT) -> DataFrame:
+                     limit: int = DATAGRAM_LIMIT, rows_per_task: int = 2_000_000) -> DataFrame:
     """``(db, rp, salt, batch_no, n_points, n_bytes, oversize)`` without
     building payloads: bytes are summed per batch (partial aggregate)."""
-    b = assign_batches(lines, batch_size, salts, id_col)
+    b = assign_batches(lines, batch_size, salts, id_col, rows_per_task=rows_per_task)
     return (
         b.groupBy("db", "rp", "salt", "batch_no")
         .agg(F.count(F.lit(1)).alias("n_points"), F.sum(F.octet_length("line") + F.lit(1)).alias("n_bytes"))

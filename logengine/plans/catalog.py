@@ -36,9 +36,9 @@ PREVIEW_ROWS = 10
 TICK_PAYLOAD_LINES = 5000
 BATCH_TAGS = {"async": "true", "o_orderstatus": "batch"}
 WRITE_BATCH_SIZE = 100
-WRITE_SALTS = 8
+WRITE_ROWS_PER_TASK = 1000      # salts per database = ceil(points / this)
 OVERSIZE_BATCH_SIZE = 800
-OVERSIZE_SALTS = 4
+OVERSIZE_ROWS_PER_TASK = 4000
 CHUNK_SIZE = 1000
 TIME_RANGE_START = "1997-01-01T00:00:00.000Z"
 # ---------------------------------------------------------------------------
@@ -304,11 +304,12 @@ def _lineitem_lines(spark, sf):
 
 
 def q_write_batches(spark, sf):
-    return batching.write_batches(_order_lines(spark, sf), WRITE_BATCH_SIZE, WRITE_SALTS)
+    return batching.write_batches(_order_lines(spark, sf), WRITE_BATCH_SIZE, "auto", rows_per_task=WRITE_ROWS_PER_TASK)
 
 
 def q_oversize_batches(spark, sf):
-    return batching.oversize_batches(_lineitem_lines(spark, sf), OVERSIZE_BATCH_SIZE, OVERSIZE_SALTS)
+    return batching.oversize_batches(_lineitem_lines(spark, sf), OVERSIZE_BATCH_SIZE, "auto",
+                                     rows_per_task=OVERSIZE_ROWS_PER_TASK)
 
 
 # -- 2.A4 / 2.I series ------------------------------------------------------------------------------

@@ -243,15 +243,18 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "write_batches": (
         f"WITH l AS (SELECT 'orders_' || substr(o_orderpriority, 1, 1) AS db, 'autogen' AS rp, o_orderkey AS id, {ORDER_LINE} AS line "
-        "FROM orders), b AS (SELECT *, CAST(id % 8 AS INTEGER) AS salt, "
-        "CAST((row_number() OVER (PARTITION BY db, rp, id % 8 ORDER BY id, line) - 1) // 100 AS INTEGER) AS batch_no FROM l) "
+        "FROM orders), c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 1000.0)) AS s FROM l), "
+        "b AS (SELECT *, CAST(s AS INTEGER) AS salt, "
+        "CAST((row_number() OVER (PARTITION BY db, rp, s ORDER BY id, line) - 1) // 100 AS INTEGER) AS batch_no FROM c) "
         "SELECT db, rp, salt, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
         "string_agg(line, chr(10) ORDER BY id, line) || chr(10) AS payload FROM b GROUP BY 1, 2, 3, 4"
     ),
     "oversize_batches": (
         f"WITH l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
-        f"{LINEITEM_LINE} AS line FROM lineitem), b AS (SELECT *, CAST(id % 4 AS INTEGER) AS salt, "
-        "CAST((row_number() OVER (PARTITION BY db, rp, id % 4 ORDER BY id, line) - 1) // 800 AS INTEGER) AS batch_no FROM l) "
+        f"{LINEITEM_LINE} AS line FROM lineitem), "
+        "c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 4000.0)) AS s FROM l), "
+        "b AS (SELECT *, CAST(s AS INTEGER) AS salt, "
+        "CAST((row_number() OVER (PARTITION BY db, rp, s ORDER BY id, line) - 1) // 800 AS INTEGER) AS batch_no FROM c) "
         "SELECT db, rp, salt, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
         "sum(strlen(line) + 1) > 65535 AS oversize FROM b GROUP BY 1, 2, 3, 4"
     ),
