@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.functions.time import ISO_MILLIS_FORMAT, epoch_us_ntz
+from logengine.functions.time import ISO_MILLIS_FORMAT, epoch_us_ntz, int_div
 from logengine.session import use_utc
 from logengine.sources.tables import read_table
 
@@ -61,21 +61,10 @@ def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority"),
     )
     rows = orders.select(
-        F.floor(F.col("o_orderkey") / F.lit(DOC_SPAN)).cast("long").alias("doc_id"),
+        int_div("o_orderkey", DOC_SPAN).alias("doc_id"),
         "o_orderstatus", "o_orderdate", "o_orderkey", row_json.alias("row_json"),
     )
     columns_json = "[" + ",".join(f'"{c}"' for c in SERIES_COLUMNS) + "]"
-    series = rows.groupBy("doc_id", "o_orderstatus").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "row_json"))).alias("_rows")
-    ).select(
-        "doc_id", "o_orderstatus",
-        F.concat(
-            F.lit('{"name":"orders","tags":{"o_orderstatus":"'), F.col("o_orderstatus"),
-            F.lit('"},"columns":' + columns_json + ',"values":['),
-            F.array_join(F.transform("_rows", lambda r: r["row_json"]), ","),
-            F.lit("]}"),
-        ).alias("series_json"),
-    )
     doc = F.col("doc_id")
     result_err = F.when(
         F.pmod(doc, F.lit(RESULT_ERROR_EVERY)) == 0,
@@ -85,13 +74,26 @@ def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod(doc, F.lit(10)) == QUERY_ERROR_REMAINDER,
         F.concat(F.lit(',"error":"timeout in doc '), doc.cast("string"), F.lit('"')),
     ).otherwise(F.lit(""))
-    return series.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderstatus", "series_json"))).alias("_ss")
-    ).select(
+    # One shuffle: a document's rows (at most DOC_SPAN) are collected once,
+    # sorted by (status, date, key), and split into one series per status
+    # with array functions.
+    by_doc = rows.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("o_orderstatus", "o_orderdate", "o_orderkey", "row_json"))).alias("_rows")
+    )
+    statuses = F.array_distinct(F.transform("_rows", lambda r: r["o_orderstatus"]))
+    series_json = F.transform(
+        statuses,
+        lambda st: F.concat(
+            F.lit('{"name":"orders","tags":{"o_orderstatus":"'), st,
+            F.lit('"},"columns":' + columns_json + ',"values":['),
+            F.array_join(F.transform(F.filter("_rows", lambda r: r["o_orderstatus"] == st), lambda r: r["row_json"]), ","),
+            F.lit("]}"),
+        ),
+    )
+    return by_doc.select(
         "doc_id",
         F.concat(
-            F.lit('{"results":[{"series":['),
-            F.array_join(F.transform("_ss", lambda s: s["series_json"]), ","),
+            F.lit('{"results":[{"series":['), F.array_join(series_json, ","),
             F.lit("]}"), result_err, F.lit("]"), query_err, F.lit("}"),
         ).alias("body"),
     )

@@ -74,7 +74,7 @@ def test_select_measurement_prunes_other_tables(spark):
 
 
 def test_series_rows_no_shuffle_after_documents(spark):
-    # reading documents is per row (explode / zip); the only exchanges are
-    # the two that build the documents from orders
+    # reading documents is per row (explode / zip); the only exchange is
+    # the one that builds the documents from orders
     p = _formatted(se.queries()["series_rows"](spark, SF_SMALL))
-    assert _nodes(p, "Exchange") == 2
+    assert _nodes(p, "Exchange") == 1
