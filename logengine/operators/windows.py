@@ -120,21 +120,21 @@ def empty_ticks(
     """``(*by, tick)``: ticks between a group's first and last non-empty
     window whose window holds no record ("no logs in this interval").
 
-    Output-sensitive: distinct non-empty ticks per group (bounded by the
-    time span / slide, not by the row count), ``lag`` to find each gap,
-    and ``sequence`` to list only the missing ticks. No ticks × groups
-    grid and no anti join. The window is partitioned by ``by``; its
-    input is already aggregated, so a hot group costs its tick count,
-    not its row count.
+    Output-sensitive: the distinct non-empty panes per group (bounded by
+    the time span / slide, not by the row count) are ordered with ``lag``.
+    A window of k panes ending at T is empty exactly when no pane ends in
+    ``[T-(k-1)·slide, T]``, so between consecutive non-empty panes p1 < p2
+    the empty ticks are ``p1+k·slide … p2-slide``; ``sequence`` lists only
+    those. Two shuffles (distinct, window), no ticks × groups grid, no
+    anti join; a hot group costs its pane count, not its row count.
     """
     by = list(by)
     k = _check(length_s, slide_s)
     step = slide_s * US
-    panes = records.select(*by, pane_end_us(ts_col, slide_s).alias("_pe")).distinct()  # raw rows touched once
-    ticks = panes.select(*by, _expand_ends(F.col("_pe"), k, slide_s).alias("_te")).distinct()
-    w = Window.partitionBy(*[F.col(c) for c in by]).orderBy("_te") if by else Window.orderBy("_te")
-    gaps = ticks.withColumn("_prev", F.lag("_te").over(w)).where(F.col("_te") - F.col("_prev") > F.lit(step))
+    panes = records.select(*by, pane_end_us(ts_col, slide_s).alias("_pe")).distinct()
+    w = Window.partitionBy(*[F.col(c) for c in by]).orderBy("_pe") if by else Window.orderBy("_pe")
+    gaps = panes.withColumn("_prev", F.lag("_pe").over(w)).where(F.col("_pe") - F.col("_prev") > F.lit(k * step))
     return gaps.select(
         *by,
-        F.explode(F.sequence(F.col("_prev") + F.lit(step), F.col("_te") - F.lit(step), F.lit(step))).alias("_e"),
+        F.explode(F.sequence(F.col("_prev") + F.lit(k * step), F.col("_pe") - F.lit(step), F.lit(step))).alias("_e"),
     ).select(*by, F.timestamp_micros("_e").alias("tick"))
