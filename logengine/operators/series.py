@@ -46,17 +46,19 @@ def series_rows(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id")
 
 def result_errors(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, level, result_idx, error)``: failed results at both the
-    query level (``result_idx`` null) and the per-statement level."""
+    query level (``result_idx`` null) and the per-statement level, in one
+    pass over the documents (one candidate array per document, inlined)."""
     r = parse_results(docs, body_col, id_col)
-    top = r.where(F.col("_r.error").isNotNull()).select(
-        id_col, F.lit("query").alias("level"), F.lit(None).cast("int").alias("result_idx"), F.col("_r.error").alias("error")
+    query_level = F.array(F.struct(
+        F.lit("query").alias("level"), F.lit(None).cast("int").alias("result_idx"), F.col("_r.error").alias("error")))
+    statement_level = F.transform(
+        F.coalesce(F.col("_r.results"), F.array().cast(r.schema["_r"].dataType["results"].dataType)),
+        lambda res, i: F.struct(F.lit("result").alias("level"), i.alias("result_idx"), res["error"].alias("error")),
     )
-    per = (
-        r.select(id_col, F.posexplode(F.col("_r.results")).alias("result_idx", "_res"))
-        .where(F.col("_res.error").isNotNull())
-        .select(id_col, F.lit("result").alias("level"), "result_idx", F.col("_res.error").alias("error"))
+    return (
+        r.select(id_col, F.inline(F.concat(query_level, statement_level)))
+        .where(F.col("error").isNotNull())
     )
-    return top.unionByName(per)
 
 
 def select_measurement(points: DataFrame, measurement: str) -> DataFrame:

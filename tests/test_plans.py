@@ -78,3 +78,9 @@ def test_series_rows_no_shuffle_after_documents(spark):
     # the one that builds the documents from orders
     p = _formatted(se.queries()["series_rows"](spark, SF_SMALL))
     assert _nodes(p, "Exchange") == 1
+
+
+def test_result_errors_single_pass(spark):
+    p = _formatted(se.queries()["result_errors"](spark, SF_SMALL))
+    assert _nodes(p, "Scan parquet") == 1
+    assert _nodes(p, "Exchange") == 1
