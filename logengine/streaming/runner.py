@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -218,15 +218,18 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
 def flagship_stream(rows: DataFrame, sink_path: str, database: str, cfg: StreamConfig,
                     retention_policy: str = "autogen", ts_col: str = "record_ts", watermark: str | None = None,
                     compression: str | None = None,
-                    on_empty: Callable[[int], None] | None = None) -> StreamingQuery:
+                    on_empty: Callable[[int], None] | None = None, with_time: bool = False) -> StreamingQuery:
     """The packaged job: 15 s / 5 s sliding level counts → count lines →
-    line-protocol payload files, every 5 s."""
+    line-protocol payload files, every 5 s.
+
+    ``with_time=True`` stamps each line with its tick (ns), so a replayed or
+    re-emitted window overwrites the same points downstream instead of
+    adding new ones (the reference leaves the time to the server)."""
     from logengine.streaming.sinks import line_protocol_sink
 
     counts = sliding_counts_stream(rows, ts_col=ts_col, watermark=watermark)
     sink = line_protocol_sink(sink_path, database, retention_policy, compression=compression)
-    return start(counts, cfg, foreach_tick(lambda b, i: sink(count_lines(b), i), on_empty=on_empty))
+    return start(counts, cfg, foreach_tick(lambda b, i: sink(count_lines(b, with_time=with_time), i),
+                                           on_empty=on_empty))
 
 
-def keys_of(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in exclude]

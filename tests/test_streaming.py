@@ -355,3 +355,16 @@ def test_small_tick_is_one_payload(spark, scratch):
     payloads = spark.read.text(out, wholetext=True).where(F.length("value") > 0)
     # n newline-terminated lines, plus the text writer's row terminator
     assert payloads.count() == 1 and payloads.first()["value"].count("\n") == n + 1
+
+
+def test_flagship_lines_with_time_are_replay_safe(spark, scratch):
+    rows = logtopic(spark, SF_SMALL)
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    _write_chunks(spark, rows, src, 2)
+    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "db",
+                        StreamConfig("flagship_t", available_now=True, checkpoint=os.path.join(scratch, "ck")),
+                        with_time=True)
+    run_to_end(q, TIMEOUT)
+    lines = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
+    counts = windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)
+    assert _same(lines, shape.count_lines(counts, with_time=True).select("line"))
