@@ -54,7 +54,9 @@ def _write_partition(path: str, rows) -> StagedFile:
 
 def _commit(path: str, messages, batch_id: int) -> None:
     final = os.path.join(path, f"batch={batch_id:020d}")
-    tmp = final + ".tmp-" + uuid.uuid4().hex
+    # assembled outside the ``batch=*`` namespace, so a commit that dies
+    # half-way leaves nothing a reader would pick up; the batch is replayed
+    tmp = os.path.join(path, "_tmp", f"{batch_id:020d}-{uuid.uuid4().hex}")
     os.makedirs(tmp, exist_ok=True)
     for m in messages:
         if m is not None:
