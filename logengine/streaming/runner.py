@@ -41,6 +41,16 @@ EMPTY_TICK_MESSAGE = "No cdh role logs in this time interval"
 # ---------------------------------------------------------------------------
 
 
+# Settings for large window state on a cluster: RocksDB keeps state off the
+# JVM heap and checkpoints changelogs instead of full snapshots. Set them on
+# the session before a query first starts (they are kept in its checkpoint).
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 @dataclass
 class StreamConfig:
     """How a query runs: trigger, output mode, checkpoint, name."""

@@ -368,3 +368,27 @@ def test_flagship_lines_with_time_are_replay_safe(spark, scratch):
     lines = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
     counts = windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)
     assert _same(lines, shape.count_lines(counts, with_time=True).select("line"))
+
+
+def test_large_state_store_same_result(spark, scratch):
+    from logengine.streaming.runner import LARGE_STATE_CONF
+
+    rows = logtopic(spark, SF_SMALL)
+    src = os.path.join(scratch, "src")
+    _write_chunks(spark, rows, src, 3)
+    before = {k: spark.conf.get(k, None) for k in LARGE_STATE_CONF}
+    try:
+        for k, v in LARGE_STATE_CONF.items():
+            spark.conf.set(k, v)
+        q = start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})),
+                  StreamConfig("rocks_counts", output_mode="complete", available_now=True,
+                               checkpoint=os.path.join(scratch, "ck")), fmt="memory")
+        run_to_end(q, TIMEOUT)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    batch = windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)
+    assert _same(spark.table("rocks_counts"), batch)
