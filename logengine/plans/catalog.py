@@ -312,6 +312,11 @@ def q_oversize_batches(spark, sf):
                                      rows_per_task=OVERSIZE_ROWS_PER_TASK)
 
 
+def q_byte_batches(spark, sf):
+    return batching.byte_batches(_lineitem_lines(spark, sf), batching.DATAGRAM_LIMIT, "auto",
+                                 rows_per_task=OVERSIZE_ROWS_PER_TASK)
+
+
 # -- 2.A4 / 2.I series ------------------------------------------------------------------------------
 
 def _series_rows(spark, sf):
@@ -415,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "batch_tags": q_batch_tags,
     "write_batches": q_write_batches,
     "oversize_batches": q_oversize_batches,
+    "byte_batches": q_byte_batches,
     "series_rows": q_series_rows,
     "select_measurement": q_select_measurement,
     "group_by_all_tags": q_group_by_all_tags,

@@ -300,3 +300,16 @@ def test_auto_salts_split_hot_database(spark):
     import pytest
     with pytest.raises(ValueError):
         assign_batches(df, 10, salts=0)
+
+
+def test_byte_batches_fit_the_datagram_limit(spark):
+    from logengine.operators.batching import byte_batches
+
+    n = 20000
+    df = spark.range(n).select(F.lit("db").alias("db"), F.lit("autogen").alias("rp"), F.col("id"),
+                               F.concat(F.lit("udp_single_poit v="), F.col("id").cast("string"), F.lit("i")).alias("line"))
+    b = byte_batches(df, DATAGRAM_LIMIT, salts=1).collect()
+    assert sum(r["n_points"] for r in b) == n
+    assert max(r["n_bytes"] for r in b) <= DATAGRAM_LIMIT
+    total = sum(r["n_bytes"] for r in b)
+    assert len(b) <= total // (DATAGRAM_LIMIT - 30) + 1  # close to the fewest payloads possible
