@@ -118,11 +118,11 @@ def test_flagship_stream_writes_gzip_payloads(spark, scratch):
     rows = logtopic(spark, SF_SMALL)
     src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
     _write_chunks(spark, rows, src, 2)
-    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "online_log_analysis",
+    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "logs",
                         StreamConfig("flagship", available_now=True, checkpoint=os.path.join(scratch, "ck")),
                         compression="gzip")
     run_to_end(q, TIMEOUT)
-    files = glob.glob(os.path.join(out, "batch_id=*", "db=online_log_analysis", "rp=autogen", "consistency=one", "*.gz"))
+    files = glob.glob(os.path.join(out, "batch_id=*", "db=logs", "rp=autogen", "consistency=one", "*.gz"))
     assert files
     lines = spark.read.text(os.path.join(out, "batch_id=*")).where(F.col("value") != "").select(F.col("value").alias("line"))
     expected = shape.count_lines(windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)).select("line")
@@ -304,11 +304,11 @@ def test_reference_jobs_run(spark, scratch):
 
     run_to_end(jobs.key_count_job(stream(), cfg("v1")), TIMEOUT)
     run_to_end(jobs.word_count_job(stream(), cfg("wc")), TIMEOUT)
-    run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "online_log_analysis", cfg("v2")), TIMEOUT)
+    run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "logs", cfg("v2")), TIMEOUT)
     run_to_end(jobs.documents_job(stream(), os.path.join(scratch, "v3"), cfg("v3")), TIMEOUT)
     run_to_end(jobs.latest_level_job(stream(), os.path.join(scratch, "v4"), cfg("v4")), TIMEOUT)
     run_to_end(jobs.snapshot_job(stream(), os.path.join(scratch, "v5"), cfg("v5")), TIMEOUT)
-    assert glob.glob(os.path.join(scratch, "v2", "batch_id=*", "db=online_log_analysis"))
+    assert glob.glob(os.path.join(scratch, "v2", "batch_id=*", "db=logs"))
     # append-mode jobs emit closed windows only: all but the last 30 s
     docs = read_append_list(spark, os.path.join(scratch, "v3"))
     assert docs.count() > 0
