@@ -62,10 +62,6 @@ def ntz_from_millis(ms: Column | str) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), epoch_ntz())
 
 
-def ntz_from_micros(us: Column | str) -> Column:
-    return F.timestamp_add("MICROSECOND", _c(us), epoch_ntz())
-
-
 def epoch_us_ntz(ts_ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ (read as UTC) → epoch microseconds."""
     return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts_ntz))

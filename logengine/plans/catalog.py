@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logengine.functions import lineproto as lp
-from logengine.functions.text import series_key
 from logengine.functions.time import java_timestamp_text, millis_to_iso, iso_to_millis, scale_epoch, to_nanos
 from logengine.operators import aggregate as agg
 from logengine.operators import batching, parse, points, series, shape, windows
@@ -75,7 +74,7 @@ def q_log_event_time(spark, sf):
 
 
 def q_series_key(spark, sf):
-    return _records(spark, sf).select("off", series_key("hostName", "serviceName", "logType").alias("key"))
+    return parse.with_series_key(_records(spark, sf)).select("off", "key")
 
 
 def q_drop_continuations(spark, sf):
