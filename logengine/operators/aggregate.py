@@ -47,10 +47,11 @@ def union_levels(records: DataFrame) -> DataFrame:
     return out
 
 
-def key_count_per_tick(records: DataFrame, slide_s: int = 5, ts_col: str = "record_ts") -> DataFrame:
+def key_count_per_tick(records: DataFrame, slide_s: int = 5, ts_col: str = "record_ts",
+                       by_tick: bool = False) -> DataFrame:
     """``(tick, key, cnt)``: per-batch count of each ``host_service_level``."""
     keyed = records.select(ts_col, series_key("hostName", "serviceName", "logType").alias("key"))
-    return sliding_count(keyed, ["key"], slide_s, slide_s, ts_col=ts_col, count_col="key")
+    return sliding_count(keyed, ["key"], slide_s, slide_s, ts_col=ts_col, count_col="key", by_tick=by_tick)
 
 
 def latest_level(records: DataFrame, ts_col: str = "record_ts") -> DataFrame:

@@ -50,8 +50,16 @@ def sliding_count(
     ts_col: str = "record_ts",
     count_col: str = "logType",
     method: str = "pane",
+    by_tick: bool = False,
 ) -> DataFrame:
-    """``(tick, *keys, cnt)``: COUNT(count_col) per window and key."""
+    """``(tick, *keys, cnt)``: COUNT(count_col) per window and key.
+
+    ``by_tick=True`` (pane form) leaves the result hash-partitioned by
+    ``tick`` alone: the expanded pane counts are shuffled by tick and
+    summed in place, so a consumer that works per tick (a window or
+    grouping by tick) reuses that partitioning instead of shuffling again.
+    A tick's partition holds one row per key, bounded like the window
+    that follows."""
     keys = list(keys)
     k = _check(length_s, slide_s)
     if method == "window":
@@ -64,11 +72,15 @@ def sliding_count(
     if method != "pane":
         raise ValueError("method must be 'pane' or 'window'")
     panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), *keys).agg(F.count(count_col).alias("_n"))
-    if k == 1:
+    if k == 1 and not by_tick:
         return panes.select(F.timestamp_micros("_pe").alias("tick"), *keys, F.col("_n").alias("cnt"))
+    expanded = panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), *keys, "_n") if k > 1 \
+        else panes.select(F.col("_pe").alias("_te"), *keys, "_n")
+    if by_tick:
+        ticked = expanded.select(F.timestamp_micros("_te").alias("tick"), *keys, "_n").repartition("tick")
+        return ticked.groupBy("tick", *keys).agg(F.sum("_n").alias("cnt"))
     return (
-        panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), *keys, "_n")
-        .groupBy("_te", *keys)
+        expanded.groupBy("_te", *keys)
         .agg(F.sum("_n").alias("cnt"))
         .select(F.timestamp_micros("_te").alias("tick"), *keys, "cnt")
     )

@@ -134,9 +134,9 @@ def q_sliding_level_count(spark, sf):
     return windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *FLAGSHIP_WINDOW)
 
 
-def _variant_counts(spark, sf):
+def _variant_counts(spark, sf, by_tick=False):
     recs = _records(spark, sf).where(F.col("logType").isin(*agg.FIXED_LEVELS))
-    return windows.sliding_count(recs, agg.LEVEL_KEYS, *VARIANT_WINDOW)
+    return windows.sliding_count(recs, agg.LEVEL_KEYS, *VARIANT_WINDOW, by_tick=by_tick)
 
 
 def q_sliding_fixed_level_count(spark, sf):
@@ -168,7 +168,8 @@ def q_count_lines(spark, sf):
 
 
 def q_tick_payload(spark, sf):
-    return shape.tick_payload(q_count_lines(spark, sf), TICK_PAYLOAD_LINES)
+    counts = windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *FLAGSHIP_WINDOW, by_tick=True)
+    return shape.tick_payload(shape.count_lines(counts), TICK_PAYLOAD_LINES)
 
 
 def q_count_documents(spark, sf):
@@ -176,7 +177,7 @@ def q_count_documents(spark, sf):
 
 
 def q_tick_snapshot(spark, sf):
-    return shape.tick_snapshot(_variant_counts(spark, sf))
+    return shape.tick_snapshot(_variant_counts(spark, sf, by_tick=True))
 
 
 # -- 2.J scalar time functions ------------------------------------------------------------

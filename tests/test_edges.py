@@ -230,7 +230,9 @@ def test_pane_and_window_forms_agree(spark):
     for length, slide in ((15, 5), (30, 5), (5, 5)):
         a = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, method="pane")
         b = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, method="window")
+        c = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, by_tick=True).select(a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     a = windows.sliding_latest_level(recs, 30, 5, method="pane")
     b = windows.sliding_latest_level(recs, 30, 5, method="window")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -80,3 +80,11 @@ def test_result_errors_single_pass(spark):
     p = _formatted(se.queries()["result_errors"](spark, SF_SMALL))
     assert _nodes(p, "Scan parquet") == 1
     assert _nodes(p, "Exchange") == 1
+
+
+def test_tick_consumers_reuse_tick_partitioning(spark):
+    # pane counts (1 exchange) + expanded panes shuffled by tick (1); the
+    # per-tick window and the part grouping reuse it: no third exchange
+    for name in ("tick_payload", "tick_snapshot"):
+        p = _formatted(se.queries()[name](spark, SF_SMALL))
+        assert _nodes(p, "Exchange") == 2, name
