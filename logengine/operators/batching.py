@@ -115,27 +115,28 @@ def points_per_payload(lines: DataFrame, limit: int = DATAGRAM_LIMIT) -> int:
 
 
 def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, salts: int | str = "auto", id_col: str = "id",
-                 rows_per_task: int = 2_000_000, longest: int | None = None) -> DataFrame:
+                 rows_per_task: int = 2_000_000) -> DataFrame:
     """``(db, rp, salt, batch_no, n_points, n_bytes)``: payloads cut by size
     so that every one fits in ``limit`` bytes (lines newline-terminated).
 
     Each line gets its running byte offset inside ``(db, rp, salt)`` (a
     window sum in id order) and goes to batch ``offset div (limit - L)``,
-    where L is the longest line plus its newline. A batch then spans less
-    than ``limit - L`` bytes of starts plus at most one line, so it never
-    exceeds ``limit``; unlike a greedy cut it needs no sequential pass. L is
-    one scalar aggregate unless given."""
+    where L is the longest line of its group plus the newline. A batch then
+    spans less than ``limit - L`` bytes of starts plus at most one line, so
+    it never exceeds ``limit``; unlike a greedy cut it needs no sequential
+    pass. The running sum and L are two frames of one window operator (one
+    sort), so the lines are encoded and shuffled once. A line longer than
+    ``limit`` on its own fails the job, as a datagram could not carry it."""
     size = F.octet_length("line") + F.lit(1)
-    if longest is None:
-        longest = lines.agg(F.max(size)).first()[0] or 0
-    step = limit - int(longest)
-    if step <= 0:
-        raise ValueError(f"a single line ({longest} bytes) does not fit in {limit} bytes")
     salted = assign_batches(lines, 1, salts, id_col, rows_per_task=rows_per_task).drop("batch_no")
-    w = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(size).over(w), F.lit(0))
+    spec = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line")
+    start = F.coalesce(F.sum(size).over(spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    longest = F.max(size).over(spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    step = F.lit(limit) - longest
+    batch_no = F.when(step <= 0, F.raise_error(F.lit(f"a line does not fit in {limit} bytes"))) \
+        .otherwise(F.floor(start / step)).cast("int")
     return (
-        salted.withColumn("batch_no", F.floor(start / F.lit(step)).cast("int"))
+        salted.withColumn("batch_no", batch_no)
         .groupBy("db", "rp", "salt", "batch_no")
         .agg(F.count(F.lit(1)).alias("n_points"), F.sum(size).alias("n_bytes"))
     )

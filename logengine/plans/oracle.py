@@ -262,10 +262,10 @@ ORACLE_SQL: dict[str, str] = {
         f"WITH l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
         f"{LINEITEM_LINE} AS line FROM lineitem), "
         "c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 4000.0)) AS s FROM l), "
-        "m AS (SELECT max(strlen(line) + 1) AS longest FROM l), "
         "b AS (SELECT *, CAST(s AS INTEGER) AS salt, COALESCE(sum(strlen(line) + 1) OVER (PARTITION BY db, rp, s "
-        "ORDER BY id, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM c) "
-        "SELECT db, rp, salt, CAST(start // (65535 - (SELECT longest FROM m)) AS INTEGER) AS batch_no, "
+        "ORDER BY id, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, "
+        "max(strlen(line) + 1) OVER (PARTITION BY db, rp, s) AS longest FROM c) "
+        "SELECT db, rp, salt, CAST(start // (65535 - longest) AS INTEGER) AS batch_no, "
         "count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM b GROUP BY 1, 2, 3, 4"
     ),
     "series_rows": (
