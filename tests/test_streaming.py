@@ -415,3 +415,17 @@ def test_points_sink_streams_a_table(spark, scratch):
     back = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
     assert _same(back, encode(orders).select("line"))
     assert len(glob.glob(os.path.join(out, "batch_id=*"))) == 3
+
+
+def test_kafka_options_offset_policy(spark):
+    import pytest
+
+    from logengine.sources.stream import kafka_options
+
+    opts = kafka_options("b1:9092,b2:9092", group_id="logs")
+    assert opts == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "logtopic",
+                    "startingOffsets": "latest", "kafka.group.id": "logs"}
+    # offsets live in the query checkpoint; without the connector jar the
+    # source fails at definition time, not silently
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_log_stream(spark, "kafka", options=opts)
