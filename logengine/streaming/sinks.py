@@ -107,6 +107,17 @@ def read_keyed(spark: SparkSession, path: str, key_cols: Sequence[str]) -> DataF
     return latest.select(*key_cols, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def compact_keyed(spark: SparkSession, path: str, key_cols: Sequence[str], out_path: str) -> int:
+    """Write the current state of a keyed target as one snapshot batch
+    under ``out_path`` (keyed by the newest batch id, so later batches
+    appended there still win). Reading state then costs one folder instead
+    of the whole history. Nothing under ``path`` is changed; returns the
+    snapshot's batch id (one scalar to the driver)."""
+    newest = spark.read.parquet(path).agg(F.max(BATCH_COL)).first()[0]
+    read_keyed(spark, path, key_cols).write.mode("overwrite").parquet(_batch_dir(out_path, newest))
+    return newest
+
+
 def append_list_sink(path: str) -> BatchFn:
     """``foreachBatch`` body appending ``(key, tick, value)`` documents."""
 
