@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logengine.llm import oracle_quality, quality
+from logengine.llm import oracle_quality, quality, simhash
 from logengine.llm.common import checkpointed, read
 
 
@@ -18,8 +18,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, limits).select("doc_id", *quality.LONGS, "base_failed", "kept")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_simhash": op5_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from logengine.llm import quality
+from logengine.llm import quality, simhash
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed
 
 
@@ -14,3 +16,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     measured = quality.measure(docs.select(*DOCUMENT_COLUMNS))
     limits = checkpointed(quality.thresholds(quality.sketches(measured)))
     return quality.judge(measured, limits).where("kept").select(*DOCUMENT_COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: the one whose id names it (of rows that repeat
+    this id, the first by text hash). Rows without an id belong to no component and stay."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    found = simhash.near_duplicates(docs, simhash.SHINGLE_WORDS, simhash.MAX_BITS)
+    first = found.where("doc_id = component_id").select("doc_id")
+    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source")
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_at", F.row_number().over(own)).where("_at = 1")
+    return kept.select(*DOCUMENT_COLUMNS).unionByName(docs.where("doc_id IS NULL"))
