@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logengine.llm import oracle_quality, quality, simhash
+from logengine.llm import bpe, oracle_quality, quality, simhash
 from logengine.llm.common import checkpointed, read
 
 
@@ -23,9 +23,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and the decoded bytes of every document."""
+    return bpe.encoding_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_simhash": op5_simhash,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {

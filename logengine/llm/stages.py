@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logengine.llm import quality, simhash
+from logengine.llm import bpe, quality, simhash
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed
 
 
@@ -27,3 +27,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source")
     kept = docs.join(first, "doc_id", "left_semi").withColumn("_at", F.row_number().over(own)).where("_at = 1")
     return kept.select(*DOCUMENT_COLUMNS).unionByName(docs.where("doc_id IS NULL"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document that is left, with the bytes they decode to."""
+    return bpe.encode_documents(docs.select("doc_id", "text"))
