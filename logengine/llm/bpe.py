@@ -22,7 +22,6 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Resolved pre-tokens that a task remembers.
-MEMORY = 200_000
+MEMORY = 400_000
 #: Longer pre-tokens are not remembered.
 _LONG = 64
 _KEYS_PER_BUCKET = 4
@@ -52,80 +51,89 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct byte strings: each has its own slot below their number."""
+    """Minimal perfect hash of distinct byte strings: each has its own slot below their number.
+
+    A bucket of several keys stores the seed that sends them to free slots; a bucket of one key
+    stores its slot itself, as -1 - slot, and so fills what the others have left."""
 
     def __init__(self, keys: list[bytes]):
         self.size = len(keys)
         self.buckets = max(1, self.size // _KEYS_PER_BUCKET)
-        self.shift = np.zeros(self.buckets, np.int64)
+        self.shift = [0] * self.buckets
+        self.owner = [0] * self.size  # key index at each slot
         groups: list[list[int]] = [[] for _ in range(self.buckets)]
         for i, k in enumerate(keys):
             groups[xxhash.xxh3_64_intdigest(k) % self.buckets].append(i)
-        taken = np.zeros(self.size, bool)
-        self.owner = np.zeros(self.size, np.int64)  # key index at each slot
-        for bucket in sorted(range(self.buckets), key=lambda b: -len(groups[b])):
-            own = groups[bucket]
-            seed = 0
-            while own:
+        taken = [False] * self.size
+        for bucket in sorted((b for b in range(self.buckets) if len(groups[b]) > 1), key=lambda b: -len(groups[b])):
+            own, seed = [keys[i] for i in groups[bucket]], 0
+            while True:
                 seed += 1
-                slots = [xxhash.xxh64_intdigest(keys[i], seed) % self.size for i in own]
-                if len(set(slots)) == len(slots) and not taken[slots].any():
-                    taken[slots], self.owner[slots], self.shift[bucket] = True, own, seed
+                slots = {xxhash.xxh64_intdigest(k, seed) % self.size for k in own}
+                if len(slots) == len(own) and not any(taken[s] for s in slots):
                     break
+            self.shift[bucket] = seed
+            for i in groups[bucket]:
+                slot = xxhash.xxh64_intdigest(keys[i], seed) % self.size
+                taken[slot], self.owner[slot] = True, i
+        free = (s for s in range(self.size) if not taken[s])
+        for bucket in range(self.buckets):
+            if len(groups[bucket]) == 1:
+                slot = next(free)
+                self.shift[bucket], self.owner[slot] = -1 - slot, groups[bucket][0]
 
     def slot(self, key: bytes) -> int:
-        bucket = xxhash.xxh3_64_intdigest(key) % self.buckets
-        return xxhash.xxh64_intdigest(key, int(self.shift[bucket])) % self.size
+        shift = self.shift[xxhash.xxh3_64_intdigest(key) % self.buckets]
+        return -1 - shift if shift < 0 else xxhash.xxh64_intdigest(key, shift) % self.size
 
 
 @dataclass
 class Vocabulary:
     tokens: list[bytes]
     index: PerfectHash
+    digest: str
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         tokens = read_ranks(path)
-        return cls(tokens, PerfectHash(tokens))
+        return cls(tokens, PerfectHash(tokens), xxhash.xxh3_128_hexdigest(b" ".join(map(base64.b64encode, tokens))))
 
     def rank(self, token: bytes) -> int:
         """Rank of a token, -1 if it is not in the vocabulary."""
-        rank = int(self.index.owner[self.index.slot(token)])
+        rank = self.index.owner[self.index.slot(token)]
         return rank if self.tokens[rank] == token else -1
 
 
 def merge(piece: bytes, rank) -> list[int]:
     """Ids of a byte string: the adjacent pair of least rank (leftmost first) is merged until no
-    pair is in the vocabulary."""
+    pair is in the vocabulary. ``rank`` gives a token's rank or None."""
     n = len(piece)
-    end = list(range(1, n + 1))  # end of the part that starts here; its neighbour starts there
-    before = list(range(-1, n - 1))
-    alive = [True] * n
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(a: int) -> None:
-        if a >= 0 and end[a] < n:
-            z = end[end[a]]
-            r = rank(piece[a:z])
-            if r >= 0:
-                heapq.heappush(heap, (r, a, z))
-
-    for a in range(n - 1):
-        offer(a)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # the linked parts, by their starts
+    pair = [rank(piece[a : a + 2]) for a in range(n - 1)]  # rank of the part and its neighbour joined
+    pair.append(None)
+    heap = [r << 32 | a for a, r in enumerate(pair) if r is not None]
+    heapq.heapify(heap)
     while heap:
-        _, a, z = heapq.heappop(heap)
-        if not alive[a] or end[a] >= z or end[a] >= n or end[end[a]] != z:
+        top = heapq.heappop(heap)
+        a = top & 0xFFFFFFFF
+        if pair[a] != top >> 32:
             continue  # one of the two parts has changed since
-        alive[end[a]] = False
-        end[a] = z
+        z = after[after[a]]
+        pair[after[a]], pair[a], after[a] = None, None, z
         if z < n:
             before[z] = a
-        offer(a)
-        offer(before[a])
+            pair[a] = r = rank(piece[a : after[z]])
+            if r is not None:
+                heapq.heappush(heap, r << 32 | a)
+        p = before[a]
+        if p >= 0:
+            pair[p] = r = rank(piece[p:z])
+            if r is not None:
+                heapq.heappush(heap, r << 32 | p)
     out, a = [], 0
     while a < n:
-        out.append(rank(piece[a : end[a]]))
-        a = end[a]
+        out.append(rank(piece[a : after[a]]))
+        a = after[a]
     return out
 
 
@@ -134,21 +142,13 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str = public_tokenizers.PATTERN, memory: int = MEMORY):
         self.v, self.find, self.memory = vocabulary, regex.compile(pattern).findall, memory
+        self.pair_rank = {t: i for i, t in enumerate(vocabulary.tokens)}.get
         self.seen: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[bytes, int] = {}
-
-    def _rank(self, token: bytes) -> int:
-        r = self.pairs.get(token)
-        if r is None:
-            r = self.v.rank(token)
-            if len(self.pairs) < self.memory and len(token) <= _LONG:
-                self.pairs[token] = r
-        return r
 
     def piece(self, text: str) -> tuple[int, ...]:
         data = text.encode()
         whole = self.v.rank(data)
-        ids = (whole,) if whole >= 0 else tuple(merge(data, self._rank))
+        ids = (whole,) if whole >= 0 else tuple(merge(data, self.pair_rank))
         if len(text) <= _LONG:
             if len(self.seen) >= self.memory:
                 self.seen.clear()
@@ -184,12 +184,24 @@ def encoding_digests(docs: DataFrame, path: str | None = None, pattern: str = pu
     return _encoded(docs, path, pattern, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
 
 
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def _encoder(vocabulary, pattern: str) -> Encoder:
+    """The worker's encoder for a broadcast vocabulary: later tasks reuse what it has resolved."""
+    key = (vocabulary.value.digest, pattern)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(vocabulary.value, pattern)
+    return _ENCODERS[key]
+
+
 def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, shape) -> DataFrame:
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(Vocabulary.load(path or public_tokenizers.path(RANK_FILE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value, pattern)
+        encoder = _encoder(vocabulary, pattern)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
