@@ -56,23 +56,27 @@ def seed_bucket(number: Column, buckets: int = RANK_BUCKETS) -> Column:
     return F.floor(number / F.lit(float(2**63)) * buckets).cast("int")
 
 
-def ranked(df: DataFrame, keys: list[str], bucket: str, order: list[Column], out: str) -> DataFrame:
-    """Rank (from 1) of each row within ``keys``, in the order of (``bucket``, ``order``).
+def cell_counts(df: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+    """Rows of each (keys, bucket) cell as ``_n``, counted in part before the shuffle."""
+    return df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
 
-    ``bucket`` is a column that rises with the order and deals a group out evenly: each
-    (keys, bucket) cell is numbered in its own task and shifted by the rows of the cells
-    before it, so a key that holds most rows is not ranked in one task. Rows per cell are
-    counted first (partial counts; one row per cell is shuffled). ``keys`` hold no nulls.
+
+def ranked(df: DataFrame, cells: DataFrame, keys: list[str], bucket: str, order: list[Column], out: str) -> DataFrame:
+    """Rank (from 1) of each row within ``keys``, in the order of (``bucket``, ``order``), with
+    the rows of its group as ``{out}_of`` and the columns that ``cells`` has beside its counts.
+
+    ``bucket`` is a column that rises with the order and deals a group out evenly; ``cells`` are
+    its :func:`cell_counts`. Each cell is numbered in its own task and shifted by the rows of the
+    cells before it, so a key that holds most rows is not ranked in one task. Keys hold no nulls.
     """
-    cells = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(*keys, bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = Window.partitionBy(*keys, bucket).orderBy(*order)
-    return (
-        df.join(cells, [*keys, bucket])
-        .withColumn(out, F.col("_before") + F.row_number().over(own))
-        .drop("_before")
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn(
+        f"{out}_of", F.sum("_n").over(group)
     )
+    own = Window.partitionBy(*keys, bucket).orderBy(*order)
+    joined = df.join(cells.drop("_n"), [*keys, bucket])
+    return joined.withColumn(out, F.col("_before") + F.row_number().over(own)).drop("_before")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

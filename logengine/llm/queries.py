@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logengine.llm import bpe, oracle_quality, quality, simhash
-from logengine.llm.common import checkpointed, read
+from logengine.llm import bpe, mixing, oracle_quality, quality, sharding, simhash
+from logengine.llm.common import checkpointed, n_words, read
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,24 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; counts at most one apart."""
+    rows = checkpointed(sharding.described(read(spark, sf_dir, "documents", "doc_id", "text", "source")))
+    return sharding.shard(rows).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, beside its source's size and target."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    sized = checkpointed(
+        docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_text"))
+    )
+    return mixing.mix_sized(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and the decoded bytes of every document."""
     return bpe.encoding_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -31,6 +50,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_simhash": op5_simhash,
+    "op6_sharding": op6_sharding,
+    "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logengine.llm import bpe, quality, simhash
+from logengine.llm import bpe, mixing, quality, simhash
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed
 
 
@@ -29,6 +29,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.select(*DOCUMENT_COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = mixing.mix(docs.select(*DOCUMENT_COLUMNS)).where("copies > 0")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*DOCUMENT_COLUMNS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that is left, with the bytes they decode to."""
     return bpe.encode_documents(docs.select("doc_id", "text"))
