@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, mixing, oracle_quality, quality, sharding, simhash
+from logengine.llm import bpe, mixing, oracle_quality, passages, quality, sharding, simhash
 from logengine.llm.common import checkpointed, n_words, read
 
 
@@ -19,6 +19,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, limits).select("doc_id", *quality.LONGS, "base_failed", "kept")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that a document shares with an earlier one."""
+    return passages.passages(read(spark, sf_dir, "documents", "doc_id", "text")).drop("text_hash")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -49,6 +54,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logengine.llm import bpe, mixing, quality, simhash
+from logengine.llm import bpe, mixing, passages, quality, simhash
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed
 
 
@@ -29,6 +29,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.select(*DOCUMENT_COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has too."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    return passages.without_passages(docs, passages.passages(docs))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     mixed = mixing.mix(docs.select(*DOCUMENT_COLUMNS)).where("copies > 0")
