@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, mixing, oracle_quality, passages, quality, sharding, simhash
+from logengine.llm import bpe, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
 from logengine.llm.common import checkpointed, n_words, read
 
 
@@ -52,6 +52,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return lzfingerprint.with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_lz_fingerprint": op9_lz_fingerprint,
 }
 
 ORACLE_SQL: dict[str, str] = {
