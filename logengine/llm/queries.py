@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
+from logengine.llm import bpe, chat, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
 from logengine.llm.common import checkpointed, n_words, read
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation and of one that holds control strings."""
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.format_digests(turns.unionByName(more))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
@@ -58,6 +66,7 @@ def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_rules": op2_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
