@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, chat, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
+from logengine.llm import bpe, chat, classifier, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
 from logengine.llm.common import checkpointed, n_words, read
 
 
@@ -65,6 +65,15 @@ def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lzfingerprint.with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = classifier.fit(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return classifier.score(docs, model).select(
+        "doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_rules": op2_quality_rules,
@@ -74,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_lz_fingerprint": op9_lz_fingerprint,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
