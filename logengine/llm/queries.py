@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, chat, classifier, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash
+from logengine.llm import bpe, chat, classifier, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash, urlfilter
 from logengine.llm.common import checkpointed, n_words, read
 
 
@@ -27,6 +27,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, limits).select("doc_id", *quality.LONGS, "base_failed", "kept")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, listed rule and verdict of every page's url."""
+    return urlfilter.judge(read(spark, sf_dir, "pages", "page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", "learned", "confidence"
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that a document shares with an earlier one."""
     return passages.passages(read(spark, sf_dir, "documents", "doc_id", "text")).drop("text_hash")
@@ -77,6 +84,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_rules": op2_quality_rules,
+    "op3_url_filters": op3_url_filters,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
