@@ -167,8 +167,12 @@ class Encoder:
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(doc_id, ids, decoded) of every row: the ids of the whole text and the bytes they decode to."""
-    return _encoded(docs, path, pattern, "doc_id long, ids array<int>, decoded binary", lambda ids, data: (ids, data))
+    """(doc_id, n_tokens, ids, decoded) of every row: the ids of the whole text and the bytes they
+    decode to."""
+    return _encoded(
+        docs, path, pattern, "doc_id long, n_tokens long, ids array<int>, decoded binary",
+        lambda ids, data: (len(ids), ids, data),
+    )
 
 
 def encoding_digests(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:

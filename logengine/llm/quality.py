@@ -86,9 +86,8 @@ def measure(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "_upper",
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return counted.select(
-        *own,
-        *LONGS,
+    figures = F.struct(
+        *(F.col(c) for c in LONGS),
         failed.alias("base_failed"),
         _ratio("n_symbols", "n_words").alias("_f_symbols"),
         _ratio("n_dup_lines", "_n_lines").alias("_f_dup_lines"),
@@ -98,6 +97,9 @@ def measure(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.coalesce(source_key(F.col("lang")), F.lit("1")).alias("_lang"),
         source_key(F.col("source")).alias("_source"),
     )
+    # The one-element explode keeps later filters on the figures from being moved below the
+    # projections, where the optimizer would write the whole word array into each lambda.
+    return counted.select(*own, F.explode(F.array(figures)).alias("_m")).select(*own, "_m.*")
 
 
 def sketch_key(value: Column) -> Column:
