@@ -1,7 +1,7 @@
 """Counts over log records and words.
 
-Every aggregate here is partial-aggregatable (count / sum / max_by), so a
-hot key is combined map-side before the shuffle: a key holding a third
+Raw rows only meet hash aggregates (counts, sums and fixed-width maxima),
+so a hot key is combined map-side, without a sort: a key holding a third
 of all rows sends one row per task, not a third of the data.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logengine.functions.text import FIXED_LEVELS, java_split, series_key
-from logengine.operators.windows import pane_end_us, sliding_count
+from logengine.operators.windows import arrival_order, pane_end_us, sliding_count
 
 LEVEL_KEYS = ["hostName", "serviceName", "logType"]
 
@@ -28,12 +28,13 @@ def fixed_level_count(records: DataFrame) -> DataFrame:
 
 
 def union_levels(records: DataFrame) -> DataFrame:
-    """The four-branch UNION ALL form of :func:`fixed_level_count`.
+    """What the four-branch UNION ALL gives, in one pass over the input."""
+    return fixed_level_count(records)
 
-    Kept so the branch form is tested equal to the one-pass form; the plan
-    has four aggregates over one cached-or-rescanned input, so prefer
-    :func:`fixed_level_count` for real work.
-    """
+
+def union_levels_by_branch(records: DataFrame) -> DataFrame:
+    """The UNION ALL written out: one aggregate per level, four scans. Only
+    for checking :func:`union_levels` against it."""
     parts = [
         records.where(F.col("logType") == lv)
         .groupBy("hostName", "serviceName")
@@ -48,16 +49,21 @@ def union_levels(records: DataFrame) -> DataFrame:
 
 
 def key_count_per_tick(records: DataFrame, slide_s: int = 5, ts_col: str = "record_ts",
-                       by_tick: bool = False) -> DataFrame:
+                       parts: int = 0) -> DataFrame:
     """``(tick, key, cnt)``: per-batch count of each ``host_service_level``."""
     keyed = records.select(ts_col, series_key("hostName", "serviceName", "logType").alias("key"))
-    return sliding_count(keyed, ["key"], slide_s, slide_s, ts_col=ts_col, count_col="key", by_tick=by_tick)
+    return sliding_count(keyed, ["key"], slide_s, slide_s, ts_col=ts_col, count_col="key", parts=parts)
 
 
 def latest_level(records: DataFrame, ts_col: str = "record_ts") -> DataFrame:
     """Last-writer-wins level per host, made deterministic: latest arrival,
-    then highest offset."""
-    return records.groupBy("hostName").agg(F.max_by("logType", F.struct(ts_col, "off")).alias("logType"))
+    then highest offset.
+
+    Raw rows are hash-aggregated to the latest moment of each (host, level)
+    first (the moment is one fixed-width number, so the buffer needs no
+    sort); the few rows left decide each host."""
+    last = records.groupBy("hostName", "logType").agg(F.max(arrival_order(records, ts_col)).alias("_at"))
+    return last.groupBy("hostName").agg(F.max_by("logType", F.struct("_at", "logType")).alias("logType"))
 
 
 def words(texts: DataFrame, text_col: str, keep: tuple[str, ...] = (), with_pos: bool = True) -> DataFrame:

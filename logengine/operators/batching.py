@@ -1,16 +1,16 @@
 """Cut encoded points into write batches.
 
-Points are grouped by (database, retention policy) and cut into batches
-of at most ``batch_size`` points, one newline-terminated payload each.
-Both columns are group keys (the reference joined them with ``_``, which
-can collide).
-
-Scale: the numbering window is partitioned by ``(db, rp, salt)`` with
-``salt = pmod(id, salts)``, so one hot database is spread over ``salts``
-window partitions instead of landing in one task; choose ``salts`` so
-rows / (dbs × salts) fits a task, or ``salts="auto"`` to size the salt
-count per database from its row count. Each payload then holds at most
-``batch_size`` lines, so no group is unbounded.
+Points are grouped by (database, retention policy), both of them keys
+(the reference joined them with ``_``, which can collide), and cut in id
+order into batches of at most ``batch_size`` points, one
+newline-terminated payload each. Numbers come from
+:mod:`logengine.operators.numbering`, so a hot database is spread over
+many tasks and the cut never depends on partitioning or size; the
+byte-only forms shuffle sizes and hashes, never texts.
+
+For small frequent batches (a tick) ``buckets`` cuts by a hash of the line
+instead, a fixed number of parts per database, without looking at the data
+first. A null line is an error: every point counted is in a payload.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logengine.operators.numbering import ordinal_within, positions
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for right results)
 # ---------------------------------------------------------------------------
@@ -28,6 +30,8 @@ DEFAULT_CONSISTENCY = "one"
 CONSISTENCY_LEVELS = ("all", "any", "one", "quorum")
 # ---------------------------------------------------------------------------
 
+GROUP = ["db", "rp"]
+
 
 def consistency(level: str | None) -> str:
     lv = (level or DEFAULT_CONSISTENCY).lower()
@@ -36,55 +40,30 @@ def consistency(level: str | None) -> str:
     return lv
 
 
-# Largest per-database table broadcast for ``salts="auto"`` (rows; one row
-# per (db, rp) pair). Above it the small table is shuffle-joined instead.
-AUTO_SALT_BROADCAST_ROWS = 100_000
+def _line() -> Column:
+    return F.coalesce("line", F.raise_error(F.lit("a point has no line")).cast("string"))
 
 
-def _auto_salts(lines: DataFrame, rows_per_task: int) -> DataFrame:
-    """Join each line with a salt count sized to its database: a database
-    holding a third of all points gets thousands of salts, a small one gets
-    one. The per-(db, rp) counts are one partial aggregate; the table has
-    one row per database and is broadcast only under a checked size."""
-    per_db = lines.groupBy("db", "rp").agg(F.count(F.lit(1)).alias("_n")).select(
-        "db", "rp", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("long").alias("_salts")
-    )
-    n_db = per_db.count()  # one scalar reaches the driver
-    side = F.broadcast(per_db) if n_db <= AUTO_SALT_BROADCAST_ROWS else per_db
-    return lines.join(side, ["db", "rp"], "inner")
+def _tie(line: Column) -> Column:
+    """Orders points of one id: the first 60 bits of the line's MD5."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
 
 
-def assign_batches(lines: DataFrame, batch_size: int, salts: int | str = 64, id_col: str = "id",
-                   salt: Column | None = None, rows_per_task: int = 2_000_000) -> DataFrame:
-    """Add ``salt`` and ``batch_no`` (0-based, per db / rp / salt, by id;
-    the line text breaks ties so the numbering is repeatable on retry).
-
-    ``salts`` is a fixed count, or ``"auto"`` to size it per database so a
-    window partition holds about ``rows_per_task`` lines."""
+def _check(batch_size: int) -> None:
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    if salts == "auto":
-        if rows_per_task < 1:
-            raise ValueError("rows_per_task must be at least 1")
-        lines = _auto_salts(lines, rows_per_task)
-        s = salt if salt is not None else F.pmod(F.col(id_col), F.col("_salts"))
-    else:
-        if not isinstance(salts, int) or salts < 1:
-            raise ValueError("salts must be a positive integer or 'auto'")
-        s = salt if salt is not None else F.pmod(F.col(id_col), F.lit(salts))
-    w = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line")
-    out = lines.withColumn("salt", s.cast("int")).withColumn(
-        "batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("int")
+
+
+def _sizes(lines: DataFrame, id_col: str) -> DataFrame:
+    """``(db, rp, id, _tie, n)``: all that numbering and byte sums need."""
+    return lines.select(
+        *GROUP, F.col(id_col).alias("id"), _tie(_line()).alias("_tie"),
+        (F.octet_length(_line()) + F.lit(1)).cast("long").alias("n"),
     )
-    return out.drop("_salts") if salts == "auto" else out
 
 
-def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id",
-                  rows_per_task: int = 2_000_000) -> DataFrame:
-    """``(db, rp, salt, batch_no, n_points, n_bytes, payload)`` from
-    ``(db, rp, id, line)``. Lines keep id order inside a payload."""
-    b = assign_batches(lines, batch_size, salts, id_col, rows_per_task=rows_per_task)
-    return b.groupBy("db", "rp", "salt", "batch_no").agg(
+def _payloads(numbered: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    return numbered.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.sum(F.octet_length("line") + F.lit(1)).alias("n_bytes"),
         F.concat(
@@ -94,49 +73,57 @@ def write_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 6
     )
 
 
-def oversize_batches(lines: DataFrame, batch_size: int = 5000, salts: int | str = 64, id_col: str = "id",
-                     limit: int = DATAGRAM_LIMIT, rows_per_task: int = 2_000_000) -> DataFrame:
-    """``(db, rp, salt, batch_no, n_points, n_bytes, oversize)`` without
-    building payloads: bytes are summed per batch (partial aggregate)."""
-    b = assign_batches(lines, batch_size, salts, id_col, rows_per_task=rows_per_task)
+def write_batches(lines: DataFrame, batch_size: int = 5000, id_col: str = "id") -> DataFrame:
+    """``(db, rp, batch_no, n_points, n_bytes, payload)`` from ``(db, rp,
+    id, line)``: exactly ``batch_size`` points each but for the last of a
+    (db, rp). Lines keep id order inside a payload."""
+    _check(batch_size)
+    tied = lines.withColumn("line", _line()).withColumn("_tie", _tie(F.col("line")))
+    numbered = ordinal_within(tied, GROUP, [id_col, "_tie"], out_col="_at")
+    numbered = numbered.withColumn("batch_no", F.floor(F.col("_at") / F.lit(batch_size)).cast("int"))
+    return _payloads(numbered, [*GROUP, "batch_no"], id_col)
+
+
+def bucket_batches(lines: DataFrame, batch_size: int = 5000, buckets: int = 8, id_col: str = "id") -> DataFrame:
+    """``(db, rp, bucket, batch_no, n_points, n_bytes, payload)``: like
+    :func:`write_batches` within each of a fixed number of hash buckets of
+    the line; one shuffle, no pass over the data beforehand."""
+    _check(batch_size)
+    if buckets < 1:
+        raise ValueError("buckets must be at least 1")
+    dealt = lines.withColumn("line", _line()).withColumn(
+        "bucket", F.pmod(F.xxhash64("line"), F.lit(buckets)).cast("int"))
+    w = Window.partitionBy(*GROUP, "bucket").orderBy(id_col, "line")
+    numbered = dealt.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("int"))
+    return _payloads(numbered, [*GROUP, "bucket", "batch_no"], id_col)
+
+
+def oversize_batches(lines: DataFrame, batch_size: int = 5000, id_col: str = "id", limit: int = DATAGRAM_LIMIT) -> DataFrame:
+    """``(db, rp, batch_no, n_points, n_bytes, oversize)`` of the batches of
+    :func:`write_batches`, without building payloads or moving lines."""
+    _check(batch_size)
+    numbered = ordinal_within(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at")
     return (
-        b.groupBy("db", "rp", "salt", "batch_no")
-        .agg(F.count(F.lit(1)).alias("n_points"), F.sum(F.octet_length("line") + F.lit(1)).alias("n_bytes"))
+        numbered.groupBy(*GROUP, F.floor(F.col("_at") / F.lit(batch_size)).cast("int").alias("batch_no"))
+        .agg(F.count(F.lit(1)).alias("n_points"), F.sum("n").alias("n_bytes"))
         .withColumn("oversize", F.col("n_bytes") > F.lit(limit))
     )
 
 
-def points_per_payload(lines: DataFrame, limit: int = DATAGRAM_LIMIT) -> int:
-    """Largest batch size that keeps every payload within ``limit`` bytes:
-    ``limit // (longest line + 1)``. One scalar aggregate (a single row
-    reaches the driver)."""
-    longest = lines.agg(F.max(F.octet_length("line"))).first()[0] or 0
-    return max(1, limit // (longest + 1))
-
+def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, id_col: str = "id") -> DataFrame:
+    """``(db, rp, batch_no, n_points, n_bytes)``: payloads cut by size so
+    that every one fits in ``limit`` bytes (lines newline-terminated).
 
-def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, salts: int | str = "auto", id_col: str = "id",
-                 rows_per_task: int = 2_000_000) -> DataFrame:
-    """``(db, rp, salt, batch_no, n_points, n_bytes)``: payloads cut by size
-    so that every one fits in ``limit`` bytes (lines newline-terminated).
-
-    Each line gets its running byte offset inside ``(db, rp, salt)`` (a
-    window sum in id order) and goes to batch ``offset div (limit - L)``,
-    where L is the longest line of its group plus the newline. A batch then
-    spans less than ``limit - L`` bytes of starts plus at most one line, so
-    it never exceeds ``limit``; unlike a greedy cut it needs no sequential
-    pass. The running sum and L are two frames of one window operator (one
-    sort), so the lines are encoded and shuffled once. A line longer than
+    Each line has its running byte offset inside (db, rp) in id order and
+    goes to batch ``offset div (limit - L)``, where L is the longest line of
+    its (db, rp) plus the newline. A batch then spans less than ``limit - L``
+    bytes of starts plus at most one line, so it never exceeds ``limit``;
+    unlike a greedy cut it needs no sequential pass. A line longer than
     ``limit`` on its own fails the job, as a datagram could not carry it."""
-    size = F.octet_length("line") + F.lit(1)
-    salted = assign_batches(lines, 1, salts, id_col, rows_per_task=rows_per_task).drop("batch_no")
-    spec = Window.partitionBy("db", "rp", "salt").orderBy(id_col, "line")
-    start = F.coalesce(F.sum(size).over(spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    longest = F.max(size).over(spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    step = F.lit(limit) - longest
+    placed = positions(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", size_col="n")
+    step = F.lit(limit) - F.col("longest")
     batch_no = F.when(step <= 0, F.raise_error(F.lit(f"a line does not fit in {limit} bytes"))) \
-        .otherwise(F.floor(start / step)).cast("int")
-    return (
-        salted.withColumn("batch_no", batch_no)
-        .groupBy("db", "rp", "salt", "batch_no")
-        .agg(F.count(F.lit(1)).alias("n_points"), F.sum(size).alias("n_bytes"))
+        .otherwise(F.floor(F.col("start") / step)).cast("int")
+    return placed.groupBy(*GROUP, batch_no.alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("n_points"), F.sum("n").alias("n_bytes")
     )

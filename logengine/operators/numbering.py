@@ -1,56 +1,94 @@
-"""Exact 0-based ordinals within a group, safe under heavy skew.
+"""Exact positions within a group (ordinals, running sums), safe under skew.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends a whole group to
-one task; a group holding a third of all rows would then sort a third of
-the data in one task. Here the frame is range-partitioned on
-``(g, o)`` (Spark samples the keys, so a hot group is split across many
-partitions), sorted inside each partition, and each row gets its index
-inside the partition. A small aggregate of per-(group, partition) counts,
-prefix-summed per group, gives each partition's starting offset; adding
-it yields the exact ordinal. The offset table has one row per
-(group, partition) pair; AQE broadcasts it only when its measured size is
-under the broadcast threshold, otherwise it is a shuffle join.
-
-The numbered, range-partitioned frame is checkpointed once (reliable
-checkpoint into ``spark.checkpoint.dir``) and both the rows and the
-per-partition counts are read from it. The ordering must be total (add a
-unique tie-breaker) for the ordinals to be well defined.
+one task. Here every row first gets a range bucket of the whole order key
+``(g, o)``: the bounds are literals, taken once from a fixed-size sample
+(the rows of least hash, so the same rows each time), and only steer
+placement, never the result. Each (group, bucket) cell is numbered on its
+own and shifted by the totals of the cells before it. A group holding a
+third of all rows is spread over a third of the buckets.
+
+One extra pass takes the sample, one aggregates the cells (partial sums,
+one row per cell is shuffled); the rows are shuffled once, by (group,
+bucket), for both the join with the cells and the window. Nothing is
+checkpointed and a retry gives the same numbers. The order must be total
+up to rows that are equal anyway (add a unique tie-breaker).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logengine.session import checkpoint_dir
+#: Rows that the range bounds are taken from, whatever the input size.
+SAMPLE_ROWS = 4096
 
 
-def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                   num_partitions: int | None = None, out_col: str = "ordinal") -> DataFrame:
-    g = list(group_cols)
-    o = list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *g, *o)
-        .sortWithinPartitions(*g, *o)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_idx", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    )
-    # The range bounds come from a sample seeded by the RDD id, so the two
-    # uses below (rows, and per-partition counts) would each draw their
-    # own bounds unless they share one exchange; column pruning makes their
-    # plans differ. Materialise the numbered frame once (reliable
-    # checkpoint into the cluster's spark.checkpoint.dir) so both read the
-    # same partitions; this also cuts the lineage for retries.
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy(*g, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (
-        ranged.join(offsets.select(*g, "_pid", "_first", "_before"), on=[*g, "_pid"], how="inner")
-        .withColumn(out_col, F.col("_before") + F.col("_idx") - F.col("_first"))
-        .drop("_pid", "_idx", "_first", "_before")
+def _bounds(df: DataFrame, cols: Sequence[str], n: int, sample_rows: int) -> list[tuple]:
+    keys = df.select(*cols)
+    sample = keys.orderBy(F.xxhash64(*cols)).limit(sample_rows).collect()
+    # nulls first; a null is only ever compared with its flag
+    rows = sorted((tuple(r) for r in sample), key=lambda r: tuple((v is not None, *([v] if v is not None else [])) for v in r))
+    picked = [rows[len(rows) * i // n] for i in range(1, n)] if rows else []
+    return list(dict.fromkeys(picked))
+
+
+def _before(cols: Sequence[str], bound: tuple) -> Column:
+    """The row sorts before the bound (nulls first)."""
+    out = F.lit(False)
+    for name, value in reversed(list(zip(cols, bound, strict=True))):
+        c = F.col(name)
+        if value is None:
+            out = c.isNull() & out
+        else:
+            out = c.isNull() | (c < F.lit(value)) | ((c == F.lit(value)) & out)
+    return F.coalesce(out, F.lit(False))
+
+
+def range_bucket(df: DataFrame, cols: Sequence[str], n: int | None = None, sample_rows: int = SAMPLE_ROWS) -> Column:
+    """Number of the range (of about ``n``) that a row falls into in the
+    order of ``cols``: a binary search over literal bounds."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(df, cols, n, sample_rows)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(_before(cols, bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bounds))
+
+
+def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str = "ordinal",
+              size_col: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Add ``out_col``: the 0-based place of each row in its group. With
+    ``size_col`` also ``start`` (sum of the sizes before the row) and
+    ``longest`` (largest size of the group). Null keys are a group."""
+    g, o = list(group_cols), list(order_cols)
+    placed = df.withColumn("_b", range_bucket(df, [*g, *o], buckets)).withColumn("_g", F.struct(*g))
+    sums = [F.count(F.lit(1)).alias("_n")]
+    if size_col:
+        sums += [F.sum(size_col).alias("_size"), F.max(size_col).alias("_max")]
+    cells = placed.groupBy("_g", "_b").agg(*sums)
+    group = Window.partitionBy("_g")
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = [F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n0")]
+    if size_col:
+        offsets += [F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_size0"), F.max("_max").over(group).alias("longest")]
+    own = Window.partitionBy("_g", "_b").orderBy(*o)
+    out = placed.join(cells.select("_g", "_b", *offsets), ["_g", "_b"]).withColumn(
+        out_col, (F.col("_n0") + F.row_number().over(own) - 1).cast("long")
     )
+    if size_col:
+        inside = F.sum(size_col).over(own.rowsBetween(Window.unboundedPreceding, -1))
+        out = out.withColumn("start", F.col("_size0") + F.coalesce(inside, F.lit(0)))
+    return out.drop("_g", "_b", "_n0", "_size0")
+
+
+def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                   buckets: int | None = None, out_col: str = "ordinal") -> DataFrame:
+    """:func:`positions` without sizes."""
+    return positions(df, group_cols, order_cols, out_col, buckets=buckets)

@@ -2,13 +2,13 @@
 
 All built-in expressions: the marker filter and the token-count check
 are plain predicates that fuse into one whole-stage-codegen span with the
-scan, and the split is evaluated once per row (Catalyst does not inline
-a non-trivial alias into several references).
+scan. The check counts separators instead of splitting, so a row is split
+once, in the projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logengine.functions.text import (
@@ -32,8 +32,15 @@ def header_lines(rows: DataFrame) -> DataFrame:
     return rows.where(has_level_marker("value"))
 
 
+def _five_tokens(value: str = "value") -> Column:
+    """At least five tokens, without splitting: four separators are left
+    once trailing spaces (empty tokens, which the split drops) are cut."""
+    cut = F.rtrim(F.col(value))
+    return F.length(cut) - F.length(F.replace(cut, F.lit(" "), F.lit(""))) >= 4
+
+
 def _tokenized(rows: DataFrame) -> DataFrame:
-    return header_lines(rows).withColumn(_TOK, java_split("value"))
+    return header_lines(rows).where(_five_tokens()).withColumn(_TOK, java_split("value"))
 
 
 def parse_log(rows: DataFrame, legacy_offset: bool = False, keep: tuple[str, ...] = ("off", "record_ts")) -> DataFrame:
@@ -47,7 +54,6 @@ def parse_log(rows: DataFrame, legacy_offset: bool = False, keep: tuple[str, ...
     line_ts = F.concat_ws(" ", token(t, 2), token(t, 3))
     return (
         _tokenized(rows)
-        .where(F.size(t) >= 5)
         .select(
             *keep,
             token(t, 0).alias("hostName"),
@@ -65,7 +71,6 @@ def log_message(rows: DataFrame) -> DataFrame:
     t = F.col(_TOK)
     return (
         _tokenized(rows)
-        .where(F.size(t) >= 5)
         .select(
             "off",
             token(t, 4).alias("logType"),
@@ -82,12 +87,15 @@ def rejects(rows: DataFrame) -> DataFrame:
     ``too_few_tokens`` = marker present but fewer than five tokens (the
     reference throws and the job dies; here the stream goes on).
     """
-    t = java_split("value")
-    reason = (
-        F.when(~has_level_marker("value"), F.lit("no_level_marker"))
-        .when(F.size(t) < 5, F.lit("too_few_tokens"))
-    )
-    return rows.select("off", "record_ts", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
+    marked, enough = has_level_marker("value"), _five_tokens()
+    reason = F.when(~marked, F.lit("no_level_marker")).otherwise(F.lit("too_few_tokens"))
+    return rows.where(~marked | ~enough).select("off", "record_ts", "value", reason.alias("reason"))
+
+
+def untimed(rows: DataFrame) -> DataFrame:
+    """Records whose own time does not parse: what an event-time stream
+    leaves out."""
+    return parse_log(rows).where(F.col("event_ts").isNull())
 
 
 def row_kind_counts(rows: DataFrame) -> DataFrame:
@@ -103,8 +111,3 @@ def with_series_key(records: DataFrame) -> DataFrame:
 def format_log(records: DataFrame) -> DataFrame:
     """A record back to one text line, five fields joined by one space."""
     return records.select("off", printf_join(*RECORD_COLUMNS).alias("line"))
-
-
-def drop_continuations(rows: DataFrame) -> DataFrame:
-    """Parsed records only (continuation and short rows removed)."""
-    return parse_log(rows)

@@ -25,20 +25,23 @@ from logengine.functions.time import epoch_us_ntz, to_nanos
 
 def time_ns(df: DataFrame, time_col: str | None, unit: str = "NANOSECONDS") -> Column:
     """Point time in ns: timestamps exactly, integer epochs scaled from
-    ``unit``; no column means the current time in ms (as the builder)."""
+    ``unit``; no column, or a null in it, means the current time in ms (as
+    the builder)."""
     if time_col is None:
         return F.unix_millis(F.current_timestamp()) * F.lit(1_000_000)
     dtype = df.schema[time_col].dataType
     c = F.col(time_col)
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c) * F.lit(1000)
-    if isinstance(dtype, T.TimestampNTZType):
-        return epoch_us_ntz(c) * F.lit(1000)
-    if isinstance(dtype, T.DateType):
-        return epoch_us_ntz(c.cast("timestamp_ntz")) * F.lit(1000)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return to_nanos(c.cast("long"), unit)
-    raise TypeError(f"time column must be a timestamp, date or integer epoch, got {dtype.simpleString()}")
+        ns = F.unix_micros(c) * F.lit(1000)
+    elif isinstance(dtype, T.TimestampNTZType):
+        ns = epoch_us_ntz(c) * F.lit(1000)
+    elif isinstance(dtype, T.DateType):
+        ns = epoch_us_ntz(c.cast("timestamp_ntz")) * F.lit(1000)
+    elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        ns = to_nanos(c.cast("long"), unit)
+    else:
+        raise TypeError(f"time column must be a timestamp, date or integer epoch, got {dtype.simpleString()}")
+    return F.coalesce(ns, F.unix_millis(F.current_timestamp()) * F.lit(1_000_000))
 
 
 def encode_points(
@@ -54,7 +57,9 @@ def encode_points(
     keep: Sequence[str] = (),
     with_time: bool = True,
 ) -> DataFrame:
-    """``(*keep, line)``: one line-protocol point per row.
+    """``(*keep, line)``: one line-protocol point per valid row; rows that
+    cannot become a point are left to :func:`invalid_points`, called with
+    the same arguments, so every row is in exactly one of the two.
 
     ``tags`` are column names (tag key = column name) or ``{key: column}``;
     ``tags_map`` is a ``MAP<STRING,STRING>`` column for dynamic tag sets.
@@ -73,23 +78,45 @@ def encode_points(
         tags_text = tags_text_from_columns({k: F.col(c).cast("string") for k, c in tag_cols.items()})
     ftxt = fields_text(field_specs(df.schema, fields), legacy_numbers=legacy_numbers)
     t = time_ns(df, time_col, time_unit) if with_time else None
-    return df.select(*keep, point_line(measurement, tags_text, ftxt, t).alias("line"))
+    reason = invalid_reason(df, measurement, fields, tags, tags_map)
+    return df.where(reason.isNull()).select(*keep, point_line(measurement, tags_text, ftxt, t).alias("line"))
 
 
 def invalid_points(
     df: DataFrame,
     measurement: str | Column,
     fields: Sequence[str],
-    tags: Sequence[str] = (),
+    tags: Sequence[str] | Mapping[str, str] = (),
     keep: Sequence[str] = (),
+    tags_map: str | None = None,
 ) -> DataFrame:
-    """``(*keep, reason)`` for rows that cannot become a point: empty
-    measurement, a null tag value, a null string field, or no non-null
-    field at all. These go to a rejects output instead of failing."""
+    """``(*keep, reason)`` for rows that cannot become a point. These go to
+    a rejects output instead of failing."""
+    reason = invalid_reason(df, measurement, fields, tags, tags_map)
+    return df.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def invalid_reason(
+    df: DataFrame,
+    measurement: str | Column,
+    fields: Sequence[str],
+    tags: Sequence[str] | Mapping[str, str] = (),
+    tags_map: str | None = None,
+) -> Column:
+    """Why a row cannot become a point, or null: empty measurement, a null
+    tag value, a null string field, a field that is not a finite number, or
+    no non-null field at all. The encoder and the rejects share it."""
+    tags = list(tags.values()) if isinstance(tags, Mapping) else list(tags)
     m = F.lit(measurement) if isinstance(measurement, str) else measurement
     types = {f.name: f.dataType for f in df.schema.fields}
     null_string = [F.col(f).isNull() for f in fields if isinstance(types[f], T.StringType)]
     null_tag = [F.col(t).isNull() for t in tags]
+    if tags_map is not None:
+        null_tag.append(F.coalesce(F.exists(F.map_values(F.col(tags_map)), lambda v: v.isNull()), F.lit(False)))
+    not_finite = [
+        F.isnan(F.col(f)) | F.col(f).isin(float("inf"), float("-inf"))
+        for f in fields if isinstance(types[f], (T.FloatType, T.DoubleType))
+    ]
     any_field = F.lit(False)
     for f in fields:
         any_field = any_field | F.col(f).isNotNull()
@@ -99,7 +126,9 @@ def invalid_points(
     if null_string:
         reason = reason.when(_any(null_string), F.lit("null_string_field"))
     reason = reason.when(~any_field, F.lit("no_fields"))
-    return df.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
+    if not_finite:
+        reason = reason.when(_any([F.coalesce(c, F.lit(False)) for c in not_finite]), F.lit("not_finite"))
+    return reason
 
 
 def _any(cs: list[Column]) -> Column:

@@ -7,53 +7,90 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logengine.functions.lineproto import render_tag_entries, tag_entries
 from logengine.functions.time import iso_to_millis, scale_epoch
 from logengine.operators.numbering import ordinal_within
 
+UNREADABLE = "unreadable document"
+UNEVEN = "row longer than its header"
+
 RESULT_SCHEMA = (
     "results ARRAY<STRUCT<series: ARRAY<STRUCT<name: STRING, tags: MAP<STRING,STRING>, "
     "columns: ARRAY<STRING>, values: ARRAY<ARRAY<STRING>>>>, error: STRING>>, error STRING"
 )
 
 
+# Kept apart in the JSON options: a body that does not parse becomes a row
+# whose ``_bad`` holds it, instead of a null.
+_PARSE_SCHEMA = RESULT_SCHEMA + ", _bad STRING"
+
+
 def parse_results(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
-    return docs.select(id_col, F.from_json(F.col(body_col), RESULT_SCHEMA).alias("_r"))
+    """``(doc_id, _r, _unreadable)``: the parsed document and whether its
+    body is null or no JSON object of the expected shape."""
+    parsed = F.from_json(F.col(body_col), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    r = docs.select(id_col, parsed.alias("_r"))
+    return r.withColumn("_unreadable", F.col("_r").isNull() | F.col("_r._bad").isNotNull())
 
 
 def series_rows(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
     """One row per series value: ``(doc_id, result_idx, series_idx, name,
-    tags, row_idx, cells)`` where ``cells`` maps header column → cell text.
-    Results without series and series without values are kept (null
-    cells) so nothing is silently lost; errors are in :func:`result_errors`.
-    All nested work is per document (explode / zip), no shuffle."""
-    r = parse_results(docs, body_col, id_col)
-    res = r.select(id_col, F.posexplode(F.col("_r.results")).alias("result_idx", "_res"))
-    ser = res.select(id_col, "result_idx", F.posexplode_outer("_res.series").alias("series_idx", "_s"))
+    tags, row_idx, cells, error)`` where ``cells`` maps header column → cell
+    text. Documents without results, results without series and series
+    without values keep one row with nulls from there on; ``error`` is the
+    statement's error, else the query's. A short row has null cells for the
+    columns it lacks; a row longer than its header, and a body that cannot
+    be read, say so in ``error`` and have no cells. All nested work is per
+    document (explode / zip), no shuffle."""
+    r = parse_results(docs, body_col, id_col).select(
+        id_col, "_r", F.when(F.col("_unreadable"), F.lit(UNREADABLE)).otherwise(F.col("_r.error")).alias("_error")
+    )
+    res = r.select(id_col, "_error", F.posexplode_outer(F.col("_r.results")).alias("result_idx", "_res"))
+    ser = res.select(
+        id_col, "result_idx", F.coalesce("_res.error", "_error").alias("_error"),
+        F.posexplode_outer("_res.series").alias("series_idx", "_s"),
+    )
     vals = ser.select(
-        id_col, "result_idx", "series_idx",
+        id_col, "result_idx", "series_idx", "_error",
         F.col("_s.name").alias("name"), F.col("_s.tags").alias("tags"), F.col("_s.columns").alias("_cols"),
         F.posexplode_outer("_s.values").alias("row_idx", "_v"),
     )
+    header = F.coalesce(F.col("_cols"), F.array().cast("array<string>"))
+    fits = F.size("_v") <= F.size(header)
+    cells = F.map_from_entries(F.transform(header, lambda c, i: F.struct(c, F.get(F.col("_v"), i))))
     return vals.select(
         id_col, "result_idx", "series_idx", "name", "tags", "row_idx",
-        F.when(F.col("_v").isNotNull(), F.map_from_arrays("_cols", "_v")).alias("cells"),
-    ).where(F.col("series_idx").isNotNull())
+        F.when(F.col("_v").isNotNull() & fits, cells).alias("cells"),
+        F.when(F.col("_v").isNotNull() & ~fits, F.lit(UNEVEN)).otherwise(F.col("_error")).alias("error"),
+    )
+
+
+def _uneven(res: Column) -> Column:
+    """Some row of some series of a result has more cells than its header."""
+    def long_row(s: Column) -> Column:
+        width = F.coalesce(F.size(s["columns"]), F.lit(0))
+        return F.coalesce(F.exists(s["values"], lambda v: F.size(v) > F.greatest(width, F.lit(0))), F.lit(False))
+
+    return F.coalesce(F.exists(res["series"], long_row), F.lit(False))
 
 
 def result_errors(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
-    """``(doc_id, level, result_idx, error)``: failed results at both the
-    query level (``result_idx`` null) and the per-statement level, in one
-    pass over the documents (one candidate array per document, inlined)."""
+    """``(doc_id, level, result_idx, error)``: failed results at the query
+    level (``result_idx`` null; a body that cannot be read is one) and the
+    per-statement level (an uneven row of its series is one), in one pass
+    over the documents (one candidate array per document, inlined)."""
     r = parse_results(docs, body_col, id_col)
+    query_error = F.when(F.col("_unreadable"), F.lit(UNREADABLE)).otherwise(F.col("_r.error"))
     query_level = F.array(F.struct(
-        F.lit("query").alias("level"), F.lit(None).cast("int").alias("result_idx"), F.col("_r.error").alias("error")))
+        F.lit("query").alias("level"), F.lit(None).cast("int").alias("result_idx"), query_error.alias("error")))
     statement_level = F.transform(
         F.coalesce(F.col("_r.results"), F.array().cast(r.schema["_r"].dataType["results"].dataType)),
-        lambda res, i: F.struct(F.lit("result").alias("level"), i.alias("result_idx"), res["error"].alias("error")),
+        lambda res, i: F.struct(
+            F.lit("result").alias("level"), i.alias("result_idx"),
+            F.coalesce(res["error"], F.when(_uneven(res), F.lit(UNEVEN))).alias("error")),
     )
     return (
         r.select(id_col, F.inline(F.concat(query_level, statement_level)))
@@ -72,8 +109,20 @@ def with_series(points: DataFrame) -> DataFrame:
     return points.withColumn("series", render_tag_entries(tag_entries("tags"), sep_first=False))
 
 
-def group_by_all_tags(points: DataFrame, measurement: str) -> DataFrame:
-    """``SELECT * FROM m GROUP BY *`` summarised: one row per distinct tag
+def group_by_all_tags(points: DataFrame, measurement: str, tie_breakers: Sequence[str] = ("point_id",)) -> DataFrame:
+    """``SELECT * FROM m GROUP BY *``: the rows of every series (distinct tag
+    set), ``(measurement, series, row_idx, time_ns, value, *tie_breakers)``,
+    numbered in time order within their series. A series may be as hot as
+    the measurement: :func:`ordinal_within` spreads it; nothing is collected
+    per series."""
+    s = with_series(select_measurement(points, measurement)).select(
+        "measurement", "series", "time_ns", "value", *tie_breakers
+    )
+    return ordinal_within(s, ["measurement", "series"], ["time_ns", *tie_breakers, "value"], out_col="row_idx")
+
+
+def series_summary(points: DataFrame, measurement: str) -> DataFrame:
+    """The series of a measurement in short: one row per distinct tag
     set with its point count and time range. Rows are grouped by the
     sorted tag entries (partial aggregate; a hot series costs one row per
     task before the shuffle) and the series text is rendered once per
@@ -106,18 +155,17 @@ def chunked_result(points: DataFrame, measurement: str, chunk_size: int, group_b
         raise ValueError("chunk_size must be at least 1")
     s = with_series(select_measurement(points, measurement))
     group = ["series"] if group_by_tags else ["measurement"]
-    if columns is not None:
-        # the numbered frame is materialised once; carry only what is asked for
+    if columns is not None:  # carry only what is asked for through the shuffle
         need = list(dict.fromkeys([*group, "time_ns", *tie_breakers, *columns]))
         s = s.select(*need)
     o = ordinal_within(s, group, ["time_ns", *tie_breakers], out_col="row_idx")
     return o.withColumn("chunk", F.floor(F.col("row_idx") / F.lit(chunk_size)).cast("long"))
 
 
-def result_epoch(rows: DataFrame, time_col: str, unit: str) -> DataFrame:
+def result_epoch(rows: DataFrame, time_col: str, unit: str, out_col: str = "epoch") -> DataFrame:
     """Times as epoch numbers in ``unit`` (from ISO text)."""
     ns = iso_to_millis(F.col(time_col)) * F.lit(1_000_000)
-    return rows.withColumn("epoch", scale_epoch(ns, unit))
+    return rows.withColumn(out_col, scale_epoch(ns, unit))
 
 
 def time_range(points: DataFrame, start_iso: str, time_col: str = "time") -> DataFrame:

@@ -1,18 +1,20 @@
 """Result shaping: count lines, tick payloads, JSON documents, snapshots.
 
 Formatting runs on executors as column expressions; nothing is collected
-to the driver. Per-tick collections hold one entry per key of that tick
-(bounded by key cardinality) and are cut into parts of ``max_lines``.
+to the driver. The keys of a tick are dealt into a fixed number of parts
+by a hash of the key (``TICK_PARTS``, whatever the size), each written on
+its own, so no task and no value holds a whole tick.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logengine.functions.lineproto import escape_key
 from logengine.functions.text import series_key
 from logengine.functions.time import epoch_ns, java_timestamp_text
+from logengine.operators.windows import key_part
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for right results)
@@ -22,6 +24,9 @@ COUNT_TAG = "host_service_logtype"
 COUNT_FIELD = "count"
 # ---------------------------------------------------------------------------
 
+#: Parts that the keys of a tick are dealt into.
+TICK_PARTS = 8
+
 
 def count_lines(counts: DataFrame, escape: bool = True, with_time: bool = False) -> DataFrame:
     """``(tick, line)``: ``logtype_count,host_service_logtype=<h>_<s>_<l> count=<n>``.
@@ -37,15 +42,21 @@ def count_lines(counts: DataFrame, escape: bool = True, with_time: bool = False)
     parts = [F.lit(f"{COUNT_MEASUREMENT},{COUNT_TAG}="), tag, F.lit(f" {COUNT_FIELD}="), F.col("cnt").cast("string")]
     if with_time:
         parts += [F.lit(" "), epoch_ns("tick").cast("string")]
-    return counts.select("tick", F.concat(*parts).alias("line"))
+    kept = ["part"] if "part" in counts.columns else []
+    return counts.select("tick", *kept, F.concat(*parts).alias("line"))
+
+
+def with_part(counts: DataFrame, parts: int = TICK_PARTS) -> DataFrame:
+    """``counts`` with the ``part`` of each key (kept if it is there)."""
+    if "part" in counts.columns:
+        return counts
+    return counts.withColumn("part", key_part(series_key("hostName", "serviceName", "logType"), parts))
 
 
-def tick_payload(lines: DataFrame, max_lines: int = 5000) -> DataFrame:
-    """``(tick, part, n_lines, payload)``: a tick's lines, sorted, each ending
-    in a newline, cut into parts of at most ``max_lines``."""
-    w = Window.partitionBy("tick").orderBy("line")
-    numbered = lines.withColumn("part", F.floor((F.row_number().over(w) - 1) / F.lit(max_lines)).cast("int"))
-    return numbered.groupBy("tick", "part").agg(
+def tick_payload(lines: DataFrame) -> DataFrame:
+    """``(tick, part, n_lines, payload)``: the lines of each part of a tick,
+    sorted, each ending in a newline (``lines`` from :func:`with_part` counts)."""
+    return lines.groupBy("tick", "part").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.concat(F.array_join(F.array_sort(F.collect_list("line")), "\n"), F.lit("\n")).alias("payload"),
     )
@@ -68,20 +79,13 @@ def count_documents(counts: DataFrame) -> DataFrame:
     )
 
 
-def tick_snapshot(counts: DataFrame, max_entries: int = 10000) -> DataFrame:
+def tick_snapshot(counts: DataFrame, parts: int = TICK_PARTS) -> DataFrame:
     """``(key, part, value)``: per tick, key = tick text, value = JSON array
-    of ``{host_service_logtype, count}`` sorted by key (``[]`` when empty).
-
-    A tick with more than ``max_entries`` keys is cut into parts (part 0
-    holds the first ``max_entries`` keys in key order), so no single value
-    grows with the number of hosts."""
+    of ``{host_service_logtype, count}`` sorted by key. ``part`` belongs to
+    the key of what is written; ``parts=1`` gives one value per tick."""
     k = series_key("hostName", "serviceName", "logType")
     entry = F.struct(k.alias(COUNT_TAG), F.col("cnt").cast("string").alias(COUNT_FIELD))
-    w = Window.partitionBy("tick").orderBy(k)
-    parted = counts.select(
-        "tick", entry.alias("_e"),
-        F.floor((F.row_number().over(w) - 1) / F.lit(max_entries)).cast("int").alias("part"),
-    )
+    parted = with_part(counts, parts).select("tick", "part", entry.alias("_e"))
     return parted.groupBy("tick", "part").agg(F.to_json(F.array_sort(F.collect_list("_e"))).alias("value")).select(
         java_timestamp_text("tick").alias("key"), "part", "value"
     )

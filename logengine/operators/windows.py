@@ -17,11 +17,15 @@ A tick is the window end; window ``T`` covers ``[T-len, T)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 US = 1_000_000
+#: Panes that one window partition of :func:`empty_ticks` orders at most.
+SPAN_PANES = 17_280
 
 
 def _check(length_s: int, slide_s: int) -> int:
@@ -37,6 +41,11 @@ def pane_end_us(ts_col: str, slide_s: int) -> Column:
     return us - F.pmod(us, step) + step
 
 
+def key_part(key: Column, parts: int) -> Column:
+    """Bucket of a key: the first 32 bits of its MD5, modulo ``parts``."""
+    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(parts)).cast("int")
+
+
 def _expand_ends(pane_end: Column, k: int, slide_s: int) -> Column:
     """Ends of the k windows that contain a pane."""
     return F.explode(F.array(*[pane_end + F.lit(i * slide_s * US) for i in range(k)]))
@@ -50,16 +59,15 @@ def sliding_count(
     ts_col: str = "record_ts",
     count_col: str = "logType",
     method: str = "pane",
-    by_tick: bool = False,
+    parts: int = 0,
 ) -> DataFrame:
     """``(tick, *keys, cnt)``: COUNT(count_col) per window and key.
 
-    ``by_tick=True`` (pane form) leaves the result hash-partitioned by
-    ``tick`` alone: the expanded pane counts are shuffled by tick and
-    summed in place, so a consumer that works per tick (a window or
-    grouping by tick) reuses that partitioning instead of shuffling again.
-    A tick's partition holds one row per key, bounded like the window
-    that follows."""
+    ``parts`` above 0 (pane form) adds ``part``, a hash of the key in that
+    many buckets, and leaves the result hash-partitioned by (tick, part):
+    the expanded pane counts are shuffled that way and summed in place, so
+    a consumer that works per (tick, part) needs no further shuffle, and no
+    task holds all keys of a tick."""
     keys = list(keys)
     k = _check(length_s, slide_s)
     if method == "window":
@@ -72,13 +80,15 @@ def sliding_count(
     if method != "pane":
         raise ValueError("method must be 'pane' or 'window'")
     panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), *keys).agg(F.count(count_col).alias("_n"))
-    if k == 1 and not by_tick:
+    if k == 1 and not parts:
         return panes.select(F.timestamp_micros("_pe").alias("tick"), *keys, F.col("_n").alias("cnt"))
     expanded = panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), *keys, "_n") if k > 1 \
         else panes.select(F.col("_pe").alias("_te"), *keys, "_n")
-    if by_tick:
-        ticked = expanded.select(F.timestamp_micros("_te").alias("tick"), *keys, "_n").repartition("tick")
-        return ticked.groupBy("tick", *keys).agg(F.sum("_n").alias("cnt"))
+    if parts:
+        ticked = expanded.select(
+            F.timestamp_micros("_te").alias("tick"), key_part(F.concat_ws("_", *keys), parts).alias("part"), *keys, "_n"
+        ).repartition("tick", "part")
+        return ticked.groupBy("tick", "part", *keys).agg(F.sum("_n").alias("cnt"))
     return (
         expanded.groupBy("_te", *keys)
         .agg(F.sum("_n").alias("cnt"))
@@ -91,9 +101,14 @@ def tumbling_count(records: DataFrame, keys: Sequence[str], slide_s: int = 5, ts
     return sliding_count(records, keys, slide_s, slide_s, ts_col, count_col, method="pane")
 
 
-def _latest(cols: Sequence[str]) -> Column:
-    # struct ordering = (record_ts, off): latest arrival, offset breaks ties
-    return F.max(F.struct(*cols))
+def arrival_order(records: DataFrame, ts_col: str = "record_ts", off_col: str = "off") -> Column:
+    """(arrival time, offset) as one number that sorts like the pair: the
+    microseconds above 63 bits of offset, without loss. Offsets that are
+    pairs themselves (decimals) stay beside the time in a struct."""
+    if not isinstance(records.schema[off_col].dataType, (T.LongType, T.IntegerType)):
+        return F.struct(ts_col, off_col)
+    high = F.unix_micros(F.col(ts_col)).cast("decimal(19,0)") * F.lit(Decimal(1 << 63)).cast("decimal(19,0)")
+    return (high + F.col(off_col).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def sliding_latest_level(
@@ -105,20 +120,22 @@ def sliding_latest_level(
 ) -> DataFrame:
     """``(tick, hostName, logType)``: the last level seen per host in each window."""
     k = _check(length_s, slide_s)
-    order = [ts_col, "off", "logType"]
     if method == "window":
         w = F.window(ts_col, f"{length_s} seconds", f"{slide_s} seconds")
         return (
             records.groupBy(w.alias("_w"), "hostName")
-            .agg(_latest(order).alias("_m"))
+            .agg(F.max(F.struct(ts_col, "off", "logType")).alias("_m"))
             .select(F.col("_w.end").alias("tick"), "hostName", F.col("_m.logType").alias("logType"))
         )
-    panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), "hostName").agg(_latest(order).alias("_m"))
+    # Raw rows: a hash aggregate to the latest moment of each (pane, host, level).
+    panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), "hostName", "logType").agg(
+        F.max(arrival_order(records, ts_col)).alias("_at")
+    )
     return (
-        panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), "hostName", "_m")
+        panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), "hostName", "logType", "_at")
         .groupBy("_te", "hostName")
-        .agg(F.max("_m").alias("_m"))
-        .select(F.timestamp_micros("_te").alias("tick"), "hostName", F.col("_m.logType").alias("logType"))
+        .agg(F.max_by("logType", F.struct("_at", "logType")).alias("logType"))
+        .select(F.timestamp_micros("_te").alias("tick"), "hostName", "logType")
     )
 
 
@@ -137,15 +154,27 @@ def empty_ticks(
     A window of k panes ending at T is empty exactly when no pane ends in
     ``[T-(k-1)·slide, T]``, so between consecutive non-empty panes p1 < p2
     the empty ticks are ``p1+k·slide … p2-slide``; ``sequence`` lists only
-    those. Two shuffles (distinct, window), no ticks × groups grid, no
-    anti join; a hot group costs its pane count, not its row count.
+    those; no ticks × groups grid, no anti join. The panes of a group are
+    ordered in spans of ``SPAN_PANES``, so neither a group nor the whole
+    time line (``by=()``) is one task: only one row per span is.
     """
     by = list(by)
     k = _check(length_s, slide_s)
     step = slide_s * US
     panes = records.select(*by, pane_end_us(ts_col, slide_s).alias("_pe")).distinct()
-    w = Window.partitionBy(*[F.col(c) for c in by]).orderBy("_pe") if by else Window.orderBy("_pe")
-    gaps = panes.withColumn("_prev", F.lag("_pe").over(w)).where(F.col("_pe") - F.col("_prev") > F.lit(k * step))
+    # Panes are ordered span by span; the first pane of a span follows the last
+    # one of the span before it, which a window over one row per span tells.
+    spans = panes.withColumn("_span", F.expr(f"_pe div {SPAN_PANES * step}"))
+    own = Window.partitionBy(*by, "_span").orderBy("_pe")
+    last = spans.groupBy(*by, "_span").agg(F.max("_pe").alias("_last"))
+    chain = Window.partitionBy(*by).orderBy("_span") if by else Window.orderBy("_span")
+    carried = last.select(*by, "_span", F.lag("_last").over(chain).alias("_carried"))
+    joined = spans.alias("p").join(
+        carried.alias("c"), [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, "_span")]
+    ).select(*[F.col(f"p.{c}").alias(c) for c in (*by, "_pe", "_span")], "_carried")
+    gaps = joined.withColumn("_prev", F.coalesce(F.lag("_pe").over(own), "_carried")).where(
+        F.col("_pe") - F.col("_prev") > F.lit(k * step)
+    )
     return gaps.select(
         *by,
         F.explode(F.sequence(F.col("_prev") + F.lit(k * step), F.col("_pe") - F.lit(step), F.lit(step))).alias("_e"),

@@ -32,12 +32,9 @@ FLAGSHIP_WINDOW = (15, 5)    # window length / slide, seconds
 VARIANT_WINDOW = (30, 5)
 TICK_S = 5
 PREVIEW_ROWS = 10
-TICK_PAYLOAD_LINES = 5000
 BATCH_TAGS = {"async": "true", "o_orderstatus": "batch"}
 WRITE_BATCH_SIZE = 100
-WRITE_ROWS_PER_TASK = 1000      # salts per database = ceil(points / this)
 OVERSIZE_BATCH_SIZE = 800
-OVERSIZE_ROWS_PER_TASK = 4000
 CHUNK_SIZE = 1000
 TIME_RANGE_START = "1997-01-01T00:00:00.000Z"
 # ---------------------------------------------------------------------------
@@ -134,9 +131,9 @@ def q_sliding_level_count(spark, sf):
     return windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *FLAGSHIP_WINDOW)
 
 
-def _variant_counts(spark, sf, by_tick=False):
+def _variant_counts(spark, sf, parts=0):
     recs = _records(spark, sf).where(F.col("logType").isin(*agg.FIXED_LEVELS))
-    return windows.sliding_count(recs, agg.LEVEL_KEYS, *VARIANT_WINDOW, by_tick=by_tick)
+    return windows.sliding_count(recs, agg.LEVEL_KEYS, *VARIANT_WINDOW, parts=parts)
 
 
 def q_sliding_fixed_level_count(spark, sf):
@@ -168,8 +165,8 @@ def q_count_lines(spark, sf):
 
 
 def q_tick_payload(spark, sf):
-    counts = windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *FLAGSHIP_WINDOW, by_tick=True)
-    return shape.tick_payload(shape.count_lines(counts), TICK_PAYLOAD_LINES)
+    counts = windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *FLAGSHIP_WINDOW, parts=shape.TICK_PARTS)
+    return shape.tick_payload(shape.count_lines(counts))
 
 
 def q_count_documents(spark, sf):
@@ -177,7 +174,7 @@ def q_count_documents(spark, sf):
 
 
 def q_tick_snapshot(spark, sf):
-    return shape.tick_snapshot(_variant_counts(spark, sf, by_tick=True))
+    return shape.tick_snapshot(_variant_counts(spark, sf, parts=shape.TICK_PARTS))
 
 
 # -- 2.J scalar time functions ------------------------------------------------------------
@@ -262,8 +259,19 @@ def q_legacy_number_fields(spark, sf):
 def q_invalid_points(spark, sf):
     docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source"])
     labels = read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
-    joined = docs.join(labels, "doc_id", "left")
-    return points.invalid_points(joined, "doc_labels", ["quality", "toxic"], tags=["lang", "source"], keep=["doc_id"])
+    j = docs.join(labels, "doc_id", "left")
+    d = F.col("doc_id")
+    j = j.select(
+        "doc_id", "source", "quality", "toxic",
+        F.when(F.pmod(d, F.lit(11)) == 0, F.lit("")).otherwise(F.lit("doc_labels")).alias("m"),
+        F.when(F.pmod(d, F.lit(13)) != 0, F.col("lang")).alias("lang"),
+        F.when(F.pmod(d, F.lit(17)) != 0, F.col("source")).alias("note"),
+        F.when(F.pmod(d, F.lit(19)) == 0, F.lit(float("nan"))).when(F.pmod(d, F.lit(23)) == 0, F.lit(float("inf")))
+        .alias("ratio"),
+    )
+    numbers = points.invalid_points(j, F.col("m"), ["quality", "toxic", "ratio"], tags=["lang", "source"], keep=["doc_id"])
+    texts = points.invalid_points(j, F.col("m"), ["note", "quality"], tags=["lang"], keep=["doc_id"])
+    return numbers.withColumn("point", F.lit("numbers")).unionByName(texts.withColumn("point", F.lit("texts")))
 
 
 def q_batch_tags(spark, sf):
@@ -304,17 +312,15 @@ def _lineitem_lines(spark, sf):
 
 
 def q_write_batches(spark, sf):
-    return batching.write_batches(_order_lines(spark, sf), WRITE_BATCH_SIZE, "auto", rows_per_task=WRITE_ROWS_PER_TASK)
+    return batching.write_batches(_order_lines(spark, sf), WRITE_BATCH_SIZE)
 
 
 def q_oversize_batches(spark, sf):
-    return batching.oversize_batches(_lineitem_lines(spark, sf), OVERSIZE_BATCH_SIZE, "auto",
-                                     rows_per_task=OVERSIZE_ROWS_PER_TASK)
+    return batching.oversize_batches(_lineitem_lines(spark, sf), OVERSIZE_BATCH_SIZE)
 
 
 def q_byte_batches(spark, sf):
-    return batching.byte_batches(_lineitem_lines(spark, sf), batching.DATAGRAM_LIMIT, "auto",
-                                 rows_per_task=OVERSIZE_ROWS_PER_TASK)
+    return batching.byte_batches(_lineitem_lines(spark, sf), batching.DATAGRAM_LIMIT)
 
 
 # -- 2.A4 / 2.I series ------------------------------------------------------------------------------
@@ -326,7 +332,7 @@ def _series_rows(spark, sf):
 def q_series_rows(spark, sf):
     r = _series_rows(spark, sf)
     return r.select(
-        "doc_id", "result_idx", "series_idx", "name",
+        "doc_id", "error", "result_idx", "series_idx", "name",
         F.col("tags")["o_orderstatus"].alias("o_orderstatus"),
         "row_idx",
         F.col("cells")["time"].alias("time"),
@@ -345,16 +351,20 @@ def q_group_by_all_tags(spark, sf):
     return series.group_by_all_tags(points_table(spark, sf), "lineitem")
 
 
+def q_series_summary(spark, sf):
+    return series.series_summary(points_table(spark, sf), "lineitem")
+
+
 def q_chunked_result(spark, sf):
-    c = series.chunked_result(points_table(spark, sf), "orders", CHUNK_SIZE, columns=["point_id", "series"])
-    return c.select("point_id", "series", "row_idx", "chunk")
+    c = series.chunked_result(points_table(spark, sf), "orders", CHUNK_SIZE, columns=["point_id", "series", "value"])
+    return c.select("point_id", "series", "time_ns", "value", "row_idx", "chunk")
 
 
 def q_result_epoch(spark, sf):
     r = _series_rows(spark, sf).select("doc_id", "series_idx", "row_idx", F.col("cells")["time"].alias("time"))
-    ns = iso_to_millis("time") * F.lit(1_000_000)
-    return r.select("doc_id", "series_idx", "row_idx", scale_epoch(ns, "SECONDS").alias("epoch_s"),
-                    scale_epoch(ns, "MILLISECONDS").alias("epoch_ms"))
+    r = r.where(F.col("time").isNotNull())
+    r = series.result_epoch(series.result_epoch(r, "time", "SECONDS", "epoch_s"), "time", "MILLISECONDS", "epoch_ms")
+    return r.drop("time")
 
 
 def q_time_range(spark, sf):
@@ -424,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "series_rows": q_series_rows,
     "select_measurement": q_select_measurement,
     "group_by_all_tags": q_group_by_all_tags,
+    "series_summary": q_series_summary,
     "chunked_result": q_chunked_result,
     "result_epoch": q_result_epoch,
     "time_range": q_time_range,

@@ -62,6 +62,8 @@ def tick(i: str = "0", slide_us: int = 5_000_000, ts: str = "record_ts") -> str:
 
 
 KEY = "hostName || '_' || serviceName || '_' || logType"
+# Bucket of a key among the 8 parts of a tick.
+PART = f"CAST(CAST('0x' || substr(md5({KEY}), 1, 8) AS BIGINT) % 8 AS INTEGER)"
 
 
 def esc(x: str) -> str:
@@ -192,9 +194,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "count_lines": f"{LOG}, {SLIDING} SELECT tick, {COUNT_LINE} AS line FROM s",
     "tick_payload": (
-        f"{LOG}, {SLIDING}, l AS (SELECT tick, {COUNT_LINE} AS line FROM s), "
-        "n AS (SELECT tick, line, CAST((row_number() OVER (PARTITION BY tick ORDER BY line) - 1) // 5000 AS INTEGER) AS part FROM l) "
-        "SELECT tick, part, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line) || chr(10) AS payload FROM n GROUP BY 1, 2"
+        f"{LOG}, {SLIDING}, l AS (SELECT tick, {PART} AS part, {COUNT_LINE} AS line FROM s) "
+        "SELECT tick, part, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line) || chr(10) AS payload FROM l GROUP BY 1, 2"
     ),
     "count_documents": (
         f"{LOG}, {VARIANT} SELECT {KEY} AS key, tick, "
@@ -202,9 +203,8 @@ ORACLE_SQL: dict[str, str] = {
         "|| '\",\"logType\":\"' || logType || '\",\"count\":\"' || cnt || '\"}]' AS value FROM v"
     ),
     "tick_snapshot": (
-        f"{LOG}, {VARIANT}, vp AS (SELECT *, CAST((row_number() OVER (PARTITION BY tick ORDER BY {KEY}) - 1) // 10000 "
-        "AS INTEGER) AS part FROM v) SELECT " + jts("tick") + " AS key, part, '[' || string_agg('{\"host_service_logtype\":\"' || "
-        f"{KEY} || '\",\"count\":\"' || cnt || '\"}}', ',' ORDER BY {KEY}) || ']' AS value FROM vp GROUP BY tick, part"
+        f"{LOG}, {VARIANT} SELECT " + jts("tick") + f" AS key, {PART} AS part, '[' || string_agg('{{\"host_service_logtype\":\"' || "
+        f"{KEY} || '\",\"count\":\"' || cnt || '\"}}', ',' ORDER BY {KEY}) || ']' AS value FROM v GROUP BY tick, part"
     ),
     "millis_to_iso": f"WITH {LOGTOPIC} SELECT off, epoch_ms(record_ts) AS ms, strftime(record_ts, {ISO}) AS iso FROM logtopic",
     "iso_to_millis": (
@@ -232,9 +232,14 @@ ORACLE_SQL: dict[str, str] = {
         + " || ',c_nationkey=' || " + fmt("CAST(c_nationkey AS DOUBLE)") + " AS fields FROM customer"
     ),
     "invalid_points": (
-        "SELECT * FROM (SELECT d.doc_id, CASE WHEN d.lang IS NULL OR d.source IS NULL THEN 'null_tag' "
-        "WHEN l.quality IS NULL AND l.toxic IS NULL THEN 'no_fields' END AS reason "
-        "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) WHERE reason IS NOT NULL"
+        "WITH j AS (SELECT d.doc_id, l.quality, l.toxic, d.source, doc_id % 11 = 0 AS no_name, "
+        "doc_id % 13 = 0 OR lang IS NULL AS no_lang, doc_id % 17 = 0 OR source IS NULL AS no_note, "
+        "doc_id % 19 = 0 OR doc_id % 23 = 0 AS odd FROM documents d LEFT JOIN labels l USING (doc_id)) "
+        "SELECT * FROM (SELECT doc_id, CASE WHEN no_name THEN 'empty_measurement' WHEN no_lang OR source IS NULL THEN 'null_tag' "
+        "WHEN quality IS NULL AND toxic IS NULL AND NOT odd THEN 'no_fields' WHEN odd THEN 'not_finite' END AS reason, "
+        "'numbers' AS point FROM j UNION ALL "
+        "SELECT doc_id, CASE WHEN no_name THEN 'empty_measurement' WHEN no_lang THEN 'null_tag' "
+        "WHEN no_note THEN 'null_string_field' END, 'texts' FROM j) WHERE reason IS NOT NULL"
     ),
     "batch_tags": (
         "SELECT o_orderkey, 'orders,async=true,o_orderpriority=' || " + esc("o_orderpriority")
@@ -243,53 +248,66 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "write_batches": (
         f"WITH l AS (SELECT 'orders_' || substr(o_orderpriority, 1, 1) AS db, 'autogen' AS rp, o_orderkey AS id, {ORDER_LINE} AS line "
-        "FROM orders), c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 1000.0)) AS s FROM l), "
-        "b AS (SELECT *, CAST(s AS INTEGER) AS salt, "
-        "CAST((row_number() OVER (PARTITION BY db, rp, s ORDER BY id, line) - 1) // 100 AS INTEGER) AS batch_no FROM c) "
-        "SELECT db, rp, salt, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
-        "string_agg(line, chr(10) ORDER BY id, line) || chr(10) AS payload FROM b GROUP BY 1, 2, 3, 4"
+        "FROM orders), b AS (SELECT *, CAST((row_number() OVER (PARTITION BY db, rp ORDER BY id) - 1) // 100 AS INTEGER) AS batch_no "
+        "FROM l) SELECT db, rp, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
+        "string_agg(line, chr(10) ORDER BY id) || chr(10) AS payload FROM b GROUP BY 1, 2, 3"
     ),
     "oversize_batches": (
         f"WITH l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
         f"{LINEITEM_LINE} AS line FROM lineitem), "
-        "c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 4000.0)) AS s FROM l), "
-        "b AS (SELECT *, CAST(s AS INTEGER) AS salt, "
-        "CAST((row_number() OVER (PARTITION BY db, rp, s ORDER BY id, line) - 1) // 800 AS INTEGER) AS batch_no FROM c) "
-        "SELECT db, rp, salt, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
-        "sum(strlen(line) + 1) > 65535 AS oversize FROM b GROUP BY 1, 2, 3, 4"
+        "b AS (SELECT *, CAST((row_number() OVER (PARTITION BY db, rp ORDER BY id, substr(md5(line), 1, 15)) - 1) // 800 AS INTEGER) AS batch_no FROM l) "
+        "SELECT db, rp, batch_no, count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, "
+        "sum(strlen(line) + 1) > 65535 AS oversize FROM b GROUP BY 1, 2, 3"
     ),
     "byte_batches": (
         f"WITH l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
         f"{LINEITEM_LINE} AS line FROM lineitem), "
-        "c AS (SELECT *, id % GREATEST(1, CEIL(count(*) OVER (PARTITION BY db, rp) / 4000.0)) AS s FROM l), "
-        "b AS (SELECT *, CAST(s AS INTEGER) AS salt, COALESCE(sum(strlen(line) + 1) OVER (PARTITION BY db, rp, s "
-        "ORDER BY id, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, "
-        "max(strlen(line) + 1) OVER (PARTITION BY db, rp, s) AS longest FROM c) "
-        "SELECT db, rp, salt, CAST(start // (65535 - longest) AS INTEGER) AS batch_no, "
-        "count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM b GROUP BY 1, 2, 3, 4"
+        "b AS (SELECT *, COALESCE(sum(strlen(line) + 1) OVER (PARTITION BY db, rp "
+        "ORDER BY id, substr(md5(line), 1, 15) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, "
+        "max(strlen(line) + 1) OVER (PARTITION BY db, rp) AS longest FROM l) "
+        "SELECT db, rp, CAST(start // (65535 - longest) AS INTEGER) AS batch_no, "
+        "count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM b GROUP BY 1, 2, 3"
     ),
     "series_rows": (
-        f"WITH {ORDER_SERIES} SELECT doc_id, CAST(0 AS INTEGER) AS result_idx, series_idx, 'orders' AS name, o_orderstatus, row_idx, "
-        f"strftime(o_orderdate, {ISO}) AS time, o_custkey, o_totalprice, o_orderpriority FROM os"
+        f"WITH {ORDER_SERIES}, d AS (SELECT DISTINCT o_orderkey // 100 AS doc_id FROM orders) "
+        "SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'timeout in doc ' || doc_id END AS error, CAST(0 AS INTEGER) AS result_idx, "
+        f"series_idx, 'orders' AS name, o_orderstatus, row_idx, strftime(o_orderdate, {ISO}) AS time, o_custkey, o_totalprice, "
+        "o_orderpriority FROM os "
+        "UNION ALL SELECT doc_id, 'partial failure in doc ' || doc_id, 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL "
+        "FROM d WHERE doc_id % 5 = 0 "
+        "UNION ALL SELECT -1 - doc_id, 'unreadable document', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL "
+        "FROM d WHERE doc_id % 20 = 1 "
+        "UNION ALL SELECT -1 - doc_id, NULL, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM d WHERE doc_id % 20 = 2 "
+        "UNION ALL SELECT -1 - doc_id, NULL, 0, 0, 'short', NULL, 0, '2000-01-01T00:00:00.000Z', NULL, NULL, NULL "
+        "FROM d WHERE doc_id % 20 = 4 "
+        "UNION ALL SELECT -1 - doc_id, 'row longer than its header', 0, 0, 'short', NULL, 1, NULL, NULL, NULL, NULL "
+        "FROM d WHERE doc_id % 20 = 4"
     ),
     "select_measurement": (
         "SELECT o_orderkey AS point_id, 'o_orderpriority=' || " + esc("o_orderpriority") + " || ',o_orderstatus=' || "
         + esc("o_orderstatus") + " AS series, epoch_ns(o_orderdate) AS time_ns, o_totalprice AS value FROM orders"
     ),
     "group_by_all_tags": (
+        "SELECT *, row_number() OVER (PARTITION BY series ORDER BY time_ns, point_id, value) - 1 AS row_idx FROM ("
+        "SELECT 'lineitem' AS measurement, 'l_linestatus=' || " + esc("l_linestatus") + " || ',l_returnflag=' || "
+        + esc("l_returnflag") + " AS series, epoch_ns(l_shipdate) AS time_ns, l_extendedprice AS value, "
+        "l_orderkey * 8 + l_linenumber AS point_id FROM lineitem)"
+    ),
+    "series_summary": (
         "SELECT 'lineitem' AS measurement, 'l_linestatus=' || " + esc("l_linestatus") + " || ',l_returnflag=' || "
         + esc("l_returnflag") + " AS series, count(*) AS n_points, min(epoch_ns(l_shipdate)) AS first_ns, "
         "max(epoch_ns(l_shipdate)) AS last_ns FROM lineitem GROUP BY 1, 2"
     ),
     "chunked_result": (
         "WITH p AS (SELECT o_orderkey AS point_id, 'o_orderpriority=' || " + esc("o_orderpriority") + " || ',o_orderstatus=' || "
-        + esc("o_orderstatus") + " AS series, epoch_ns(o_orderdate) AS time_ns FROM orders) "
-        "SELECT point_id, series, row_number() OVER (ORDER BY time_ns, point_id) - 1 AS row_idx, "
+        + esc("o_orderstatus") + " AS series, epoch_ns(o_orderdate) AS time_ns, o_totalprice AS value FROM orders) "
+        "SELECT point_id, series, time_ns, value, row_number() OVER (ORDER BY time_ns, point_id) - 1 AS row_idx, "
         "(row_number() OVER (ORDER BY time_ns, point_id) - 1) // 1000 AS chunk FROM p"
     ),
     "result_epoch": (
         f"WITH {ORDER_SERIES} SELECT doc_id, series_idx, row_idx, epoch_ms(o_orderdate) // 1000 AS epoch_s, "
-        "epoch_ms(o_orderdate) AS epoch_ms FROM os"
+        "epoch_ms(o_orderdate) AS epoch_ms FROM os UNION ALL "
+        "SELECT DISTINCT -1 - o_orderkey // 100, 0, 0, 946684800, 946684800000 FROM orders WHERE (o_orderkey // 100) % 20 = 4"
     ),
     "time_range": "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'",
     "result_errors": (
@@ -297,7 +315,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT doc_id, 'query' AS level, CAST(NULL AS INTEGER) AS result_idx, 'timeout in doc ' || doc_id AS error "
         "FROM d WHERE doc_id % 10 = 3 UNION ALL "
         "SELECT doc_id, 'result' AS level, CAST(1 AS INTEGER) AS result_idx, 'partial failure in doc ' || doc_id AS error "
-        "FROM d WHERE doc_id % 5 = 0"
+        "FROM d WHERE doc_id % 5 = 0 UNION ALL "
+        "SELECT -1 - doc_id, 'query', NULL, 'unreadable document' FROM d WHERE doc_id % 20 = 1 UNION ALL "
+        "SELECT -1 - doc_id, 'result', 0, 'row longer than its header' FROM d WHERE doc_id % 20 = 4"
     ),
     "level_count_sql": f"{LOG} SELECT hostName, serviceName, logType, count(logType) AS cnt FROM cdhrolelogs GROUP BY 1, 2, 3",
     "union_levels_sql": f"{LOG} {_union_levels()}",

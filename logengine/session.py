@@ -60,15 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     Only when the session has none (tests, local runs) is a fresh local
-    scratch folder set; on a cluster the setting must point at shared
-    storage, never at a machine-local folder.
+    scratch folder used, one per session; on a cluster the setting must
+    point at shared storage, never at a machine-local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="logengine-ckpt-", dir=os.environ.get("LOGENGINE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the conf is what counts there
-        pass
-    return d
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        base = named or tempfile.mkdtemp(prefix="logengine-ckpt-", dir=os.environ.get("LOGENGINE_SCRATCH", "/tmp"))
+        context.setCheckpointDir(base)
+    return named or context.getCheckpointDir()

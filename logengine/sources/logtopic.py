@@ -80,17 +80,7 @@ def log_rows_from_events(events: DataFrame) -> DataFrame:
     ).select(F.col("_r.off").alias("off"), "record_ts", F.col("_r.value").alias("value"))
 
 
-# The derived frame (a lazy plan, no data) per session and folder: it is
-# built once and shared by every log query, like a registered view.
-_DERIVED: dict[tuple[int, str], DataFrame] = {}
-
-
 def logtopic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch ``logtopic`` rows derived from ``{sf_dir}/events.parquet``."""
     use_utc(spark)
-    key = (id(spark), sf_dir)
-    df = _DERIVED.get(key)
-    if df is None or df.sparkSession is not spark:
-        events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
-        df = _DERIVED[key] = log_rows_from_events(events)
-    return df
+    return log_rows_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"]))

@@ -6,8 +6,8 @@
 * :func:`series_documents` — query-result JSON documents
   ``(doc_id, body)``, one per block of ``DOC_SPAN`` order keys (bounded
   size at any scale), each with one series per order status, plus
-  statement- and query-level errors on a fixed rule so error handling is
-  exercised.
+  statement- and query-level errors, unreadable, empty and uneven
+  documents on a fixed rule so error handling is exercised.
 """
 
 from __future__ import annotations
@@ -26,6 +26,16 @@ DOC_SPAN = 100
 SERIES_COLUMNS = ("time", "o_custkey", "o_totalprice", "o_orderpriority")
 RESULT_ERROR_EVERY = 5      # doc_id % 5 == 0 → a failed statement result
 QUERY_ERROR_REMAINDER = 3   # doc_id % 10 == 3 → a query-level error
+# One more document, -1 - doc_id, by doc_id % ODD_EVERY: unreadable, a result
+# without series, a series with a short and an overlong row.
+ODD_EVERY = 20
+ODD_TIME = "2000-01-01T00:00:00.000Z"
+ODD_BODIES = {
+    1: "not json",
+    2: '{"results":[{}]}',
+    4: '{"results":[{"series":[{"name":"short","columns":["time","o_custkey"],"values":[["' + ODD_TIME + '"],["'
+       + ODD_TIME + '","5","extra"]]}]}]}',
+}
 # ---------------------------------------------------------------------------
 
 
@@ -90,10 +100,12 @@ def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("]}"),
         ),
     )
-    return by_doc.select(
-        "doc_id",
-        F.concat(
-            F.lit('{"results":[{"series":['), F.array_join(series_json, ","),
-            F.lit("]}"), result_err, F.lit("]"), query_err, F.lit("}"),
-        ).alias("body"),
+    body = F.concat(
+        F.lit('{"results":[{"series":['), F.array_join(series_json, ","),
+        F.lit("]}"), result_err, F.lit("]"), query_err, F.lit("}"),
     )
+    odd = F.lit(None).cast("string")
+    for remainder, text in ODD_BODIES.items():
+        odd = F.when(F.pmod(doc, F.lit(ODD_EVERY)) == remainder, F.lit(text)).otherwise(odd)
+    both = F.array(F.struct(doc.alias("doc_id"), body.alias("body")), F.struct((-1 - doc).alias("doc_id"), odd.alias("body")))
+    return by_doc.select(F.inline(F.filter(both, lambda d: d["body"].isNotNull())))

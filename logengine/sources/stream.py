@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,11 @@ DEFAULT_TOPIC = "logtopic"
 DEFAULT_STARTING_OFFSETS = "latest"
 # ---------------------------------------------------------------------------
 
-# Kafka offsets are per partition; the partition number goes in the high
-# bits so ``off`` stays unique across partitions (ties broken by it).
-PARTITION_SHIFT = 40
+# Kafka offsets are per partition; ``off`` is the pair (partition, offset) as
+# one decimal number, partition above the whole 63-bit offset range, so no
+# offset runs into the next partition's.
+PARTITION_STEP = Decimal(1 << 63)
+OFF_TYPE = "decimal(30,0)"
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -51,7 +54,8 @@ def normalise_kafka(records: DataFrame) -> DataFrame:
     """Kafka rows ``(key, value, topic, partition, offset, timestamp, ...)``
     → ``(off, record_ts, value)``; only the value is used."""
     return records.select(
-        (F.shiftleft(F.col("partition").cast("long"), PARTITION_SHIFT) + F.col("offset")).alias("off"),
+        (F.col("partition").cast("decimal(10,0)") * F.lit(PARTITION_STEP).cast("decimal(19,0)") + F.col("offset"))
+        .cast(OFF_TYPE).alias("off"),
         F.col("timestamp").alias("record_ts"),
         F.col("value").cast("string").alias("value"),
     )

@@ -21,21 +21,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Resolved table frames per session, like tables registered once in a
-# catalog: the file listing and Parquet footer are read once, not per query.
-_RESOLVED: dict[tuple[int, str], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               refresh: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """The table as a DataFrame (column-pruned when ``columns`` is given).
-
-    The resolved frame is reused within a session; pass ``refresh=True``
-    after files were added or replaced under the path."""
-    path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    df = None if refresh else _RESOLVED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RESOLVED[key] = df
+    Files are listed at each call, so files added later are read."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from logengine.functions.text import java_split
 from logengine.functions.time import iso_to_millis, java_timestamp_text, millis_to_iso, precision_name, scale_epoch
 from logengine.operators import aggregate as agg
 from logengine.operators import parse, points, shape, windows
-from logengine.operators.batching import DATAGRAM_LIMIT, oversize_batches, points_per_payload, write_batches
+from logengine.operators.batching import DATAGRAM_LIMIT, bucket_batches, oversize_batches, write_batches
 from logengine.operators.numbering import ordinal_within
 from logengine.operators.series import chunked_result, group_by_all_tags, result_errors, series_rows
 
@@ -84,8 +86,8 @@ def test_snapshot_and_documents_json(spark):
     df = spark.createDataFrame([(dt.datetime(2017, 1, 13, 19, 57, 20), "h", "s", "INFO", 3),
                                 (dt.datetime(2017, 1, 13, 19, 57, 20), "a", "s", "WARN", 1)],
                                "tick timestamp, hostName string, serviceName string, logType string, cnt long")
-    snap = shape.tick_snapshot(df).first()
-    assert snap["key"] == "2017-01-13 19:57:20.0" and snap["part"] == 0
+    snap = shape.tick_snapshot(df, parts=1).first()
+    assert snap["key"] == "2017-01-13 19:57:20.0" and snap["part"] == 0  # parts=1: one value per tick
     assert snap["value"] == ('[{"host_service_logtype":"a_s_WARN","count":"1"},'
                              '{"host_service_logtype":"h_s_INFO","count":"3"}]')
     doc = {r["key"]: r["value"] for r in shape.count_documents(df).collect()}
@@ -97,9 +99,18 @@ def test_snapshot_parts(spark):
     df = spark.range(25).select(F.lit(dt.datetime(2017, 1, 13, 19, 57, 20)).cast("timestamp").alias("tick"),
                                 F.format_string("h%02d", "id").alias("hostName"), F.lit("s").alias("serviceName"),
                                 F.lit("INFO").alias("logType"), F.lit(1).cast("long").alias("cnt"))
-    parts = {r["part"]: r["value"] for r in shape.tick_snapshot(df, max_entries=10).collect()}
-    assert sorted(parts) == [0, 1, 2]
-    assert parts[0].startswith('[{"host_service_logtype":"h00_s_INFO"') and parts[2].count("host_service_logtype") == 5
+    def cut(rows):
+        return {r["part"]: r["value"] for r in shape.tick_snapshot(rows, parts=4).collect()}
+
+    def keys(parts):
+        return {k: p for p, v in parts.items() for k in __import__("re").findall(r'logtype":"(.*?)"', v)}
+
+    parts = cut(df)
+    assert set(parts) <= set(range(4)) and len(keys(parts)) == 25
+    # the cut depends on the key alone: one row more or less moves nothing
+    assert keys(cut(df.where("hostName <> 'h07'"))) == {k: p for k, p in keys(parts).items() if k != "h07_s_INFO"}
+    for v in parts.values():
+        assert v == "[" + ",".join(sorted(v[1:-1].replace("},{", "}|{").split("|"))) + "]"
 
 
 def test_java_timestamp_text(spark):
@@ -179,14 +190,14 @@ def test_oversize_payload(spark):
     # one-field points repeated past 64 KB
     n = 6000
     df = spark.range(n).select(F.lit("db").alias("db"), F.lit("autogen").alias("rp"), F.col("id"),
-                               F.concat(F.lit("udp_single_poit v="), F.col("id").cast("string"), F.lit("i")).alias("line"))
-    out = oversize_batches(df, batch_size=n, salts=1).first()
+                               F.concat(F.lit("gauge,site=north level="), F.col("id").cast("string"), F.lit("i")).alias("line"))
+    out = oversize_batches(df, batch_size=n).first()
     assert out["n_points"] == n and out["oversize"] and out["n_bytes"] > DATAGRAM_LIMIT
-    k = points_per_payload(df)
-    assert all(not r["oversize"] for r in oversize_batches(df, batch_size=k, salts=1).collect())
-    payloads = write_batches(df, batch_size=2500, salts=1).orderBy("batch_no").collect()
+    k = DATAGRAM_LIMIT // 40
+    assert all(not r["oversize"] for r in oversize_batches(df, batch_size=k).collect())
+    payloads = write_batches(df, batch_size=2500).orderBy("batch_no").collect()
     assert [p["n_points"] for p in payloads] == [2500, 2500, 1000]
-    assert payloads[0]["payload"].startswith("udp_single_poit v=0i\nudp_single_poit v=1i\n")
+    assert payloads[0]["payload"].startswith("gauge,site=north level=0i\ngauge,site=north level=1i\n")
 
 
 def test_chunks_two_then_one(spark):
@@ -212,13 +223,14 @@ def test_group_by_all_tags_three_series(spark):
 
 
 def test_series_rows_from_document(spark):
-    body = ('{"results":[{"series":[{"name":"cpu","tags":{"atag":"test1"},"columns":["time","idle"],'
-            '"values":[["2015-06-06T14:55:27.195Z",90],["2015-06-06T14:56:24.556Z",90]]}]},'
+    body = ('{"results":[{"series":[{"name":"fan","tags":{"rack":"r7"},"columns":["time","rpm"],'
+            '"values":[["2021-03-04T05:06:07.008Z",41],["2021-03-04T05:07:00.250Z",42]]}]},'
             '{"error":"bad"}],"error":"top"}')
     docs = spark.createDataFrame([(1, body)], "doc_id long, body string")
-    rows = series_rows(docs).orderBy("row_idx").collect()
-    assert [(r["name"], r["tags"]["atag"], r["cells"]["idle"], r["cells"]["time"]) for r in rows] == [
-        ("cpu", "test1", "90", "2015-06-06T14:55:27.195Z"), ("cpu", "test1", "90", "2015-06-06T14:56:24.556Z")]
+    rows = series_rows(docs).orderBy("result_idx", "row_idx").collect()
+    assert [(r["name"], r["tags"]["rack"], r["cells"]["rpm"], r["cells"]["time"], r["error"]) for r in rows[:2]] == [
+        ("fan", "r7", "41", "2021-03-04T05:06:07.008Z", "top"), ("fan", "r7", "42", "2021-03-04T05:07:00.250Z", "top")]
+    assert [(r["result_idx"], r["name"], r["error"]) for r in rows[2:]] == [(1, None, "bad")]
     errs = sorted((r["level"], r["error"]) for r in result_errors(docs).collect())
     assert errs == [("query", "top"), ("result", "bad")]
 
@@ -230,7 +242,7 @@ def test_pane_and_window_forms_agree(spark):
     for length, slide in ((15, 5), (30, 5), (5, 5)):
         a = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, method="pane")
         b = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, method="window")
-        c = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, by_tick=True).select(a.columns)
+        c = windows.sliding_count(recs, agg.LEVEL_KEYS, length, slide, parts=5).select(a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
         assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     a = windows.sliding_latest_level(recs, 30, 5, method="pane")
@@ -242,7 +254,7 @@ def test_fixed_levels_union_equals_one_pass(spark):
     from logengine.sources.logtopic import logtopic
 
     recs = parse.parse_log(logtopic(spark, SF_SMALL))
-    a, b = agg.fixed_level_count(recs), agg.union_levels(recs)
+    a, b = agg.union_levels(recs), agg.union_levels_by_branch(recs)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -273,35 +285,76 @@ def test_tick_preview_at_most_ten(spark):
 
 
 def test_ordinal_within_matches_row_number_under_skew(spark):
-    # one group holds most rows; an extra carried column makes the row
-    # branch and the count branch plan differently (the case that needs the
-    # shared, checkpointed partitioning)
+    # one group holds most rows; a column is carried along
     df = spark.range(20000).select(
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
         (F.col("id") * 7919 % 20011).alias("o"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
     ref = df.withColumn("ordinal", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")) - 1)
     for _ in range(3):
-        got = ordinal_within(df, ["g"], ["o", "id"], num_partitions=16)
+        got = ordinal_within(df, ["g"], ["o", "id"], buckets=16)
         cols = ["g", "id", "payload", "ordinal"]
         assert got.select(cols).exceptAll(ref.select(cols)).count() == 0
         assert got.count() == 20000
 
 
-def test_auto_salts_split_hot_database(spark):
+def test_batches_of_a_hot_database_are_exact(spark):
     # one database holds 90% of the points
     df = spark.range(30000).select(
         F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.lit("cold")).alias("db"),
         F.lit("autogen").alias("rp"), F.col("id"), F.concat(F.lit("m v="), F.col("id").cast("string"), F.lit("i")).alias("line"))
-    b = write_batches(df, batch_size=1000, salts="auto")
-    from logengine.operators.batching import assign_batches
-    a = assign_batches(df, 1000, salts="auto", rows_per_task=5000)
-    per_db = {r["db"]: r["n"] for r in a.groupBy("db").agg(F.countDistinct("salt").alias("n")).collect()}
-    assert per_db["hot"] == 6 and per_db["cold"] == 1
-    assert b.agg(F.sum("n_points")).first()[0] == 30000
-    assert b.agg(F.max("n_points")).first()[0] <= 1000
-    import pytest
+
+    def sizes(rows):
+        got = write_batches(rows, batch_size=1000).select("db", "batch_no", "n_points").collect()
+        return {(r["db"], r["batch_no"]): r["n_points"] for r in got}
+
+    whole = sizes(df)
+    assert whole == {**{("hot", i): 1000 for i in range(27)}, **{("cold", i): 1000 for i in range(3)}}
+    # one row less changes the last batch of its database only
+    assert sizes(df.where("id <> 29998")) == {**whole, ("hot", 26): 999}
     with pytest.raises(ValueError):
-        assign_batches(df, 10, salts=0)
+        write_batches(df, batch_size=0)
+
+
+def test_no_point_is_lost_in_a_payload(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1.5, 1000, "m"), (2, "b", 2.5, None, "m"), (3, None, 1.0, 5, "m"), (4, "c", float("nan"), 5, "m"),
+         (5, "d", float("inf"), 5, "m"), (6, "e", None, 5, "m"), (7, "f", 1.0, 5, "")],
+        "id long, tag string, x double, t long, name string")
+    args = (df, F.col("name"), ["x"])
+    lines = points.encode_points(*args, tags=["tag"], time_col="t", keep=["id"])
+    bad = {r["id"]: r["reason"] for r in points.invalid_points(*args, tags=["tag"], keep=["id"]).collect()}
+    assert bad == {3: "null_tag", 4: "not_finite", 5: "not_finite", 6: "no_fields", 7: "empty_measurement"}
+    got = {r["id"]: r["line"] for r in lines.collect()}
+    assert got[1] == "m,tag=a x=1.5 1000" and set(got) == {1, 2}
+    assert abs(int(got[2].split(" ")[2]) // 10**9 - dt.datetime.now(dt.timezone.utc).timestamp()) < 600
+    keyed = lines.select(F.lit("db").alias("db"), F.lit("rp").alias("rp"), "id", "line")
+    p = write_batches(keyed, 10).first()
+    assert p["n_points"] == 2 == p["payload"].count("\n")
+    broken = keyed.withColumn("line", F.when(F.col("id") == 1, F.col("line")))
+    for cut in (write_batches, oversize_batches, lambda x, n: bucket_batches(x, n, 2)):
+        with pytest.raises(Exception, match="a point has no line"):
+            cut(broken, 10).collect()
+
+
+def test_series_reader_keeps_every_document(spark):
+    docs = spark.createDataFrame(
+        [(1, "not json"), (2, '{"results":[{}]}'), (3, None), (4, '{"error":"down"}'),
+         (5, '{"results":[{"series":[{"name":"s","columns":["a","b"],"values":[["1"],["1","2","3"],["1","2"]]}]}]}')],
+        "doc_id long, body string")
+    got = {(r["doc_id"], r["row_idx"]): (r["cells"], r["error"]) for r in series_rows(docs).collect()}
+    assert got == {(1, None): (None, "unreadable document"), (2, None): (None, None), (3, None): (None, "unreadable document"),
+                   (4, None): (None, "down"), (5, 0): ({"a": "1", "b": None}, None),
+                   (5, 1): (None, "row longer than its header"), (5, 2): ({"a": "1", "b": "2"}, None)}
+    errors = {(r["doc_id"], r["level"], r["error"]) for r in result_errors(docs).collect()}
+    assert errors == {(1, "query", "unreadable document"), (3, "query", "unreadable document"), (4, "query", "down"),
+                      (5, "result", "row longer than its header")}
+
+
+def test_null_groups_and_order_keys_are_numbered(spark):
+    rows = [(None, None, 1), (None, 3, 2), ("a", None, 3), ("a", 1, 4), (None, 3, 5)]
+    df = spark.createDataFrame(rows, "g string, o long, id long")
+    got = {r["id"]: r["ordinal"] for r in ordinal_within(df, ["g"], ["o", "id"], buckets=4).collect()}
+    assert got == {1: 0, 2: 1, 5: 2, 3: 0, 4: 1}
 
 
 def test_byte_batches_fit_the_datagram_limit(spark):
@@ -309,8 +362,8 @@ def test_byte_batches_fit_the_datagram_limit(spark):
 
     n = 20000
     df = spark.range(n).select(F.lit("db").alias("db"), F.lit("autogen").alias("rp"), F.col("id"),
-                               F.concat(F.lit("udp_single_poit v="), F.col("id").cast("string"), F.lit("i")).alias("line"))
-    b = byte_batches(df, DATAGRAM_LIMIT, salts=1).collect()
+                               F.concat(F.lit("gauge,site=north level="), F.col("id").cast("string"), F.lit("i")).alias("line"))
+    b = byte_batches(df, DATAGRAM_LIMIT).collect()
     assert sum(r["n_points"] for r in b) == n
     assert max(r["n_bytes"] for r in b) <= DATAGRAM_LIMIT
     total = sum(r["n_bytes"] for r in b)
