@@ -7,18 +7,22 @@ collect: rows stay on executors and are written by Spark's writers).
 * trigger: ``processingTime`` (5 s, the reference cadence) or
   ``availableNow`` (tests, backfills)
 * checkpoint: ``checkpointLocation`` under the cluster's
-  ``spark.checkpoint.dir`` unless given; a restart resumes from it
-* time column: ``record_ts`` (arrival time; the reference's meaning:
-  nothing is late, nothing dropped) or the parsed ``event_ts`` with a
-  watermark (rows older than the watermark are dropped)
+  ``spark.checkpoint.dir`` unless given; a restart resumes from it (without
+  either, starting is an error)
+* time column: ``arrival_ts`` (default), the time of the micro-batch that
+  reads the row: the reference's meaning. No row can be late, so a zero
+  watermark closes every window once, complete, and state holds the open
+  windows only. ``record_ts`` (the source's own time) and ``event_ts`` (the
+  parsed one) need an explicit watermark for append mode; rows beyond it
+  are dropped by Spark, rows whose time does not parse are in
+  :func:`logengine.operators.parse.untimed`
 """
 
 from __future__ import annotations
 
-import os
 import sys
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -29,7 +33,6 @@ from logengine.functions.text import FIXED_LEVELS
 from logengine.operators import aggregate as agg
 from logengine.operators.parse import parse_log
 from logengine.operators.shape import count_lines
-from logengine.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for right results)
@@ -65,11 +68,27 @@ class StreamConfig:
 def checkpoint_location(df: DataFrame, cfg: StreamConfig) -> str:
     if cfg.checkpoint:
         return cfg.checkpoint
-    return os.path.join(checkpoint_dir(df.sparkSession), "streams", cfg.query_name)
+    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("a stream needs StreamConfig.checkpoint or spark.checkpoint.dir, or it could not resume")
+    return f"{base.rstrip('/')}/streams/{cfg.query_name}"
+
+
+ARRIVAL = "arrival_ts"
+
+
+def _stamped(rows: DataFrame, ts_col: str, watermark: str | None) -> tuple[DataFrame, str | None]:
+    """Rows with the time of their micro-batch (one value per batch), and
+    the watermark: zero is lossless there, as a batch is never older."""
+    if ts_col != ARRIVAL:
+        return rows, watermark
+    return rows.withColumn(ARRIVAL, F.current_timestamp()), watermark or "0 seconds"
 
 
 def _records(rows: DataFrame, ts_col: str, watermark: str | None, legacy_offset: bool) -> DataFrame:
-    recs = parse_log(rows, legacy_offset=legacy_offset)
+    rows, watermark = _stamped(rows, ts_col, watermark)
+    keep = ("off", "record_ts", *([ARRIVAL] if ts_col == ARRIVAL else []))
+    recs = parse_log(rows, legacy_offset=legacy_offset, keep=keep)
     if ts_col == "event_ts":
         recs = recs.where(F.col("event_ts").isNotNull())
     if watermark:
@@ -78,7 +97,7 @@ def _records(rows: DataFrame, ts_col: str, watermark: str | None, legacy_offset:
 
 
 def sliding_counts_stream(rows: DataFrame, length_s: int = FLAGSHIP_LENGTH_S, slide_s: int = FLAGSHIP_SLIDE_S,
-                          ts_col: str = "record_ts", watermark: str | None = None, fixed_levels: bool = False,
+                          ts_col: str = ARRIVAL, watermark: str | None = None, fixed_levels: bool = False,
                           legacy_offset: bool = False) -> DataFrame:
     """``(tick, hostName, serviceName, logType, cnt)`` as a streaming aggregate."""
     recs = _records(rows, ts_col, watermark, legacy_offset)
@@ -93,14 +112,15 @@ def sliding_counts_stream(rows: DataFrame, length_s: int = FLAGSHIP_LENGTH_S, sl
 
 
 def latest_level_stream(rows: DataFrame, length_s: int = VARIANT_LENGTH_S, slide_s: int = VARIANT_SLIDE_S,
-                        ts_col: str = "record_ts", watermark: str | None = None) -> DataFrame:
-    """``(tick, hostName, logType)``: last level per host per window."""
+                        ts_col: str = ARRIVAL, watermark: str | None = None) -> DataFrame:
+    """``(tick, hostName, logType, record_ts, off)``: last level per host per
+    window, with the moment that decided it."""
     recs = _records(rows, ts_col, watermark, False)
     w = F.window(ts_col, f"{length_s} seconds", f"{slide_s} seconds")
     return (
         recs.groupBy(w.alias("_w"), "hostName")
-        .agg(F.max(F.struct(ts_col, "off", "logType")).alias("_m"))
-        .select(F.col("_w.end").alias("tick"), "hostName", F.col("_m.logType").alias("logType"))
+        .agg(F.max(F.struct("record_ts", "off", "logType")).alias("_m"))
+        .select(F.col("_w.end").alias("tick"), "hostName", "_m.logType", "_m.record_ts", "_m.off")
     )
 
 
@@ -110,8 +130,8 @@ def running_word_count_stream(rows: DataFrame) -> DataFrame:
     return agg.words(rows, "value", with_pos=False).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
 
 
-def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str = "0 seconds",
-                                  ts_col: str = "record_ts") -> DataFrame:
+def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str | None = None,
+                                  ts_col: str = ARRIVAL) -> DataFrame:
     """Running total per word whose state expires once the stream's
     event-time watermark passes ``ttl_ms`` after the word was last seen
     (the reference keeps every key forever). Output mode ``update``: each
@@ -141,6 +161,9 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str =
         state.setTimeoutTimestamp(last + ttl_ms)
         yield pd.DataFrame({"word": [key[0]], "total": [total]})
 
+    rows, watermark = _stamped(rows, ts_col, watermark)
+    if not watermark:
+        raise ValueError(f"{ts_col} needs a watermark")
     w = agg.words(rows, "value", keep=(ts_col,), with_pos=False).withWatermark(ts_col, watermark)
     # the event-time column stays in the input: it carries the watermark
     return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms")).groupBy("word").applyInPandasWithState(
@@ -148,7 +171,7 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str =
     )
 
 
-def key_count_stream(rows: DataFrame, ts_col: str = "record_ts", watermark: str | None = None) -> DataFrame:
+def key_count_stream(rows: DataFrame, ts_col: str = ARRIVAL, watermark: str | None = None) -> DataFrame:
     """Per-tick (tumbling 5 s) count per ``host_service_level``."""
     recs = _records(rows, ts_col, watermark, False)
     key = F.concat_ws("_", "hostName", "serviceName", "logType")
@@ -197,6 +220,11 @@ def sql_tick(statement: str, sink: Callable[[DataFrame, int], None], view: str =
     return body
 
 
+def append(cfg: StreamConfig) -> StreamConfig:
+    """The same run in append mode: each window once, when it is final."""
+    return replace(cfg, output_mode="append")
+
+
 def start(df: DataFrame, cfg: StreamConfig, batch_fn: Callable[[DataFrame, int], None] | None = None,
           fmt: str | None = None, options: dict[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query with a ``foreachBatch`` body or a sink format."""
@@ -226,11 +254,12 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
 
 
 def flagship_stream(rows: DataFrame, sink_path: str, database: str, cfg: StreamConfig,
-                    retention_policy: str = "autogen", ts_col: str = "record_ts", watermark: str | None = None,
+                    retention_policy: str = "autogen", ts_col: str = ARRIVAL, watermark: str | None = None,
                     compression: str | None = None,
                     on_empty: Callable[[int], None] | None = None, with_time: bool = False) -> StreamingQuery:
     """The packaged job: 15 s / 5 s sliding level counts → count lines →
-    line-protocol payload files, every 5 s.
+    line-protocol payload files. Append mode: a window is written once,
+    when it is closed, whole.
 
     ``with_time=True`` stamps each line with its tick (ns), so a replayed or
     re-emitted window overwrites the same points downstream instead of
@@ -239,7 +268,7 @@ def flagship_stream(rows: DataFrame, sink_path: str, database: str, cfg: StreamC
 
     counts = sliding_counts_stream(rows, ts_col=ts_col, watermark=watermark)
     sink = line_protocol_sink(sink_path, database, retention_policy, compression=compression)
-    return start(counts, cfg, foreach_tick(lambda b, i: sink(count_lines(b, with_time=with_time), i),
+    return start(counts, append(cfg), foreach_tick(lambda b, i: sink(count_lines(b, with_time=with_time), i),
                                            on_empty=on_empty))
 
 

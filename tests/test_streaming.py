@@ -13,7 +13,6 @@ from logengine.operators import aggregate as agg
 from logengine.operators import parse, shape, windows
 from logengine.sources.logtopic import logtopic
 from logengine.sources.stream import normalise_kafka, read_log_stream
-from logengine.streaming import kvstore
 from logengine.streaming.runner import (
     StreamConfig,
     flagship_stream,
@@ -50,7 +49,7 @@ def test_stream_equals_batch_complete_mode(spark, scratch):
     src = os.path.join(scratch, "src")
     _write_chunks(spark, rows, src, 4)
     stream = read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})
-    q = start(sliding_counts_stream(stream),
+    q = start(sliding_counts_stream(stream, ts_col="record_ts"),
               StreamConfig("parity_counts", output_mode="complete", available_now=True,
                            checkpoint=os.path.join(scratch, "ck")), fmt="memory")
     run_to_end(q, TIMEOUT)
@@ -67,11 +66,11 @@ def test_restart_from_checkpoint_keyed_upsert(spark, scratch):
     counts_cfg = StreamConfig("restart_counts", output_mode="update", available_now=True, checkpoint=ck)
 
     _write_chunks(spark, first, src, 2)
-    run_to_end(start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})),
+    run_to_end(start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), ts_col="record_ts"),
                      counts_cfg, keyed_upsert_sink(out)), TIMEOUT)
     n_batches_first = len(glob.glob(os.path.join(out, "batch_id=*")))
     _write_chunks(spark, second, src, 2)
-    run_to_end(start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})),
+    run_to_end(start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), ts_col="record_ts"),
                      counts_cfg, keyed_upsert_sink(out)), TIMEOUT)
     assert len(glob.glob(os.path.join(out, "batch_id=*"))) > n_batches_first
 
@@ -114,41 +113,122 @@ def test_foreach_tick_empty_guard(spark):
     assert seen == [("empty", 7), ("rows", 8)]
 
 
-def test_flagship_stream_writes_gzip_payloads(spark, scratch):
+SENTINEL = ["h9 svc 2017-01-13 23:00:00,000 INFO sentinel"]
+
+
+def _lines(spark, out):
+    return spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
+
+
+def test_flagship_stream_writes_each_window_once(spark, scratch):
+    """Several micro-batches: every window is written once, whole."""
     rows = logtopic(spark, SF_SMALL)
-    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
-    _write_chunks(spark, rows, src, 2)
-    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "logs",
-                        StreamConfig("flagship", available_now=True, checkpoint=os.path.join(scratch, "ck")),
-                        compression="gzip")
-    run_to_end(q, TIMEOUT)
+    src, out, ck = (os.path.join(scratch, d) for d in ("src", "out", "ck"))
+
+    def run():
+        run_to_end(flagship_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), out, "logs",
+                                   StreamConfig("flagship", available_now=True, checkpoint=ck), ts_col="record_ts",
+                                   watermark="1 hour", compression="gzip"), TIMEOUT)
+
+    _write_chunks(spark, rows, src, 4)
+    run()
+    last_ms = rows.agg(F.max(F.unix_millis("record_ts"))).first()[0]
+    log_frame(spark, SENTINEL, start_ms=last_ms + 7_200_000).write.mode("append").parquet(src)
+    run()
     files = glob.glob(os.path.join(out, "batch_id=*", "db=logs", "rp=autogen", "consistency=one", "*.gz"))
     assert files
-    lines = spark.read.text(os.path.join(out, "batch_id=*")).where(F.col("value") != "").select(F.col("value").alias("line"))
     expected = shape.count_lines(windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)).select("line")
-    assert _same(lines.distinct(), expected.distinct())
+    assert _same(_lines(spark, out), expected)
 
 
-def test_kv_datasource_latest_level(spark, scratch):
-    kvstore.register(spark)
-    rows = logtopic(spark, SF_SMALL)
-    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "kv")
-    _write_chunks(spark, rows, src, 3)
-    recs = parse.parse_log(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}))
-    latest = recs.groupBy("hostName").agg(F.max(F.struct("record_ts", "off", "logType")).alias("m")).select(
-        F.col("hostName").alias("key"), F.col("m.logType").alias("value"))
-    batch = agg.latest_level(parse.parse_log(rows)).select(F.col("hostName").alias("key"), F.col("logType").alias("value"))
-    # update mode: executors write through the batch writer inside foreachBatch
-    q = start(latest, StreamConfig("kv_latest", output_mode="update", available_now=True,
-                                   checkpoint=os.path.join(scratch, "ck")), kvstore.kv_batch_sink(out))
-    run_to_end(q, TIMEOUT)
-    assert _same(kvstore.read_kv(spark, out), batch)
-    # complete mode: the Python stream writer itself
-    out2 = os.path.join(scratch, "kv2")
-    q = start(latest, StreamConfig("kv_latest2", output_mode="complete", available_now=True,
-                                   checkpoint=os.path.join(scratch, "ck2")), fmt="kvfiles", options={"path": out2})
-    run_to_end(q, TIMEOUT)
-    assert _same(kvstore.read_kv(spark, out2), batch)
+def test_flagship_on_arrival_time_loses_nothing(spark, scratch):
+    """Rows of any age, the oldest last: each is in its three windows, and the
+    state that is left holds the open windows only."""
+    import time
+
+    rows = logtopic(spark, SF_SMALL).where(F.col("off") < 400)
+    n = parse.parse_log(rows).count()
+    src, out, ck = (os.path.join(scratch, d) for d in ("src", "out", "ck"))
+
+    def run():
+        q = flagship_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), out, "logs",
+                            StreamConfig("arrival", available_now=True, checkpoint=ck))
+        run_to_end(q, TIMEOUT)
+        return q.recentProgress
+
+    for part in ("off >= 200", "off < 200"):
+        rows.where(part).coalesce(1).write.mode("append").parquet(src)
+        run()
+    time.sleep(21)
+    log_frame(spark, SENTINEL).coalesce(1).write.mode("append").parquet(src)
+    progress = run()
+    lines = _lines(spark, out).where(~F.col("line").contains("h9_svc"))
+    counted = lines.agg(F.sum(F.substring_index("line", "=", -1).cast("long"))).first()[0]
+    assert counted == 3 * n
+    assert all(op.numRowsDroppedByWatermark == 0 for p in progress for op in p.stateOperators)
+    assert progress[-1].stateOperators[0].numRowsTotal <= 3
+
+
+def test_late_partition_is_not_lost(spark, scratch):
+    """Rows a minute older than what was read before reach documents and snapshots."""
+    import time
+
+    from logengine.streaming import jobs
+
+    src = os.path.join(scratch, "src")
+    outs = {name: os.path.join(scratch, name) for name in ("docs", "snaps")}
+
+    def run():
+        for job, name in ((jobs.documents_job, "docs"), (jobs.snapshot_job, "snaps")):
+            run_to_end(job(read_log_stream(spark, "parquet", src), outs[name],
+                           StreamConfig(name, available_now=True, checkpoint=os.path.join(scratch, "ck-" + name))), TIMEOUT)
+
+    log_frame(spark, ["h1 svc 2017-01-13 19:58:16,367 INFO new"] * 2, start_ms=2_000_000).write.mode("append").parquet(src)
+    run()
+    log_frame(spark, ["h2 svc 2017-01-13 19:57:16,367 WARN old"] * 3, start_ms=1_940_000).write.mode("append").parquet(src)
+    run()
+    time.sleep(36)
+    log_frame(spark, SENTINEL).write.mode("append").parquet(src)
+    run()
+    docs = read_append_list(spark, outs["docs"]).where(F.col("key") == "h2_svc_WARN").select(
+        F.from_json("value", "array<struct<count: string>>")[0]["count"].cast("long").alias("n"))
+    assert docs.agg(F.sum("n")).first()[0] == 3 * 6
+    snaps = read_keyed(spark, outs["snaps"], ["key", "part"]).where(F.col("value").contains("h2_svc_WARN"))
+    assert snaps.count() == docs.count() > 0
+
+
+def test_latest_level_never_goes_back(spark, scratch):
+    from logengine.streaming import jobs
+
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "latest")
+
+    def run():
+        run_to_end(jobs.latest_level_job(read_log_stream(spark, "parquet", src), out,
+                                         StreamConfig("latest", available_now=True, checkpoint=os.path.join(scratch, "ck"))),
+                   TIMEOUT)
+
+    log_frame(spark, ["h1 svc 2017-01-13 19:58:40,000 ERROR newer"], start_ms=100_000).write.mode("append").parquet(src)
+    run()
+    log_frame(spark, ["h1 svc 2017-01-13 19:57:00,000 INFO late"], start_ms=0).write.mode("append").parquet(src)
+    run()
+    assert [tuple(r) for r in jobs.latest_levels(spark, out).collect()] == [("h1", "ERROR")]
+
+
+def test_a_stream_without_checkpoint_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from logengine.streaming.runner import checkpoint_location
+
+    def frame(**conf):
+        return SimpleNamespace(sparkSession=SimpleNamespace(conf=conf))
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_location(frame(), StreamConfig("x"))
+    assert checkpoint_location(frame(), StreamConfig("x", checkpoint="/c")) == "/c"
+    shared = frame(**{"spark.checkpoint.dir": "hdfs://shared/ck"})
+    assert checkpoint_location(shared, StreamConfig("x")) == "hdfs://shared/ck/streams/x"
 
 
 def test_append_list_documents(spark, scratch):
@@ -156,7 +236,7 @@ def test_append_list_documents(spark, scratch):
     src, out = os.path.join(scratch, "src"), os.path.join(scratch, "lists")
     _write_chunks(spark, rows, src, 2)
     counts = sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), 30, 5,
-                                   fixed_levels=True)
+                                   "record_ts", fixed_levels=True)
     q = start(counts, StreamConfig("docs", output_mode="update", available_now=True, checkpoint=os.path.join(scratch, "ck")),
               lambda b, i: append_list_sink(out)(shape.count_documents(b), i))
     run_to_end(q, TIMEOUT)
@@ -193,7 +273,7 @@ def test_kafka_record_normalisation(spark):
         [(None, bytearray(b"h1 svc 2017-01-13 19:57:16,367 INFO x"), "logtopic", 2, 5, dt.datetime(2017, 1, 13, 19, 57, 16))],
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     r = normalise_kafka(recs).first()
-    assert r["value"].startswith("h1 svc") and r["off"] == (2 << 40) + 5
+    assert r["value"].startswith("h1 svc") and r["off"] == (2 << 63) + 5
 
 
 def test_running_count_state_ttl(spark, scratch):
@@ -202,7 +282,7 @@ def test_running_count_state_ttl(spark, scratch):
 
         def tick(lines, at_s):
             log_frame(spark, lines, start_ms=1_000_000 + at_s * 1000).coalesce(1).write.mode("append").parquet(src)
-            q = start(running_word_count_ttl_stream(read_log_stream(spark, "parquet", src), ttl_ms),
+            q = start(running_word_count_ttl_stream(read_log_stream(spark, "parquet", src), ttl_ms, "0 seconds", "record_ts"),
                       StreamConfig(f"ttl_words{tag}", output_mode="update", available_now=True, checkpoint=ck),
                       keyed_upsert_sink(out))
             run_to_end(q, TIMEOUT)
@@ -238,7 +318,7 @@ def test_write_points_table_payloads(spark, scratch):
     lines = encode_points(orders, "orders", ["o_custkey", "o_totalprice", "o_orderstatus"], tags=["o_orderpriority"],
                           time_col="o_orderdate")
     out = os.path.join(scratch, "points")
-    write_line_protocol(lines, out, "tpch", consistency_level="QUORUM", batch_size=400, salts=2)
+    write_line_protocol(lines, out, "tpch", consistency_level="QUORUM", batch_size=400, buckets=2)
     files = glob.glob(os.path.join(out, "db=tpch", "rp=autogen", "consistency=quorum", "*.txt"))
     assert files
     back = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
@@ -272,8 +352,8 @@ def test_tick_snapshot_put_on_final_windows(spark, scratch):
     cfg = StreamConfig("snapshots", output_mode="append", available_now=True, checkpoint=ck)
 
     def run():
-        counts = sliding_counts_stream(read_log_stream(spark, "parquet", src), 30, 5, watermark="0 seconds",
-                                       fixed_levels=True)
+        counts = sliding_counts_stream(read_log_stream(spark, "parquet", src), 30, 5, "record_ts",
+                                       watermark="0 seconds", fixed_levels=True)
         run_to_end(start(counts, cfg, lambda b, i: keyed_upsert_sink(out)(shape.tick_snapshot(b), i)), TIMEOUT)
 
     _write_chunks(spark, rows, src, 2)
@@ -291,32 +371,39 @@ def test_tick_snapshot_put_on_final_windows(spark, scratch):
 def test_reference_jobs_run(spark, scratch):
     from logengine.streaming import jobs
 
-    kvstore.register(spark)
     rows = logtopic(spark, SF_SMALL)
     src = os.path.join(scratch, "src")
-    _write_chunks(spark, rows, src, 2)
+    _write_chunks(spark, rows, src, 3)
 
     def cfg(name):
         return StreamConfig(name, available_now=True, checkpoint=os.path.join(scratch, "ck-" + name))
 
     def stream():
-        return read_log_stream(spark, "parquet", src)
-
-    run_to_end(jobs.key_count_job(stream(), cfg("v1")), TIMEOUT)
-    run_to_end(jobs.word_count_job(stream(), cfg("wc")), TIMEOUT)
-    run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "logs", cfg("v2")), TIMEOUT)
-    run_to_end(jobs.documents_job(stream(), os.path.join(scratch, "v3"), cfg("v3")), TIMEOUT)
-    run_to_end(jobs.latest_level_job(stream(), os.path.join(scratch, "v4"), cfg("v4")), TIMEOUT)
-    run_to_end(jobs.snapshot_job(stream(), os.path.join(scratch, "v5"), cfg("v5")), TIMEOUT)
-    assert glob.glob(os.path.join(scratch, "v2", "batch_id=*", "db=logs"))
-    # append-mode jobs emit closed windows only: all but the last 30 s
-    docs = read_append_list(spark, os.path.join(scratch, "v3"))
-    assert docs.count() > 0
-    latest = kvstore.read_kv(spark, os.path.join(scratch, "v4"))
-    batch_latest = agg.latest_level(parse.parse_log(rows)).select(F.col("hostName").alias("key"),
-                                                                  F.col("logType").alias("value"))
-    assert _same(latest, batch_latest)
-    assert read_keyed(spark, os.path.join(scratch, "v5"), ["key", "part"]).count() > 0
+        return read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})
+
+    def run():
+        by_record = {"ts_col": "record_ts", "watermark": "1 hour"}
+        run_to_end(jobs.key_count_job(stream(), cfg("v1")), TIMEOUT)
+        run_to_end(jobs.word_count_job(stream(), cfg("wc")), TIMEOUT)
+        run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "logs", cfg("v2"), **by_record), TIMEOUT)
+        run_to_end(jobs.documents_job(stream(), os.path.join(scratch, "v3"), cfg("v3"), **by_record), TIMEOUT)
+        run_to_end(jobs.latest_level_job(stream(), os.path.join(scratch, "v4"), cfg("v4")), TIMEOUT)
+        run_to_end(jobs.snapshot_job(stream(), os.path.join(scratch, "v5"), cfg("v5"), **by_record), TIMEOUT)
+
+    run()
+    latest = agg.latest_level(parse.parse_log(rows)).select(F.col("hostName").alias("key"), F.col("logType").alias("value"))
+    assert _same(jobs.latest_levels(spark, os.path.join(scratch, "v4")), latest)
+    last_ms = rows.agg(F.max(F.unix_millis("record_ts"))).first()[0]
+    log_frame(spark, SENTINEL, start_ms=last_ms + 7_200_000).write.mode("append").parquet(src)
+    run()
+    recs = parse.parse_log(rows)
+    assert _same(_lines(spark, os.path.join(scratch, "v2")),
+                 shape.count_lines(windows.sliding_count(recs, agg.LEVEL_KEYS, 15, 5)).select("line"))
+    four = windows.sliding_count(recs.where(F.col("logType").isin("INFO", "DEBUG", "WARN", "ERROR")), agg.LEVEL_KEYS, 30, 5)
+    written = spark.read.parquet(os.path.join(scratch, "v3")).select("key", "tick", "value")
+    assert _same(written, shape.count_documents(four).select("key", "tick", "value"))
+    snaps = spark.read.parquet(os.path.join(scratch, "v5")).select("key", "part", "value")
+    assert _same(snaps, shape.tick_snapshot(four))
 
 
 def test_sinks_idempotent_on_replay(spark, scratch):
@@ -324,23 +411,18 @@ def test_sinks_idempotent_on_replay(spark, scratch):
     duplicate anything in any sink."""
     from logengine.streaming.sinks import line_protocol_sink
 
-    kvstore.register(spark)
     counts = windows.sliding_count(parse.parse_log(logtopic(spark, SF_SMALL)), agg.LEVEL_KEYS, 15, 5)
     lines = shape.count_lines(counts)
     docs = shape.count_documents(counts)
-    kv = agg.latest_level(parse.parse_log(logtopic(spark, SF_SMALL))).select(
-        F.col("hostName").alias("key"), F.col("logType").alias("value"))
-    paths = {k: os.path.join(scratch, k) for k in ("lp", "keyed", "list", "kv")}
+    paths = {k: os.path.join(scratch, k) for k in ("lp", "keyed", "list")}
     for _ in range(2):  # the same batch twice
         line_protocol_sink(paths["lp"], "db")(lines, 4)
         keyed_upsert_sink(paths["keyed"])(counts, 4)
         append_list_sink(paths["list"])(docs, 4)
-        kvstore.kv_batch_sink(paths["kv"])(kv, 4)
     back = spark.read.text(paths["lp"]).where(F.col("value") != "")
     assert back.count() == lines.count()
     assert spark.read.parquet(paths["keyed"]).count() == counts.count()
     assert spark.read.parquet(paths["list"]).count() == docs.count()
-    assert spark.read.json(os.path.join(paths["kv"], "batch=*")).count() == kv.count()
 
 
 def test_small_tick_is_one_payload(spark, scratch):
@@ -351,23 +433,16 @@ def test_small_tick_is_one_payload(spark, scratch):
     n = lines.count()
     assert 0 < n < 50
     out = os.path.join(scratch, "one")
-    write_line_protocol(lines.select("line"), out, "db")
+    write_line_protocol(lines.select("line"), out, "db", buckets=1)
     payloads = spark.read.text(out, wholetext=True).where(F.length("value") > 0)
     # n newline-terminated lines, plus the text writer's row terminator
     assert payloads.count() == 1 and payloads.first()["value"].count("\n") == n + 1
 
 
-def test_flagship_lines_with_time_are_replay_safe(spark, scratch):
-    rows = logtopic(spark, SF_SMALL)
-    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
-    _write_chunks(spark, rows, src, 2)
-    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "db",
-                        StreamConfig("flagship_t", available_now=True, checkpoint=os.path.join(scratch, "ck")),
-                        with_time=True)
-    run_to_end(q, TIMEOUT)
-    lines = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
-    counts = windows.sliding_count(parse.parse_log(rows), agg.LEVEL_KEYS, 15, 5)
-    assert _same(lines, shape.count_lines(counts, with_time=True).select("line"))
+def test_lines_with_time_are_distinct_points(spark):
+    counts = windows.sliding_count(parse.parse_log(logtopic(spark, SF_SMALL)), agg.LEVEL_KEYS, 15, 5)
+    lines = shape.count_lines(counts, with_time=True).select("line")
+    assert lines.distinct().count() == lines.count() == counts.count()
 
 
 def test_large_state_store_same_result(spark, scratch):
@@ -380,7 +455,7 @@ def test_large_state_store_same_result(spark, scratch):
     try:
         for k, v in LARGE_STATE_CONF.items():
             spark.conf.set(k, v)
-        q = start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})),
+        q = start(sliding_counts_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), ts_col="record_ts"),
                   StreamConfig("rocks_counts", output_mode="complete", available_now=True,
                                checkpoint=os.path.join(scratch, "ck")), fmt="memory")
         run_to_end(q, TIMEOUT)
@@ -400,7 +475,10 @@ def test_points_sink_streams_a_table(spark, scratch):
     from logengine.streaming.sinks import points_sink
 
     orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    src, out = os.path.join(scratch, "orders"), os.path.join(scratch, "points")
+    bad = F.col("o_orderkey") % 50 == 0
+    orders = orders.withColumn("o_orderpriority", F.when(~bad, F.col("o_orderpriority")))
+    n_bad = orders.where(bad).count()
+    src, out, left = (os.path.join(scratch, d) for d in ("orders", "points", "rejects"))
     orders.repartition(3).write.parquet(src)
     stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", "1").parquet(src)
 
@@ -408,13 +486,26 @@ def test_points_sink_streams_a_table(spark, scratch):
         return encode_points(df, "orders", ["o_custkey", "o_totalprice", "o_orderstatus"], tags=["o_orderpriority"],
                              time_col="o_orderdate")
 
+    def rejects(df):
+        from logengine.operators.points import invalid_points
+
+        return invalid_points(df, "orders", ["o_custkey", "o_totalprice", "o_orderstatus"], tags=["o_orderpriority"],
+                              keep=["o_orderkey"])
+
     q = start(stream, StreamConfig("points_stream", output_mode="append", available_now=True,
                                    checkpoint=os.path.join(scratch, "ck")),
-              points_sink(out, "tpch", encode, batch_size=1000))
+              points_sink(out, None, lambda df: encode(df).withColumn(
+                  "db", F.when(F.col("line").contains("URGENT"), F.lit("hot")).otherwise(F.lit("rest"))),
+                  rejects, left, batch_size=1000))
     run_to_end(q, TIMEOUT)
     back = spark.read.text(out).where(F.col("value") != "").select(F.col("value").alias("line"))
     assert _same(back, encode(orders).select("line"))
     assert len(glob.glob(os.path.join(out, "batch_id=*"))) == 3
+    hot = spark.read.text(out).where((F.col("value") != "") & (F.col("db") == "hot"))
+    assert hot.count() == back.where(F.col("line").contains("URGENT")).count() > 0
+    lost = spark.read.parquet(left)
+    assert n_bad > 0 and [tuple(r) for r in lost.groupBy("reason").count().collect()] == [("null_tag", n_bad)]
+    assert lost.count() + back.count() == orders.count()
 
 
 def test_kafka_options_offset_policy(spark):
