@@ -138,9 +138,10 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
     tick emits the words seen in it with their running total.
 
     Stateful per-key logic Spark's built-in aggregate cannot express, so it
-    runs in ``applyInPandasWithState``: groups arrive as Arrow batches and
-    the count is ``len()`` per batch, never a per-row Python loop. Only the
-    word and its time cross to Python. The timeout is event-time
+    runs in ``applyInPandasWithState``. Words are counted per Arrow batch
+    before the shuffle, so a hot word sends one row per batch to its state,
+    not every occurrence. Only the word and its time cross to Python. The
+    timeout is event-time
     (on ``ts_col`` with ``watermark``), so expiry is deterministic and an
     ``availableNow`` run terminates."""
     import pandas as pd
@@ -155,7 +156,7 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
             return
         total, last = state.get if state.exists else (0, 0)
         for pdf in batches:
-            total += len(pdf)
+            total += int(pdf["n"].sum())
             last = max(last, int(pdf["ms"].max()))
         state.update((total, last))
         state.setTimeoutTimestamp(last + ttl_ms)
@@ -164,9 +165,14 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
     rows, watermark = _stamped(rows, ts_col, watermark)
     if not watermark:
         raise ValueError(f"{ts_col} needs a watermark")
-    w = agg.words(rows, "value", keep=(ts_col,), with_pos=False).withWatermark(ts_col, watermark)
+    def combine(batches):
+        for pdf in batches:
+            yield pdf.groupby("word", as_index=False).agg(**{ts_col: (ts_col, "max"), "n": (ts_col, "size")})
+
+    w = agg.words(rows, "value", keep=(ts_col,), with_pos=False).select("word", ts_col)
+    w = w.mapInPandas(combine, f"word string, {ts_col} timestamp, n long").withWatermark(ts_col, watermark)
     # the event-time column stays in the input: it carries the watermark
-    return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms")).groupBy("word").applyInPandasWithState(
+    return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms"), "n").groupBy("word").applyInPandasWithState(
         update, "word string, total long", "total long, last_ms long", "update", GroupStateTimeout.EventTimeTimeout
     )
 
