@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logengine.llm.common import tidy
+
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Resolved pre-tokens that a task remembers.
 MEMORY = 400_000
@@ -166,12 +168,14 @@ class Encoder:
         return b"".join(map(self.v.tokens.__getitem__, ids))
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, memory: int = MEMORY
+) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row: the ids of the whole text and the bytes they
     decode to."""
     return _encoded(
         docs, path, pattern, "doc_id long, n_tokens long, ids array<int>, decoded binary",
-        lambda ids, data: (len(ids), ids, data),
+        lambda ids, data: (len(ids), ids, data), memory,
     )
 
 
@@ -188,27 +192,27 @@ def encoding_digests(docs: DataFrame, path: str | None = None, pattern: str = pu
     return _encoded(docs, path, pattern, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, int], Encoder] = {}
 
 
-def _encoder(vocabulary, pattern: str) -> Encoder:
+def _encoder(vocabulary, pattern: str, memory: int) -> Encoder:
     """The worker's encoder for a broadcast vocabulary: later tasks reuse what it has resolved."""
-    key = (vocabulary.value.digest, pattern)
+    key = (vocabulary.value.digest, pattern, memory)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(vocabulary.value, pattern)
+        _ENCODERS[key] = Encoder(vocabulary.value, pattern, memory)
     return _ENCODERS[key]
 
 
-def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, shape) -> DataFrame:
+def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, shape, memory: int = MEMORY) -> DataFrame:
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(Vocabulary.load(path or public_tokenizers.path(RANK_FILE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary, pattern)
+        encoder = _encoder(vocabulary, pattern, memory)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
                 rows = []
                 for text in part.column(1):
                     ids = encoder.encode(text.as_py())
@@ -223,4 +227,4 @@ def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, shape
 
     fields = _parse_datatype_string(schema).fields
     names, types = [f.name for f in fields], [to_arrow_type(f.dataType) for f in fields]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logengine.llm.common import checkpointed
+from logengine.llm.common import checkpointed, tidy
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS, seed: int = SEED) -
             found = np.fromiter((fingerprint(t.as_py(), size, seed) for t in batch.column(1)), np.uint64, len(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def split_mask(free: int, parts: int) -> list[int]:
@@ -168,7 +168,7 @@ def close_links(
             hot = hot if hot.limit(1).count() else None
         now = todo if hot is None else todo.join(hot, ["mask", "part"], "left_anti")
         rows = now.select("mask", "part", "fp", "rep").repartition("mask", "part").sortWithinPartitions("mask", "part")
-        links = rows.mapInArrow(_cell_links(max_bits), "a long, b long")
+        links = rows.mapInArrow(tidy(_cell_links(max_bits)), "a long, b long")
         found = links if found is None else found.unionByName(links)
         if hot is None:
             break

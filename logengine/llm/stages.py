@@ -14,7 +14,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality rules keep. The figures are computed twice (once for the
     sketches, once beside the text), so that the text itself is never shuffled."""
     measured = quality.measure(docs.select(*DOCUMENT_COLUMNS))
-    limits = checkpointed(quality.thresholds(quality.sketches(measured)))
+    limits = checkpointed(quality.thresholds(checkpointed(quality.sketches(measured))))
     return quality.judge(measured, limits).where("kept").select(*DOCUMENT_COLUMNS)
 
 
@@ -42,5 +42,6 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document that is left, with the bytes they decode to."""
-    return bpe.encode_documents(docs.select("doc_id", "text"))
+    """Ids of every document that is left, with the bytes they decode to. The workers that earlier
+    stages have used remember fewer pre-tokens: an executor holds all stages' leftovers."""
+    return bpe.encode_documents(docs.select("doc_id", "text"), memory=60_000)
