@@ -129,7 +129,9 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE) -> DataFrame:
-    """Per (``_lang``, ``_source``) the limits ``_low_*`` and ``_high_*`` of each figure."""
+    """Per (``_lang``, ``_source``) the limits ``_low_*`` and ``_high_*`` of each figure: those of
+    the group, its language or the whole corpus, whichever first has ``min_docs`` documents.
+    ``sketch`` (checkpointed) is read more than once."""
     group = Window.partitionBy("_lang", "_source", "figure")
     ranked = sketch.select(
         "*",
@@ -157,23 +159,21 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE)
         ),
     )
     names = [f"_{side}_{f}" for f in FIGURES for side in ("low", "high")]
-    own = limits.where(F.col("_source").isNotNull())
-    lang = limits.where(F.col("_source").isNull() & F.col("_lang").isNotNull()).select(
-        "_lang", F.col("docs").alias("lang_docs"), *(F.col(c).alias(f"lang{c}") for c in names)
+    every = F.lit("~")  # sorts after all keys of a language or a source
+    limits = limits.withColumn("_lang", F.coalesce("_lang", every)).withColumn("_source", F.coalesce("_source", every))
+    own = limits.where(F.col("_source") != every).select("_lang", "_source", "docs")
+    lang = limits.where((F.col("_source") == every) & (F.col("_lang") != every)).select(
+        "_lang", F.col("docs").alias("lang_docs")
     )
-    every = limits.where(F.col("_lang").isNull()).select(*(F.col(c).alias(f"all{c}") for c in names))
-    joined = own.join(lang, "_lang").join(F.broadcast(every))  # one row
-    return joined.select(
+    enough = F.col("docs") >= min_docs
+    chosen = own.join(lang, "_lang").select(
         "_lang",
         "_source",
-        *(
-            F.when(F.col("docs") >= min_docs, F.col(c))
-            .when(F.col("lang_docs") >= min_docs, F.col(f"lang{c}"))
-            .otherwise(F.col(f"all{c}"))
-            .alias(c)
-            for c in names
-        ),
+        F.when(enough | (F.col("lang_docs") >= min_docs), F.col("_lang")).otherwise(every).alias("_of_lang"),
+        F.when(enough, F.col("_source")).otherwise(every).alias("_of_source"),
     )
+    named = limits.select(F.col("_lang").alias("_of_lang"), F.col("_source").alias("_of_source"), *names)
+    return chosen.join(named, ["_of_lang", "_of_source"]).select("_lang", "_source", *names)
 
 
 def judge(measured: DataFrame, limits: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
