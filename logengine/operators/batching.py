@@ -79,7 +79,7 @@ def write_batches(lines: DataFrame, batch_size: int = 5000, id_col: str = "id")
     (db, rp). Lines keep id order inside a payload."""
     _check(batch_size)
     tied = lines.withColumn("line", _line()).withColumn("_tie", _tie(F.col("line")))
-    numbered = ordinal_within(tied, GROUP, [id_col, "_tie"], out_col="_at")
+    numbered = ordinal_within(tied, GROUP, [id_col, "_tie"], out_col="_at", lead=1)
     numbered = numbered.withColumn("batch_no", F.floor(F.col("_at") / F.lit(batch_size)).cast("int"))
     return _payloads(numbered, [*GROUP, "batch_no"], id_col)
 
@@ -102,7 +102,7 @@ def oversize_batches(lines: DataFrame, batch_size: int = 5000, id_col: str = "id
     """``(db, rp, batch_no, n_points, n_bytes, oversize)`` of the batches of
     :func:`write_batches`, without building payloads or moving lines."""
     _check(batch_size)
-    numbered = ordinal_within(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at")
+    numbered = ordinal_within(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", lead=1)
     return (
         numbered.groupBy(*GROUP, F.floor(F.col("_at") / F.lit(batch_size)).cast("int").alias("batch_no"))
         .agg(F.count(F.lit(1)).alias("n_points"), F.sum("n").alias("n_bytes"))
@@ -120,7 +120,7 @@ def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, id_col: str = "i
     bytes of starts plus at most one line, so it never exceeds ``limit``;
     unlike a greedy cut it needs no sequential pass. A line longer than
     ``limit`` on its own fails the job, as a datagram could not carry it."""
-    placed = positions(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", size_col="n")
+    placed = positions(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", size_col="n", lead=1)
     step = F.lit(limit) - F.col("longest")
     batch_no = F.when(step <= 0, F.raise_error(F.lit(f"a line does not fit in {limit} bytes"))) \
         .otherwise(F.floor(F.col("start") / step)).cast("int")

@@ -1,12 +1,13 @@
 """Exact positions within a group (ordinals, running sums), safe under skew.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends a whole group to
-one task. Here every row first gets a range bucket of the whole order key
-``(g, o)``: the bounds are literals, taken once from a fixed-size sample
-(the rows of least hash, so the same rows each time), and only steer
-placement, never the result. Each (group, bucket) cell is numbered on its
-own and shifted by the totals of the cells before it. A group holding a
-third of all rows is spread over a third of the buckets.
+one task. Here every row first gets a range bucket of its order key ``o``
+(or of its leading columns): the bounds are literals, taken once from a
+fixed-size sample (the rows of least hash, so the same rows each time),
+and only steer placement, never the result. Each (group, bucket) cell is
+numbered on its own and shifted by the totals of the cells before it. A
+group holding a third of all rows makes up a third of the sample, so the
+bounds cut it finely.
 
 One extra pass takes the sample, one aggregates the cells (partial sums,
 one row per cell is shuffled); the rows are shuffled once, by (group,
@@ -63,12 +64,14 @@ def range_bucket(df: DataFrame, cols: Sequence[str], n: int | None = None, sampl
 
 
 def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str = "ordinal",
-              size_col: str | None = None, buckets: int | None = None) -> DataFrame:
+              size_col: str | None = None, buckets: int | None = None, lead: int | None = None) -> DataFrame:
     """Add ``out_col``: the 0-based place of each row in its group. With
     ``size_col`` also ``start`` (sum of the sizes before the row) and
-    ``longest`` (largest size of the group). Null keys are a group."""
+    ``longest`` (largest size of the group). Null keys are a group.
+    ``lead`` is how many of the order columns the buckets go by (all): leave
+    out a tie-breaker that is dear to compute and seldom needed."""
     g, o = list(group_cols), list(order_cols)
-    placed = df.withColumn("_b", range_bucket(df, [*g, *o], buckets)).withColumn("_g", F.struct(*g))
+    placed = df.withColumn("_b", range_bucket(df, o[:lead], buckets)).withColumn("_g", F.struct(*g))
     sums = [F.count(F.lit(1)).alias("_n")]
     if size_col:
         sums += [F.sum(size_col).alias("_size"), F.max(size_col).alias("_max")]
@@ -89,6 +92,6 @@ def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str
 
 
 def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                   buckets: int | None = None, out_col: str = "ordinal") -> DataFrame:
+                   buckets: int | None = None, out_col: str = "ordinal", lead: int | None = None) -> DataFrame:
     """:func:`positions` without sizes."""
-    return positions(df, group_cols, order_cols, out_col, buckets=buckets)
+    return positions(df, group_cols, order_cols, out_col, buckets=buckets, lead=lead)
