@@ -128,12 +128,12 @@ def test_flagship_stream_writes_each_window_once(spark, scratch):
     def run():
         run_to_end(flagship_stream(read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"}), out, "logs",
                                    StreamConfig("flagship", available_now=True, checkpoint=ck), ts_col="record_ts",
-                                   watermark="1 hour", compression="gzip"), TIMEOUT)
+                                   watermark="2 hours", compression="gzip"), TIMEOUT)
 
     _write_chunks(spark, rows, src, 4)
     run()
     last_ms = rows.agg(F.max(F.unix_millis("record_ts"))).first()[0]
-    log_frame(spark, SENTINEL, start_ms=last_ms + 7_200_000).write.mode("append").parquet(src)
+    log_frame(spark, SENTINEL, start_ms=last_ms + 10_800_000).write.mode("append").parquet(src)
     run()
     files = glob.glob(os.path.join(out, "batch_id=*", "db=logs", "rp=autogen", "consistency=one", "*.gz"))
     assert files
@@ -382,7 +382,7 @@ def test_reference_jobs_run(spark, scratch):
         return read_log_stream(spark, "parquet", src, {"maxFilesPerTrigger": "1"})
 
     def run():
-        by_record = {"ts_col": "record_ts", "watermark": "1 hour"}
+        by_record = {"ts_col": "record_ts", "watermark": "2 hours"}
         run_to_end(jobs.key_count_job(stream(), cfg("v1")), TIMEOUT)
         run_to_end(jobs.word_count_job(stream(), cfg("wc")), TIMEOUT)
         run_to_end(jobs.flagship_job(stream(), os.path.join(scratch, "v2"), "logs", cfg("v2"), **by_record), TIMEOUT)
@@ -394,7 +394,7 @@ def test_reference_jobs_run(spark, scratch):
     latest = agg.latest_level(parse.parse_log(rows)).select(F.col("hostName").alias("key"), F.col("logType").alias("value"))
     assert _same(jobs.latest_levels(spark, os.path.join(scratch, "v4")), latest)
     last_ms = rows.agg(F.max(F.unix_millis("record_ts"))).first()[0]
-    log_frame(spark, SENTINEL, start_ms=last_ms + 7_200_000).write.mode("append").parquet(src)
+    log_frame(spark, SENTINEL, start_ms=last_ms + 10_800_000).write.mode("append").parquet(src)
     run()
     recs = parse.parse_log(rows)
     assert _same(_lines(spark, os.path.join(scratch, "v2")),
