@@ -212,11 +212,10 @@ def near_duplicates(
     marked = checkpointed(fingerprints(docs, size))
     reps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     links = close_links(reps.where("rep IS NOT NULL"), max_bits, cell_limit)
-    # A document with several rows may have several fingerprints: its id links them.
-    same_id = (
-        marked.join(reps, "fp").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-        .join(reps.select(F.col("rep").alias("b")), "b", "left_semi").select("a", "b")
-    )
+    # A document with several rows may have several fingerprints: its id links their representatives.
+    named = marked.where("doc_id IS NOT NULL").distinct().join(reps, "fp")
+    least = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
+    same_id = named.join(least.select("doc_id", "a"), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
     found = components(links.unionByName(same_id))
     named = reps.join(found, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id")

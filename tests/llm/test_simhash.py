@@ -77,6 +77,15 @@ def test_edge_rows(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_one_id_with_the_texts_of_others(spark):
+    """An id that represents no fingerprint still links those of its rows."""
+    a, b, c = "a b c d e", "z y x w v u", "one two three four five six"
+    rows = [(1, a), (2, b), (9, a), (9, b), (4, c), (None, b)]
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (9, 1), (9, 1), (4, 4), (None, 1)], key=str)
+
+
 def test_query_matches_brute_force(spark):
     from logengine.llm.queries import QUERIES
 
