@@ -3,43 +3,61 @@
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends a whole group to
 one task. Here every row first gets a range bucket of its order key ``o``
 (or of its leading columns): the bounds are literals, taken once from a
-fixed-size sample (the rows of least hash, so the same rows each time),
-and only steer placement, never the result. Each (group, bucket) cell is
-numbered on its own and shifted by the totals of the cells before it. A
-group holding a third of all rows makes up a third of the sample, so the
-bounds cut it finely.
-
-One extra pass takes the sample, one aggregates the cells (partial sums,
-one row per cell is shuffled); the rows are shuffled once, by (group,
-bucket), for both the join with the cells and the window. Nothing is
-checkpointed and a retry gives the same numbers. The order must be total
-up to rows that are equal anyway (add a unique tie-breaker).
+sample of rows, and only steer placement, never the result. Each (group,
+bucket) cell is numbered on its own and shifted by the totals of the cells
+before it. The sample is one of rows, not of keys: a group or a key that
+holds a third of all rows makes up a third of it, so the bounds cut it
+finely; where one leading value fills a range, the bounds inside it go on
+to the other order columns.
+
+One pass counts the rows and one takes the sample (leading columns first),
+one aggregates the cells (partial sums, one row per cell is shuffled); the
+rows are shuffled once, by (group, bucket), for both the join with the
+cells and the window. Nothing is checkpointed and a retry gives the same
+numbers. The order must be total up to rows that are equal anyway (add a
+unique tie-breaker).
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that the range bounds are taken from, whatever the input size.
+#: Rows that the range bounds are taken from, at least, and for each range;
+#: the sample is bounded by the number of ranges, not by the input.
 SAMPLE_ROWS = 4096
+ROWS_PER_RANGE = 256
+#: Ranges that a row is searched in at most (the bounds are literals).
+MAX_RANGES = 1024
 
 
-def _bounds(df: DataFrame, cols: Sequence[str], n: int, sample_rows: int) -> list[tuple]:
+def _rank(row: Sequence) -> tuple:
+    """Sorts as the columns do: nulls first, a null is only ever compared with its flag."""
+    return tuple((v is not None, *([v] if v is not None else [])) for v in row)
+
+
+def _bounds(df: DataFrame, cols: Sequence[str], lead: int, n: int, sample_rows: int) -> list[tuple]:
+    """Starts of the ranges after the first, ascending: tuples of the first
+    ``lead`` columns, or of all where the leading value holds half a range
+    or more."""
     keys = df.select(*cols)
-    sample = keys.orderBy(F.xxhash64(*cols)).limit(sample_rows).collect()
-    # nulls first; a null is only ever compared with its flag
-    rows = sorted((tuple(r) for r in sample), key=lambda r: tuple((v is not None, *([v] if v is not None else [])) for v in r))
+    total = keys.count()
+    wanted = max(sample_rows, ROWS_PER_RANGE * n)
+    rows = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=11)
+    rows = sorted((tuple(r) for r in rows.collect()), key=_rank)
+    held = Counter(r[:lead] for r in rows)
     picked = [rows[len(rows) * i // n] for i in range(1, n)] if rows else []
-    return list(dict.fromkeys(picked))
+    return list(dict.fromkeys(r if 2 * n * held[r[:lead]] >= len(rows) else r[:lead] for r in picked))
 
 
 def _before(cols: Sequence[str], bound: tuple) -> Column:
-    """The row sorts before the bound (nulls first)."""
+    """The row sorts before the bound (nulls first), by as many columns as
+    the bound has; the later ones are only computed where the earlier tie."""
     out = F.lit(False)
-    for name, value in reversed(list(zip(cols, bound, strict=True))):
+    for name, value in reversed(list(zip(cols, bound, strict=False))):
         c = F.col(name)
         if value is None:
             out = c.isNull() & out
@@ -48,11 +66,12 @@ def _before(cols: Sequence[str], bound: tuple) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def range_bucket(df: DataFrame, cols: Sequence[str], n: int | None = None, sample_rows: int = SAMPLE_ROWS) -> Column:
+def range_bucket(df: DataFrame, cols: Sequence[str], n: int | None = None, sample_rows: int = SAMPLE_ROWS,
+                 lead: int | None = None) -> Column:
     """Number of the range (of about ``n``) that a row falls into in the
     order of ``cols``: a binary search over literal bounds."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _bounds(df, cols, n, sample_rows)
+    n = min(n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    bounds = _bounds(df, cols, lead or len(cols), n, sample_rows)
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -64,14 +83,16 @@ def range_bucket(df: DataFrame, cols: Sequence[str], n: int | None = None, sampl
 
 
 def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str = "ordinal",
-              size_col: str | None = None, buckets: int | None = None, lead: int | None = None) -> DataFrame:
+              size_col: str | None = None, buckets: int | None = None, lead: int | None = None,
+              total_col: str | None = None) -> DataFrame:
     """Add ``out_col``: the 0-based place of each row in its group. With
     ``size_col`` also ``start`` (sum of the sizes before the row) and
-    ``longest`` (largest size of the group). Null keys are a group.
-    ``lead`` is how many of the order columns the buckets go by (all): leave
-    out a tie-breaker that is dear to compute and seldom needed."""
+    ``longest`` (largest size of the group), with ``total_col`` the rows of
+    the group. Null keys are a group. ``lead`` is how many of the order
+    columns the buckets go by first (all): leave out a tie-breaker that is
+    dear to compute; it is used inside a leading value that fills a range."""
     g, o = list(group_cols), list(order_cols)
-    placed = df.withColumn("_b", range_bucket(df, o[:lead], buckets)).withColumn("_g", F.struct(*g))
+    placed = df.withColumn("_b", range_bucket(df, o, buckets, lead=lead)).withColumn("_g", F.struct(*g))
     sums = [F.count(F.lit(1)).alias("_n")]
     if size_col:
         sums += [F.sum(size_col).alias("_size"), F.max(size_col).alias("_max")]
@@ -79,6 +100,8 @@ def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = [F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n0")]
+    if total_col:
+        offsets.append(F.sum("_n").over(group).alias(total_col))
     if size_col:
         offsets += [F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_size0"), F.max("_max").over(group).alias("longest")]
     own = Window.partitionBy("_g", "_b").orderBy(*o)

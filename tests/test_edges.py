@@ -16,7 +16,7 @@ from logengine.functions.time import iso_to_millis, java_timestamp_text, millis_
 from logengine.operators import aggregate as agg
 from logengine.operators import parse, points, shape, windows
 from logengine.operators.batching import DATAGRAM_LIMIT, bucket_batches, oversize_batches, write_batches
-from logengine.operators.numbering import ordinal_within
+from logengine.operators.numbering import ordinal_within, range_bucket
 from logengine.operators.series import chunked_result, group_by_all_tags, result_errors, series_rows
 
 from .conftest import SF_SMALL, log_frame
@@ -297,6 +297,20 @@ def test_ordinal_within_matches_row_number_under_skew(spark):
         assert got.count() == 20000
 
 
+def test_ranges_are_even_whatever_the_keys(spark):
+    """Few keys, and a key with a third of the rows: no range holds twice its share, numbers stay exact."""
+    few = spark.range(400_000).select((F.col("id") % 40).alias("k"), F.xxhash64("id").alias("tie"))
+    hot = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5000)).otherwise(F.col("id") % 9973).alias("k"), F.xxhash64("id").alias("tie"))
+    gone = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.xxhash64("id").alias("tie"))
+    for df in (few, hot, gone):
+        sizes = [r["count"] for r in df.select(range_bucket(df, ["k", "tie"], 16, lead=1).alias("b")).groupBy("b").count().collect()]
+        assert len(sizes) >= 12 and max(sizes) <= 2 * sum(sizes) / 16, sizes
+    got = ordinal_within(few.withColumn("g", F.lit(1)), ["g"], ["k", "tie"], buckets=16, lead=1)
+    ref = few.select("k", "tie", (F.row_number().over(Window.orderBy("k", "tie")) - 1).cast("long").alias("ordinal"))
+    assert got.select("k", "tie", "ordinal").exceptAll(ref).count() == 0
+
+
 def test_batches_of_a_hot_database_are_exact(spark):
     # one database holds 90% of the points
     df = spark.range(30000).select(
