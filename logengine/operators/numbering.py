@@ -10,8 +10,8 @@ holds a third of all rows makes up a third of it, so the bounds cut it
 finely; where one leading value fills a range, the bounds inside it go on
 to the other order columns.
 
-One pass counts the rows and one takes the sample (leading columns first),
-one aggregates the cells (partial sums, one row per cell is shuffled); the
+One pass counts the rows and one takes the sample (of the leading columns,
+which may be much cheaper than the others), one aggregates the cells (partial sums, one row per cell is shuffled); the
 rows are shuffled once, by (group, bucket), for both the join with the
 cells and the window. Nothing is checkpointed and a retry gives the same
 numbers. The order must be total up to rows that are equal anyway (add a
@@ -20,8 +20,11 @@ unique tie-breaker).
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,18 +42,34 @@ def _rank(row: Sequence) -> tuple:
     return tuple((v is not None, *([v] if v is not None else [])) for v in row)
 
 
+def _sample(df: DataFrame, total: float, wanted: int) -> list[tuple]:
+    """About ``wanted`` of the ``total`` rows, sorted."""
+    rows = df if total <= wanted else df.sample(fraction=wanted / total, seed=11)
+    return sorted((tuple(r) for r in rows.collect()), key=_rank)
+
+
 def _bounds(df: DataFrame, cols: Sequence[str], lead: int, n: int, sample_rows: int) -> list[tuple]:
     """Starts of the ranges after the first, ascending: tuples of the first
     ``lead`` columns, or of all where the leading value holds half a range
-    or more."""
-    keys = df.select(*cols)
-    total = keys.count()
-    wanted = max(sample_rows, ROWS_PER_RANGE * n)
-    rows = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=11)
-    rows = sorted((tuple(r) for r in rows.collect()), key=_rank)
-    held = Counter(r[:lead] for r in rows)
-    picked = [rows[len(rows) * i // n] for i in range(1, n)] if rows else []
-    return list(dict.fromkeys(r if 2 * n * held[r[:lead]] >= len(rows) else r[:lead] for r in picked))
+    or more (a second sample, of the rows with such values only)."""
+    keys = df.select(*cols[:lead])
+    total, wanted = keys.count(), max(sample_rows, ROWS_PER_RANGE * n)
+    rows = _sample(keys, total, wanted)
+    held = Counter(rows)
+    hot = {v for v, c in held.items() if 2 * n * c >= len(rows)} if lead < len(cols) else set()
+    inside: dict[tuple, list[tuple]] = {v: [] for v in hot}
+    if hot:
+        is_hot = reduce(or_, (reduce(and_, (F.col(c).eqNullSafe(F.lit(x)) for c, x in zip(cols, v, strict=False))) for v in hot))
+        for r in _sample(df.where(is_hot).select(*cols), total * sum(held[v] for v in hot) / len(rows), wanted):
+            inside[r[:lead]].append(r)
+    out = []
+    for at in (len(rows) * i // n for i in range(1, n) if rows):
+        own = inside.get(rows[at])
+        if own:  # as far into the rows of this value as the pick is into its part of the sample
+            out.append(own[(at - bisect_left(rows, _rank(rows[at]), key=_rank)) * len(own) // held[rows[at]]])
+        else:
+            out.append(rows[at])
+    return list(dict.fromkeys(out))
 
 
 def _before(cols: Sequence[str], bound: tuple) -> Column:
