@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logengine.llm import bpe, chat, classifier, lzfingerprint, mixing, oracle_quality, passages, quality, sharding, simhash, urlfilter
-from logengine.llm.common import checkpointed, n_words, read
+from logengine.llm import (
+    bpe, chat, classifier, lzfingerprint, merkle, mixing, oracle_merkle, oracle_quality, passages, quality, sharding,
+    simhash, urlfilter,
+)
+from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed, n_words, read
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +84,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and what its (partly tampered) leaf folds to."""
+    docs = read(spark, sf_dir, "documents", *DOCUMENT_COLUMNS)
+    changed = F.when(merkle.tampered(F.col("doc_id")), merkle.document_leaf(merkle.lowered(F.col("text"))))
+    leaves = docs.select("doc_id", "source", merkle.document_leaf().alias("leaf"), changed.alias("claim"))
+    return merkle.manifest(leaves, claim="claim").drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_rules": op2_quality_rules,
@@ -92,8 +103,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_lz_fingerprint": op9_lz_fingerprint,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": oracle_quality.OP2,
+    "op11_merkle_manifest": oracle_merkle.OP11,
 }
