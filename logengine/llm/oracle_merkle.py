@@ -8,15 +8,15 @@ _FIELDS = ("doc_id", "source", "lang", "n_chars")
 
 
 def crc32(text: str) -> str:
-    """Unsigned crc32 of a text's UTF-8 bytes; ``crc_table`` holds the 256 steps."""
+    """Unsigned crc32 of a text's UTF-8 bytes; the row has ``crc_t``, the 256 steps of ``crc_table``."""
     hexed = f"hex(encode({text}))"
     codes = f"list_transform(range(0, length({hexed}) // 2), lambda k: CAST('0x' || substr({hexed}, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))"
-    step = "xor(a >> 8, (SELECT t FROM crc_table)[CAST(xor(a, b) & 255 AS BIGINT) + 1])"
+    step = "xor(a >> 8, crc_t[CAST(xor(a, b) & 255 AS BIGINT) + 1])"
     return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda a, b: {step}), 4294967295::BIGINT)"
 
 
 _SHIFT = "list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))"
-CRC_TABLE = f"crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i: {_SHIFT}) t)"
+CRC_TABLE = f"crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i: {_SHIFT}) crc_t)"
 
 
 def _leaf(text: str) -> str:
@@ -58,7 +58,7 @@ OP11 = "WITH " + ",\n".join(
         f"d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END s, {_leaf('text')} leaf, "
         f"CASE WHEN coalesce({crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0, false) THEN "
         f"{_leaf(chr(39).join(['translate(text, ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ', ', 'abcdefghijklmnopqrstuvwxyz', ')']))} "
-        "END claim FROM documents)",
+        "END claim FROM documents, crc_table)",
         "n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 i, "
         "count(*) OVER (PARTITION BY s) c FROM d)",
         *_tree("t", "SELECT s, i, c, leaf h FROM n", LEVELS),

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logengine.llm import (
-    bpe, chat, classifier, lzfingerprint, merkle, mixing, oracle_merkle, oracle_quality, passages, quality, sharding,
-    simhash, urlfilter,
+    bpe, chat, classifier, lzfingerprint, merkle, mixing, oracle_merkle, oracle_quality, oracle_spelling, passages, quality,
+    sharding, simhash, spelling, urlfilter,
 )
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed, n_words, read
 
@@ -92,6 +92,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(leaves, claim="claim").drop("source")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form, the root of its forms and its number of near words."""
+    return spelling.variants(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_rules": op2_quality_rules,
@@ -104,9 +111,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lz_fingerprint": op9_lz_fingerprint,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": oracle_quality.OP2,
     "op11_merkle_manifest": oracle_merkle.OP11,
+    "op13_spelling_variants": oracle_spelling.OP13,
 }

@@ -1,0 +1,108 @@
+"""Spelling variants against comparing all words."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+from logengine.llm import spelling
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_words(rows):
+    out = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            out[run] += 1
+    return {w: n for w, n in out.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def expected(words):
+    by_length = defaultdict(list)
+    for w in words:
+        by_length[len(w)].append(w)
+    out, form = {}, {}
+    for w, n in words.items():
+        near = [v for k in (-1, 0, 1) for v in by_length[len(w) + k] if v != w and one_edit(w, v)]
+        best = min(near, key=lambda v: (-words[v], v), default=None)
+        if best is not None and words[best] >= 5 * n:
+            form[w] = best
+        out[w] = len(near)
+    rows = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        f = form.get(w)
+        rows.append((w, n, out[w], f, words.get(f), root))
+    return sorted(rows, key=str)
+
+
+def got(df):
+    return sorted(((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in spelling.variants(df).collect()), key=str)
+
+
+def test_query_matches_comparing_all_words(spark):
+    from logengine.llm.queries import QUERIES
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = QUERIES["op13_spelling_variants"](spark, SF)
+    want = expected(brute_words(rows))
+    assert sorted(((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in found.collect()), key=str) == want
+    assert sum(r[3] is not None for r in want) > 5
+
+
+def test_dense_words_and_chains(spark):
+    """Every kind of edit at every place, equal letters in a row, ties, forms of forms."""
+    rng = random.Random(3)
+    words = Counter()
+    for base in ("aaaaaaa", "aabbaabb", "wörter", "straße", "abcdefgh", "ÿÿÿÿÿÿ"):
+        words[base.replace("Ÿ", "ÿ")] += 700
+        for _ in range(60):
+            w = base
+            for _ in range(rng.randint(1, 3)):
+                k = rng.randrange(len(w))
+                w = rng.choice([w[:k] + w[k + 1 :], w[:k] + rng.choice("abàÿ") + w[k:], w[:k] + rng.choice("abàÿ") + w[k + 1 :]])
+            words[w] += rng.choice([1, 5, 6, 25, 27, 130])
+    tokens = [w for w, n in words.items() for _ in range(n)]
+    rng.shuffle(tokens)
+    rows = [(i, " ".join(tokens[i * 50 : i * 50 + 50])) for i in range(len(tokens) // 50 + 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = expected(brute_words(rows))
+    assert got(df) == want
+    forms = {r[0]: r[3] for r in want}
+    assert any(forms.get(f) for f in forms.values() if f)
+
+
+def test_long_words(spark):
+    """Words of thousands of characters, and one at either side of the bound between the two ways."""
+    rng = random.Random(8)
+    base, edge = "".join(rng.choice("abc") for _ in range(2000)), "q" * 64
+    words = {base: 300, base[:900] + base[901:]: 50, base[:1500] + "é" + base[1500:]: 5, "a" * 1500: 30, "a" * 1499: 6,
+             edge: 26, edge + "q": 5, edge[:-1]: 131, edge[:30] + "r" + edge[31:]: 5, edge + "qr": 7}
+    rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(words.items())]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == expected(brute_words(rows))
+
+
+def test_edge_rows(spark):
+    long = "Wonderful wondrful " * 30_000
+    rows = [(None, "wondeful " * 7), (1, None), (2, ""), (3, " 12 -- \n"), (4, long), (4, long), (5, "a" * 70_000 + " " + "bb " * 9),
+            (-6, "×÷×÷×÷ " * 9 + "ÀÀÀÀÀÀ àààààà " * 6), (7, "tooshort " * 4), (8, "x" * 300 + " " * 9)]
+    df = spark.createDataFrame([(*r, "w", 1) for r in rows], "doc_id long, text string, word string, n int")
+    assert got(df) == expected(brute_words(rows))
+    assert got(df.limit(0)) == []
+    assert got(spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")) == []
