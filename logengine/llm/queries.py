@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logengine.llm import (
-    bpe, chat, classifier, lzfingerprint, merkle, mixing, oracle_merkle, oracle_quality, oracle_spelling, passages, quality,
+    bpe, chat, classifier, lzfingerprint, merkle, mixing, oracle_merkle, oracle_quality, oracle_spelling, packing, passages, quality,
     sharding, simhash, spelling, urlfilter,
 )
 from logengine.llm.common import DOCUMENT_COLUMNS, checkpointed, n_words, read
@@ -92,6 +92,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(leaves, claim="claim").drop("source")
 
 
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    return packing.pack(checkpointed(packing.encoded(read(spark, sf_dir, "documents", "doc_id", "text"))))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word with its form, the root of its forms and its number of near words."""
     return spelling.variants(read(spark, sf_dir, "documents", "doc_id", "text")).select(
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lz_fingerprint": op9_lz_fingerprint,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_sequence_packing": op12_sequence_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
