@@ -16,7 +16,8 @@ word_count_job         per-tick word counts → console
 =====================  =====================================================
 
 Windows are on arrival time (the micro-batch that reads a row) by default,
-as in the reference: no row is late and none is dropped. Jobs whose output
+as in the reference: no row is late and none is dropped; on a trigger
+interval a clock closes windows and runs ticks when nothing arrives. Jobs whose output
 must describe a *whole* window (lines, documents, snapshots) run in append
 mode, so each window is written once, when final; with ``record_ts`` or
 ``event_ts`` give the ``watermark`` to wait for stragglers.
@@ -34,6 +35,7 @@ from logengine.streaming.runner import (
     StreamConfig,
     VARIANT_LENGTH_S,
     ARRIVAL,
+    _ticking,
     VARIANT_SLIDE_S,
     append,
     flagship_stream,
@@ -59,7 +61,8 @@ def flagship_job(rows: DataFrame, sink_path: str, database: str, cfg: StreamConf
 
 def documents_job(rows: DataFrame, sink_path: str, cfg: StreamConfig, ts_col: str = ARRIVAL,
                   watermark: str | None = None) -> StreamingQuery:
-    counts = sliding_counts_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark, fixed_levels=True)
+    counts = sliding_counts_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark, fixed_levels=True,
+                                   clock=_ticking(cfg, ts_col))
     sink = append_list_sink(sink_path)
     return start(counts, append(cfg), foreach_tick(lambda b, i: sink(count_documents(b), i)))
 
@@ -69,7 +72,7 @@ def latest_level_job(rows: DataFrame, store_path: str, cfg: StreamConfig, ts_col
     """Per window, the last level per host; each tick stores host → level
     with the arrival time and offset that decided it. The target resolves by
     these (:func:`latest_levels`), so a late row never goes back in time."""
-    latest = latest_level_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark)
+    latest = latest_level_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark, _ticking(cfg, ts_col))
     sink = keyed_upsert_sink(store_path)
 
     def put(batch: DataFrame, batch_id: int) -> None:
@@ -87,7 +90,8 @@ def latest_levels(spark: SparkSession, store_path: str) -> DataFrame:
 
 def snapshot_job(rows: DataFrame, sink_path: str, cfg: StreamConfig, ts_col: str = ARRIVAL,
                  watermark: str | None = None) -> StreamingQuery:
-    counts = sliding_counts_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark, fixed_levels=True)
+    counts = sliding_counts_stream(rows, VARIANT_LENGTH_S, VARIANT_SLIDE_S, ts_col, watermark, fixed_levels=True,
+                                   clock=_ticking(cfg, ts_col))
     sink = keyed_upsert_sink(sink_path)
     return start(counts, append(cfg), foreach_tick(lambda b, i: sink(tick_snapshot(b), i)))
 

@@ -16,6 +16,11 @@ collect: rows stay on executors and are written by Spark's writers).
   parsed one) need an explicit watermark for append mode; rows beyond it
   are dropped by Spark, rows whose time does not parse are in
   :func:`logengine.operators.parse.untimed`
+* clock: Spark moves the watermark by rows, so on a silent source the last
+  windows would stay open and no tick would run. ``clock=True`` adds one
+  clock row per micro-batch, which moves the watermark and is filtered out
+  behind it: every slide has its tick, windows close by the time of day. The
+  packaged jobs have it when they run on a trigger interval and arrival time
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -85,22 +90,43 @@ def _stamped(rows: DataFrame, ts_col: str, watermark: str | None) -> tuple[DataF
     return rows.withColumn(ARRIVAL, F.current_timestamp()), watermark or "0 seconds"
 
 
-def _records(rows: DataFrame, ts_col: str, watermark: str | None, legacy_offset: bool) -> DataFrame:
+_CLOCK = "_clock"
+
+
+def clock_rows(spark: SparkSession, ts_col: str) -> DataFrame:
+    """One row in every micro-batch, whether or not anything arrives: the batch's time."""
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    return ticks.select(F.current_timestamp().alias(ts_col), F.lit(True).alias(_CLOCK))
+
+
+def _ticking(cfg: StreamConfig, ts_col: str) -> bool:
+    """The query runs on the clock: a trigger interval, windows on arrival time."""
+    return ts_col == ARRIVAL and cfg.trigger_interval is not None and not cfg.available_now
+
+
+def _records(rows: DataFrame, ts_col: str, watermark: str | None, legacy_offset: bool, clock: bool = False) -> DataFrame:
     rows, watermark = _stamped(rows, ts_col, watermark)
     keep = ("off", "record_ts", *([ARRIVAL] if ts_col == ARRIVAL else []))
     recs = parse_log(rows, legacy_offset=legacy_offset, keep=keep)
     if ts_col == "event_ts":
         recs = recs.where(F.col("event_ts").isNotNull())
+    if clock:
+        if not watermark:
+            raise ValueError("a clock moves a watermark: give one")
+        recs = recs.withColumn(_CLOCK, F.lit(False)).unionByName(clock_rows(rows.sparkSession, ts_col), allowMissingColumns=True)
     if watermark:
         recs = recs.withWatermark(ts_col, watermark)
+    if clock:
+        # The time column in the condition keeps it above the watermark, which needs the clock rows.
+        recs = recs.where(~F.col(_CLOCK) | (F.unix_micros(ts_col) < 0)).drop(_CLOCK)
     return recs
 
 
 def sliding_counts_stream(rows: DataFrame, length_s: int = FLAGSHIP_LENGTH_S, slide_s: int = FLAGSHIP_SLIDE_S,
                           ts_col: str = ARRIVAL, watermark: str | None = None, fixed_levels: bool = False,
-                          legacy_offset: bool = False) -> DataFrame:
+                          legacy_offset: bool = False, clock: bool = False) -> DataFrame:
     """``(tick, hostName, serviceName, logType, cnt)`` as a streaming aggregate."""
-    recs = _records(rows, ts_col, watermark, legacy_offset)
+    recs = _records(rows, ts_col, watermark, legacy_offset, clock)
     if fixed_levels:
         recs = recs.where(F.col("logType").isin(*FIXED_LEVELS))
     w = F.window(ts_col, f"{length_s} seconds", f"{slide_s} seconds")
@@ -112,10 +138,10 @@ def sliding_counts_stream(rows: DataFrame, length_s: int = FLAGSHIP_LENGTH_S, sl
 
 
 def latest_level_stream(rows: DataFrame, length_s: int = VARIANT_LENGTH_S, slide_s: int = VARIANT_SLIDE_S,
-                        ts_col: str = ARRIVAL, watermark: str | None = None) -> DataFrame:
+                        ts_col: str = ARRIVAL, watermark: str | None = None, clock: bool = False) -> DataFrame:
     """``(tick, hostName, logType, record_ts, off)``: last level per host per
     window, with the moment that decided it."""
-    recs = _records(rows, ts_col, watermark, False)
+    recs = _records(rows, ts_col, watermark, False, clock)
     w = F.window(ts_col, f"{length_s} seconds", f"{slide_s} seconds")
     return (
         recs.groupBy(w.alias("_w"), "hostName")
@@ -177,9 +203,10 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
     )
 
 
-def key_count_stream(rows: DataFrame, ts_col: str = ARRIVAL, watermark: str | None = None) -> DataFrame:
+def key_count_stream(rows: DataFrame, ts_col: str = ARRIVAL, watermark: str | None = None,
+                     clock: bool = False) -> DataFrame:
     """Per-tick (tumbling 5 s) count per ``host_service_level``."""
-    recs = _records(rows, ts_col, watermark, False)
+    recs = _records(rows, ts_col, watermark, False, clock)
     key = F.concat_ws("_", "hostName", "serviceName", "logType")
     return (
         recs.groupBy(F.window(ts_col, TICK).alias("_w"), key.alias("key"))
@@ -262,17 +289,19 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
 def flagship_stream(rows: DataFrame, sink_path: str, database: str, cfg: StreamConfig,
                     retention_policy: str = "autogen", ts_col: str = ARRIVAL, watermark: str | None = None,
                     compression: str | None = None,
-                    on_empty: Callable[[int], None] | None = None, with_time: bool = False) -> StreamingQuery:
+                    on_empty: Callable[[int], None] | None = None, with_time: bool = False,
+                    length_s: int = FLAGSHIP_LENGTH_S, slide_s: int = FLAGSHIP_SLIDE_S) -> StreamingQuery:
     """The packaged job: 15 s / 5 s sliding level counts → count lines →
     line-protocol payload files. Append mode: a window is written once,
-    when it is closed, whole.
+    when it is closed, whole. On a trigger interval every tick runs, with
+    ``on_empty`` where no window that it closes has a record.
 
     ``with_time=True`` stamps each line with its tick (ns), so a replayed or
     re-emitted window overwrites the same points downstream instead of
     adding new ones (the reference leaves the time to the server)."""
     from logengine.streaming.sinks import line_protocol_sink
 
-    counts = sliding_counts_stream(rows, ts_col=ts_col, watermark=watermark)
+    counts = sliding_counts_stream(rows, length_s, slide_s, ts_col, watermark, clock=_ticking(cfg, ts_col))
     sink = line_protocol_sink(sink_path, database, retention_policy, compression=compression)
     return start(counts, append(cfg), foreach_tick(lambda b, i: sink(count_lines(b, with_time=with_time), i),
                                            on_empty=on_empty))

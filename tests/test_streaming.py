@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -539,3 +540,34 @@ def test_compact_keyed_state(spark, scratch):
     # a later batch written to the compacted target still wins
     keyed_upsert_sink(out)(counts.limit(1).withColumn("cnt", F.lit(-1).cast("long")), 2)
     assert read_keyed(spark, out, keys).where(F.col("cnt") == -1).count() == 1
+
+
+def test_windows_close_on_a_silent_source(spark, scratch):
+    """Twenty rows, then silence: every window comes out once, by the clock, and each silent tick
+    says so once."""
+    src, out, ck = (os.path.join(scratch, d) for d in ("src", "out", "ck"))
+    lines = [f"h{i % 2} svc 2017-01-13 19:57:{i:02d},000 INFO x" for i in range(20)]
+    log_frame(spark, lines).coalesce(1).write.parquet(src)
+    cfg = StreamConfig("silent", trigger_interval="1 second", checkpoint=ck)
+    empty, started = [], time.time()
+    q = flagship_stream(read_log_stream(spark, "parquet", src), out, "logs", cfg, on_empty=empty.append, with_time=True,
+                        length_s=6, slide_s=2)
+    try:
+        def counts():
+            try:
+                return [r["line"] for r in _lines(spark, out).collect()]
+            except Exception:
+                return []
+
+        while time.time() - started < 90 and len(counts()) < 6:
+            time.sleep(1)
+        got, seen = counts(), len(empty)
+        while time.time() - started < 120 and len(empty) < seen + 3:
+            time.sleep(1)
+        assert q.exception() is None
+    finally:
+        q.stop()
+    # all rows arrive in one micro-batch: three windows of two hosts, ten rows each, nothing twice
+    assert sorted(counts()) == sorted(got) and len(got) == 6 == len(set(got))
+    assert all("count=10" in line for line in got)
+    assert len(empty) >= seen + 3 and len(set(empty)) == len(empty)
