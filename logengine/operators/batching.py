@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logengine.operators.greedy import greedy_batches
 from logengine.operators.numbering import ordinal_within, positions
 
 # ---------------------------------------------------------------------------
@@ -111,19 +112,12 @@ def oversize_batches(lines: DataFrame, batch_size: int = 5000, id_col: str = "id
 
 
 def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, id_col: str = "id") -> DataFrame:
-    """``(db, rp, batch_no, n_points, n_bytes)``: payloads cut by size so
-    that every one fits in ``limit`` bytes (lines newline-terminated).
-
-    Each line has its running byte offset inside (db, rp) in id order and
-    goes to batch ``offset div (limit - L)``, where L is the longest line of
-    its (db, rp) plus the newline. A batch then spans less than ``limit - L``
-    bytes of starts plus at most one line, so it never exceeds ``limit``;
-    unlike a greedy cut it needs no sequential pass. A line longer than
-    ``limit`` on its own fails the job, as a datagram could not carry it."""
+    """``(db, rp, batch_no, n_points, n_bytes)``: payloads cut by size in id
+    order, each as long as the limit allows (lines newline-terminated): a
+    payload takes lines until the next one no longer fits, which gives the
+    fewest payloads, whatever the longest line is. See
+    :mod:`logengine.operators.greedy` for how that is done in parallel. A
+    line longer than ``limit`` on its own fails the job, as a datagram could
+    not carry it."""
     placed = positions(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", size_col="n", lead=1)
-    step = F.lit(limit) - F.col("longest")
-    batch_no = F.when(step <= 0, F.raise_error(F.lit(f"a line does not fit in {limit} bytes"))) \
-        .otherwise(F.floor(F.col("start") / step)).cast("int")
-    return placed.groupBy(*GROUP, batch_no.alias("batch_no")).agg(
-        F.count(F.lit(1)).alias("n_points"), F.sum("n").alias("n_bytes")
-    )
+    return greedy_batches(placed, GROUP, limit)

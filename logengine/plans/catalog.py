@@ -34,6 +34,8 @@ TICK_S = 5
 PREVIEW_ROWS = 10
 BATCH_TAGS = {"async": "true", "o_orderstatus": "batch"}
 WRITE_BATCH_SIZE = 100
+#: Bytes of the long lines that byte batches have among the short ones.
+LONG_LINE_BYTES = (20_000, 60_000)
 OVERSIZE_BATCH_SIZE = 800
 CHUNK_SIZE = 1000
 TIME_RANGE_START = "1997-01-01T00:00:00.000Z"
@@ -311,6 +313,19 @@ def _lineitem_lines(spark, sf):
     )
 
 
+def _mixed_lines(spark, sf):
+    """The line items, and among them lines that hold a text of tens of kilobytes."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "text", "source"])
+    notes = points.encode_points(docs, "note", ["text"], tags=["source"], keep=["doc_id"], with_time=False).where(
+        F.octet_length("line").between(*LONG_LINE_BYTES))
+    return _lineitem_lines(spark, sf).unionByName(notes.select(
+        F.concat(F.lit("lineitem_"), F.substring(F.lit("ANR"), (F.col("doc_id") % 3 + 1).cast("int"), F.lit(1))).alias("db"),
+        F.lit(batching.DEFAULT_RETENTION_POLICY).alias("rp"),
+        (F.col("doc_id") * 100).alias("id"),
+        "line",
+    ))
+
+
 def q_write_batches(spark, sf):
     return batching.write_batches(_order_lines(spark, sf), WRITE_BATCH_SIZE)
 
@@ -320,7 +335,7 @@ def q_oversize_batches(spark, sf):
 
 
 def q_byte_batches(spark, sf):
-    return batching.byte_batches(_lineitem_lines(spark, sf), batching.DATAGRAM_LIMIT)
+    return batching.byte_batches(_mixed_lines(spark, sf), batching.DATAGRAM_LIMIT)
 
 
 # -- 2.A4 / 2.I series ------------------------------------------------------------------------------

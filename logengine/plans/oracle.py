@@ -260,13 +260,17 @@ ORACLE_SQL: dict[str, str] = {
         "sum(strlen(line) + 1) > 65535 AS oversize FROM b GROUP BY 1, 2, 3"
     ),
     "byte_batches": (
-        f"WITH l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
-        f"{LINEITEM_LINE} AS line FROM lineitem), "
-        "b AS (SELECT *, COALESCE(sum(strlen(line) + 1) OVER (PARTITION BY db, rp "
-        "ORDER BY id, substr(md5(line), 1, 15) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, "
-        "max(strlen(line) + 1) OVER (PARTITION BY db, rp) AS longest FROM l) "
-        "SELECT db, rp, CAST(start // (65535 - longest) AS INTEGER) AS batch_no, "
-        "count(*) AS n_points, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM b GROUP BY 1, 2, 3"
+        f"WITH RECURSIVE l AS (SELECT 'lineitem_' || l_returnflag AS db, 'autogen' AS rp, l_orderkey * 8 + l_linenumber AS id, "
+        f"{LINEITEM_LINE} AS line FROM lineitem UNION ALL SELECT 'lineitem_' || substr('ANR', doc_id % 3 + 1, 1), 'autogen', "
+        f"doc_id * 100, line FROM (SELECT doc_id, 'note,source=' || {esc('source')} || ' text=' || {fesc('text')} AS line "
+        "FROM documents) WHERE strlen(line) BETWEEN 20000 AND 60000), "
+        "s AS MATERIALIZED (SELECT db, rp, strlen(line) + 1 AS n, COALESCE(sum(strlen(line) + 1) OVER (PARTITION BY db, rp "
+        "ORDER BY id, substr(md5(line), 1, 15) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM l), "
+        "b AS (SELECT DISTINCT db, rp, CAST(0 AS INTEGER) AS batch_no, CAST(0 AS HUGEINT) AS first FROM s UNION ALL "
+        "SELECT b.db, b.rp, b.batch_no + 1, min(s.start) FROM b JOIN s ON s.db = b.db AND s.rp = b.rp "
+        "AND s.start + s.n > b.first + 65535 GROUP BY b.db, b.rp, b.batch_no) "
+        "SELECT s.db, s.rp, b.batch_no, count(*) AS n_points, CAST(sum(n) AS BIGINT) AS n_bytes "
+        "FROM s ASOF JOIN b ON s.db = b.db AND s.rp = b.rp AND s.start >= b.first GROUP BY 1, 2, 3"
     ),
     "series_rows": (
         f"WITH {ORDER_SERIES}, d AS (SELECT DISTINCT o_orderkey // 100 AS doc_id FROM orders) "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import random
 
 import pytest
 
@@ -16,6 +17,7 @@ from logengine.functions.time import iso_to_millis, java_timestamp_text, millis_
 from logengine.operators import aggregate as agg
 from logengine.operators import parse, points, shape, windows
 from logengine.operators.batching import DATAGRAM_LIMIT, bucket_batches, oversize_batches, write_batches
+from logengine.operators.greedy import greedy_batches
 from logengine.operators.numbering import ordinal_within, range_bucket
 from logengine.operators.series import chunked_result, group_by_all_tags, result_errors, series_rows
 
@@ -382,3 +384,41 @@ def test_byte_batches_fit_the_datagram_limit(spark):
     assert max(r["n_bytes"] for r in b) <= DATAGRAM_LIMIT
     total = sum(r["n_bytes"] for r in b)
     assert len(b) <= total // (DATAGRAM_LIMIT - 30) + 1  # close to the fewest payloads possible
+    # one long line costs no more than its own payload
+    one = spark.createDataFrame([("db", "autogen", 10_000, "x" * 60_000)], df.schema)
+    assert len(byte_batches(df.unionByName(one)).collect()) <= len(b) + 2
+    with pytest.raises(Exception, match="does not fit"):
+        byte_batches(df.unionByName(one), 50_000).collect()
+
+
+def plain_cut(sizes, limit):
+    out, held = [], []
+    for n in sizes:
+        if held and sum(held) + n > limit:
+            out.append((len(held), sum(held)))
+            held = []
+        held.append(n)
+    return out + ([(len(held), sum(held))] if held else [])
+
+
+@pytest.mark.parametrize("limit, cell_limits, fan", [(100, 1, 2), (64, 2, 3), (50, 5, 2), (1000, 64, 256)])
+def test_greedy_cut_in_parallel(spark, limit, cell_limits, fan):
+    """Cells, levels and handing down give what one loop over the lines gives, in every group."""
+    rng = random.Random(limit)
+    groups = {"a": 3000, "b": 1, "c": 40, None: 700}
+    sizes = {g: [rng.choice([1, 2, 7, limit // 2, limit // 2 + 1, limit, rng.randint(1, limit)]) for _ in range(n)]
+             for g, n in groups.items()}
+    sizes["d"] = [limit] * 20 + [1] * (3 * limit * cell_limits + 1)
+    rows = []
+    for g, own in sizes.items():
+        start = 0
+        for n in own:
+            rows.append((g, "rp", start, n))
+            start += n
+    placed = spark.createDataFrame(rows, "db string, rp string, start long, n long")
+    got = {}
+    for r in greedy_batches(placed, ["db", "rp"], limit, cell_limits, fan).orderBy("batch_no").collect():
+        assert r.batch_no == len(got.setdefault(r.db, []))
+        got[r.db].append((r.n_points, r.n_bytes))
+    assert got == {g: plain_cut(own, limit) for g, own in sizes.items()}
+    assert greedy_batches(placed.limit(0), ["db", "rp"], limit).collect() == []
