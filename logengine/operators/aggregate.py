@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logengine.functions.text import FIXED_LEVELS, java_split, series_key
-from logengine.operators.windows import arrival_order, pane_end_us, sliding_count
+from logengine.operators.windows import US, arrival_order, chained, pane_end_us, sliding_count
 
 LEVEL_KEYS = ["hostName", "serviceName", "logType"]
 
@@ -82,19 +82,20 @@ def running_count(rows: DataFrame, slide_s: int = 5, ts_col: str = "record_ts")
     """``(word, tick, cnt, total)``: per-tick word count and its running total
     over all earlier ticks (state never expires, as ``updateStateByKey``).
 
-    Rows are aggregated to (word, tick) before the window, so a window
-    partition holds one row per tick the word occurs in, never raw rows.
+    Rows are aggregated to (word, tick) first; totals run span by span
+    (:func:`logengine.operators.windows.chained`), so a word that is in
+    every tick of a year is spread over as many tasks as it has spans.
     Ticks where a word is absent are not re-emitted here (that grid is
     words × ticks); the stream form in ``streaming`` re-emits all keys.
     """
     per_tick = (
         words(rows, "value", keep=(ts_col,), with_pos=False)
-        .groupBy("word", pane_end_us(ts_col, slide_s).alias("_te"))
+        .groupBy(F.struct("word").alias("_g"), pane_end_us(ts_col, slide_s).alias("_te"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    w = Window.partitionBy("word").orderBy("_te").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_tick.select(
-        "word", F.timestamp_micros("_te").alias("tick"), "cnt", F.sum("cnt").over(w).alias("total")
+    own = Window.partitionBy("_g", "_span").orderBy("_te").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return chained(per_tick, "_te", slide_s * US, "cnt").select(
+        "_g.word", F.timestamp_micros("_te").alias("tick"), "cnt", (F.col("_base_cnt") + F.sum("cnt").over(own)).alias("total")
     )
 
 

@@ -1,6 +1,6 @@
 """Tumbling and sliding window operators over log records.
 
-Two physical forms give the same rows:
+Three physical forms give the same rows:
 
 * ``method="window"`` — ``F.window(ts, len, slide)``: each input row is
   expanded len/slide times (×3 for 15 s / 5 s, ×6 for 30 s / 5 s) before
@@ -9,6 +9,12 @@ Two physical forms give the same rows:
   (partial + final aggregate on raw rows, hot keys combined map-side),
   then expand the *aggregated* panes and sum. A second, tiny shuffle; the
   raw rows are touched once. At 100 TB this is the form to run.
+* ``method="events"`` — for windows of many slides (``pane`` uses it beyond
+  ``PANE_COPIES``): each pane is two events, ``+n`` where it enters and
+  ``-n`` where it leaves the window, whatever length / slide is. A running
+  sum over the events of a key gives its count from one event to the next;
+  ticks in between are written out after the shuffle. The sums run span by
+  span, so a hot key is spread over many tasks.
 
 Streaming queries use ``F.window`` (Spark keeps the window state).
 A tick is the window end; window ``T`` covers ``[T-len, T)``.
@@ -24,8 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 US = 1_000_000
-#: Panes that one window partition of :func:`empty_ticks` orders at most.
+#: Panes that one window partition orders at most, for each group of keys.
 SPAN_PANES = 17_280
+#: Windows of more slides are counted by events, not by copies of their panes.
+PANE_COPIES = 12
+#: Ticks that are written out at a time where a gap may have any length.
+TICK_PIECE = 10_000
 
 
 def _check(length_s: int, slide_s: int) -> int:
@@ -51,6 +61,42 @@ def _expand_ends(pane_end: Column, k: int, slide_s: int) -> Column:
     return F.explode(F.array(*[pane_end + F.lit(i * slide_s * US) for i in range(k)]))
 
 
+def chained(rows: DataFrame, at: str, step: int, *amounts: str) -> DataFrame:
+    """Rows of groups ``_g`` with numbers ``at`` (in µs, multiples of
+    ``step``), each with ``_span``, the stretch of SPAN_PANES steps that it
+    lies in, ``_then``, the first ``at`` of the group's next stretch, and
+    ``_base_*``, the sums of ``amounts`` over the stretches before. Only a
+    row per group and stretch is ordered over the whole time line."""
+    spans = rows.withColumn("_span", F.expr(f"{at} div {SPAN_PANES * step}"))
+    each = spans.groupBy("_g", "_span").agg(F.min(at).alias("_first"), *(F.sum(a).alias(a) for a in amounts))
+    chain = Window.partitionBy("_g").orderBy("_span")
+    before = chain.rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum(a).over(before), F.lit(0)).alias(f"_base_{a}") for a in amounts]
+    return spans.join(each.select("_g", "_span", F.lead("_first").over(chain).alias("_then"), *carried), ["_g", "_span"])
+
+
+def _ticks(first: Column, end: Column, step: int) -> Column:
+    """One row for each tick from ``first`` on before ``end``."""
+    return F.explode(F.sequence(first, end - F.lit(step), F.lit(step)))
+
+
+def _counts_by_events(panes: DataFrame, k: int, slide_s: int) -> DataFrame:
+    """``(_te, _g, cnt)`` of panes ``(_pe, _g, n, rows)``."""
+    step = slide_s * US
+    moves = F.array(F.struct(F.col("_pe").alias("at"), F.col("n"), F.col("rows")),
+                    F.struct((F.col("_pe") + F.lit(k * step)).alias("at"), (-F.col("n")).alias("n"), (-F.col("rows")).alias("rows")))
+    placed = chained(panes.select("_g", F.explode(moves).alias("m")).select("_g", "m.*"), "at", step, "n", "rows")
+    own = Window.partitionBy("_g", "_span").orderBy("at")
+    # Events of one tick are peers of a range frame; only the last of them has a later successor.
+    upto = own.rangeBetween(Window.unboundedPreceding, 0)
+    summed = placed.select(
+        "_g", "at", (F.col("_base_n") + F.sum("n").over(upto)).alias("cnt"),
+        (F.col("_base_rows") + F.sum("rows").over(upto)).alias("rows"),
+        F.coalesce(F.lead("at").over(own), "_then").alias("next"),
+    )
+    return summed.where("rows > 0 AND next > at").select(_ticks(F.col("at"), F.col("next"), step).alias("_te"), "_g", "cnt")
+
+
 def sliding_count(
     records: DataFrame,
     keys: Sequence[str],
@@ -77,8 +123,12 @@ def sliding_count(
             .agg(F.count(count_col).alias("cnt"))
             .select(F.col("_w.end").alias("tick"), *keys, "cnt")
         )
-    if method != "pane":
-        raise ValueError("method must be 'pane' or 'window'")
+    if method not in ("pane", "events"):
+        raise ValueError("method must be 'pane', 'events' or 'window'")
+    if keys and not parts and (method == "events" or k > PANE_COPIES):
+        panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), F.struct(*keys).alias("_g")).agg(
+            F.count(count_col).alias("n"), F.count(F.lit(1)).alias("rows"))
+        return _counts_by_events(panes, k, slide_s).select(F.timestamp_micros("_te").alias("tick"), "_g.*", "cnt")
     panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), *keys).agg(F.count(count_col).alias("_n"))
     if k == 1 and not parts:
         return panes.select(F.timestamp_micros("_pe").alias("tick"), *keys, F.col("_n").alias("cnt"))
@@ -118,7 +168,13 @@ def sliding_latest_level(
     ts_col: str = "record_ts",
     method: str = "pane",
 ) -> DataFrame:
-    """``(tick, hostName, logType)``: the last level seen per host in each window."""
+    """``(tick, hostName, logType)``: the last level seen per host in each window.
+
+    Windows and order go by the same time, so a window's last level is that
+    of its last pane with a record. ``events`` (``pane`` beyond PANE_COPIES
+    slides) therefore reduces panes to their last level and lets each hold
+    from its own tick to the next pane of the host or to where it leaves the
+    window: a pane is shuffled once, not length / slide times."""
     k = _check(length_s, slide_s)
     if method == "window":
         w = F.window(ts_col, f"{length_s} seconds", f"{slide_s} seconds")
@@ -131,6 +187,16 @@ def sliding_latest_level(
     panes = records.groupBy(pane_end_us(ts_col, slide_s).alias("_pe"), "hostName", "logType").agg(
         F.max(arrival_order(records, ts_col)).alias("_at")
     )
+    if method == "events" or k > PANE_COPIES:
+        step = slide_s * US
+        last = panes.groupBy(F.struct("hostName").alias("_g"), "_pe").agg(
+            F.max_by("logType", F.struct("_at", "logType")).alias("logType"))
+        own = Window.partitionBy("_g", "_span").orderBy("_pe")
+        held = chained(last, "_pe", step).select(
+            "_g", "logType", "_pe",
+            F.least(F.col("_pe") + F.lit(k * step), F.coalesce(F.lead("_pe").over(own), "_then")).alias("_end"))
+        return held.select(_ticks(F.col("_pe"), F.col("_end"), step).alias("_te"), "_g.hostName", "logType").select(
+            F.timestamp_micros("_te").alias("tick"), "hostName", "logType")
     return (
         panes.select(_expand_ends(F.col("_pe"), k, slide_s).alias("_te"), "hostName", "logType", "_at")
         .groupBy("_te", "hostName")
@@ -175,7 +241,8 @@ def empty_ticks(
     gaps = joined.withColumn("_prev", F.coalesce(F.lag("_pe").over(own), "_carried")).where(
         F.col("_pe") - F.col("_prev") > F.lit(k * step)
     )
-    return gaps.select(
-        *by,
-        F.explode(F.sequence(F.col("_prev") + F.lit(k * step), F.col("_pe") - F.lit(step), F.lit(step))).alias("_e"),
-    ).select(*by, F.timestamp_micros("_e").alias("tick"))
+    # A gap may have any length: its ticks are written out piece by piece.
+    first, piece = F.col("_prev") + F.lit(k * step), TICK_PIECE * step
+    pieces = gaps.select(*by, F.col("_pe"), F.explode(F.sequence(first, F.col("_pe") - F.lit(step), F.lit(piece))).alias("_from"))
+    return pieces.select(*by, _ticks(F.col("_from"), F.least(F.col("_from") + F.lit(piece), F.col("_pe")), step).alias("_e")).select(
+        *by, F.timestamp_micros("_e").alias("tick"))

@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------------------
 FLAGSHIP_WINDOW = (15, 5)    # window length / slide, seconds
 VARIANT_WINDOW = (30, 5)
+LONG_WINDOW = (3600, 5)
 TICK_S = 5
 PREVIEW_ROWS = 10
 BATCH_TAGS = {"async": "true", "o_orderstatus": "batch"}
@@ -146,6 +147,14 @@ def q_sliding_latest_level(spark, sf):
     return windows.sliding_latest_level(_records(spark, sf), *VARIANT_WINDOW)
 
 
+def q_hourly_level_count(spark, sf):
+    return windows.sliding_count(_records(spark, sf), agg.LEVEL_KEYS, *LONG_WINDOW)
+
+
+def q_hourly_latest_level(spark, sf):
+    return windows.sliding_latest_level(_records(spark, sf), *LONG_WINDOW)
+
+
 def q_empty_ticks(spark, sf):
     return windows.empty_ticks(_records(spark, sf), ["hostName", "serviceName"], *FLAGSHIP_WINDOW)
 
@@ -424,6 +433,8 @@ QUERIES: dict[str, Query] = {
     "sliding_level_count": q_sliding_level_count,
     "sliding_fixed_level_count": q_sliding_fixed_level_count,
     "sliding_latest_level": q_sliding_latest_level,
+    "hourly_level_count": q_hourly_level_count,
+    "hourly_latest_level": q_hourly_latest_level,
     "empty_ticks": q_empty_ticks,
     "union_levels": q_union_levels,
     "tick_preview": q_tick_preview,

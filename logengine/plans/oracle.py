@@ -178,6 +178,14 @@ ORACLE_SQL: dict[str, str] = {
         "FROM cdhrolelogs, range(0, 6) r(i)) "
         "QUALIFY row_number() OVER (PARTITION BY tick, hostName ORDER BY record_ts DESC, off DESC) = 1"
     ),
+    "hourly_level_count": (
+        f"{LOG} SELECT {tick('i')} AS tick, hostName, serviceName, logType, count(logType) AS cnt "
+        "FROM cdhrolelogs, range(0, 720) r(i) GROUP BY 1, 2, 3, 4"
+    ),
+    "hourly_latest_level": (
+        f"{LOG} SELECT tick, hostName, arg_max(logType, (record_ts, off)) AS logType FROM (SELECT {tick('i')} AS tick, hostName, "
+        "logType, record_ts, off FROM cdhrolelogs, range(0, 720) r(i)) GROUP BY 1, 2"
+    ),
     "empty_ticks": (
         f"{LOG}, ne AS (SELECT DISTINCT hostName, serviceName, ((epoch_us(record_ts) // 5000000) + 1 + i) * 5000000 AS te "
         "FROM cdhrolelogs, range(0, 3) r(i)), "

@@ -422,3 +422,60 @@ def test_greedy_cut_in_parallel(spark, limit, cell_limits, fan):
         got[r.db].append((r.n_points, r.n_bytes))
     assert got == {g: plain_cut(own, limit) for g, own in sizes.items()}
     assert greedy_batches(placed.limit(0), ["db", "rp"], limit).collect() == []
+
+
+def test_window_forms_agree_over_many_spans(spark, monkeypatch):
+    """Counts and latest levels by events against one copy per window, with spans of a few panes,
+    a hot host, null keys, gaps longer than the window and an empty table."""
+    monkeypatch.setattr(windows, "SPAN_PANES", 7)
+    monkeypatch.setattr(windows, "TICK_PIECE", 3)
+    rng = random.Random(6)
+    base = dt.datetime(2024, 5, 1)
+    rows = []
+    for i in range(600):
+        host = rng.choice(["hot", "hot", "hot", "b", None])
+        at = base + dt.timedelta(seconds=rng.choice([rng.randint(0, 300), rng.randint(0, 5000), 9000]), milliseconds=i)
+        rows.append((i, at, host, rng.choice(["s", None]), rng.choice(["INFO", "WARN", None])))
+    df = spark.createDataFrame(rows, "off long, record_ts timestamp, hostName string, serviceName string, logType string")
+    for length, slide in ((100, 5), (5, 5), (300, 10)):
+        for keys in (agg.LEVEL_KEYS, ["hostName"]):
+            by_event = windows.sliding_count(df, keys, length, slide, method="events")
+            direct = windows.sliding_count(df, keys, length, slide, method="window")
+            assert by_event.exceptAll(direct).count() == 0 and direct.exceptAll(by_event).count() == 0
+        latest = windows.sliding_latest_level(df, length, slide, method="events")
+        direct = windows.sliding_latest_level(df, length, slide, method="window")
+        assert latest.exceptAll(direct).count() == 0 and direct.exceptAll(latest).count() == 0
+        gone = windows.empty_ticks(df, ["hostName"], length, slide)
+        held = windows.sliding_count(df, ["hostName"], length, slide, count_col="off", method="window")
+        want = set()
+        for host in {r[2] for r in rows}:
+            have = {r["tick"] for r in held.where(F.col("hostName").eqNullSafe(F.lit(host))).collect()}
+            t = min(have)
+            while t < max(have):
+                if t not in have:
+                    want.add((host, t))
+                t += dt.timedelta(seconds=slide)
+        assert {tuple(r) for r in gone.collect()} == want and want
+    assert windows.sliding_count(df.limit(0), ["hostName"], 100, 5, method="events").collect() == []
+    assert windows.sliding_latest_level(df.limit(0), 100, 5, method="events").collect() == []
+
+
+def test_running_count_over_many_spans(spark, monkeypatch):
+    monkeypatch.setattr(windows, "SPAN_PANES", 3)
+    rows = log_frame(spark, [f"every tick {i % 7} {'rare' if i % 50 == 0 else ''}" for i in range(400)])
+    got = {(r.word, r.tick): (r.cnt, r.total) for r in agg.running_count(rows).collect()}
+    totals, want = {}, {}
+    for r in rows.orderBy("off").collect():
+        end = dt.datetime.fromtimestamp((int(r.record_ts.timestamp()) // 5 + 1) * 5, r.record_ts.tzinfo)
+        for w in java_split_plain(r.value):
+            totals[w] = totals.get(w, 0) + 1
+            cnt = want[(w, end)][0] + 1 if (w, end) in want else 1
+            want[(w, end)] = (cnt, totals[w])
+    assert got == want
+
+
+def java_split_plain(text):
+    parts = text.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts

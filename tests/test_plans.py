@@ -115,3 +115,10 @@ def test_tick_consumers_reuse_tick_partitioning(spark):
         p = _formatted(QUERIES[name](spark, SF_SMALL))
         assert _nodes(p, "Exchange") == 2, name
         assert re.search(r"hashpartitioning\(tick#\d+, part#\d+", p), name
+
+
+def test_long_windows_copy_no_panes(spark):
+    # 720 slides a window: ticks are written out after the last exchange, not before it
+    for name in ("hourly_level_count", "hourly_latest_level"):
+        tree = _formatted(QUERIES[name](spark, SF_SMALL)).split("\n\n\n")[0].splitlines()  # root first
+        assert not any("Exchange" in x for x in tree[: next(i for i, x in enumerate(tree) if "Generate" in x)]), name
