@@ -2,7 +2,6 @@
 
 from logengine.llm import quality
 
-_WIDTHS = ", ".join(f"('{f}', {w})" for f, w in quality.LEAST_WIDTH.items())
 _FIGURE_ROWS = " UNION ALL ".join(f"SELECT rid, l, s, '{f}' figure, f_{f} v FROM m" for f in quality.FIGURES)
 
 #: ``verdicts``: one row per document (rid, doc_id, counts, base_failed, kept) over a table ``{docs}``.
@@ -21,30 +20,30 @@ b AS (SELECT rid, doc_id, l, s, len(w) n_words, length(array_to_string(w, '')) w
         len(lines) n_lines, len(lines) - len(list_distinct(lines)) n_dup_lines,
         coalesce(CAST(n AS BIGINT), 0) n_repeat_words FROM w LEFT JOIN rep USING (rid)),
 m AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words base_failed,
-        CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END f_symbols,
-        CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END f_dup_lines,
-        CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END f_repeats,
-        CASE WHEN word_chars > 0 THEN 1000 * n_upper // word_chars ELSE 0 END f_capitals,
-        CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END f_word_length FROM b),
+        CASE WHEN n_words > 0 THEN {quality.SCALE} * n_symbols // n_words ELSE 0 END f_symbols,
+        CASE WHEN n_lines > 0 THEN {quality.SCALE} * n_dup_lines // n_lines ELSE 0 END f_dup_lines,
+        CASE WHEN n_words > 0 THEN {quality.SCALE} * n_repeat_words // n_words ELSE 0 END f_repeats,
+        CASE WHEN word_chars > 0 THEN {quality.SCALE} * n_upper // word_chars ELSE 0 END f_capitals,
+        CASE WHEN n_words > 0 THEN {quality.SCALE} * word_chars // n_words ELSE 0 END f_word_length FROM b),
 v AS ({_FIGURE_ROWS}),
 cells AS (SELECT l, s, figure, (v >> drop_bits) << drop_bits k, count(*) n FROM
         (SELECT *, greatest(length(bin(v)) - 8, 0) drop_bits FROM v
          WHERE rid IN (SELECT rid FROM m WHERE NOT base_failed)) GROUP BY ALL),
-levels AS (SELECT 'own' lv, l, s, figure, k, n FROM cells
-        UNION ALL SELECT 'lang', l, NULL, figure, k, sum(n) FROM cells GROUP BY ALL
-        UNION ALL SELECT 'all', NULL, NULL, figure, k, sum(n) FROM cells GROUP BY ALL),
-cum AS (SELECT *, sum(n) OVER (PARTITION BY lv, l, s, figure ORDER BY k) upto,
-        sum(n) OVER (PARTITION BY lv, l, s, figure) docs FROM levels),
-q AS (SELECT lv, l, s, figure, max(docs) docs, min(CASE WHEN 4 * upto >= docs THEN k END) q1,
-        min(CASE WHEN 4 * upto >= 3 * docs THEN k END) q3 FROM cum GROUP BY ALL),
-lim AS (SELECT lv, l, s, figure, docs, q1 - greatest({quality.FENCE} * (q3 - q1), width) low,
-        q3 + greatest({quality.FENCE} * (q3 - q1), width) high
-        FROM q JOIN (VALUES {_WIDTHS}) x(figure, width) USING (figure)),
-chosen AS (SELECT o.l, o.s, o.figure,
-        CASE WHEN o.docs >= {quality.MIN_DOCS} THEN o.low WHEN g.docs >= {quality.MIN_DOCS} THEN g.low ELSE a.low END low,
-        CASE WHEN o.docs >= {quality.MIN_DOCS} THEN o.high WHEN g.docs >= {quality.MIN_DOCS} THEN g.high ELSE a.high END high
-        FROM lim o JOIN lim g ON g.lv = 'lang' AND o.l = g.l AND o.figure = g.figure
-        JOIN lim a ON a.lv = 'all' AND o.figure = a.figure WHERE o.lv = 'own'),
+corpus AS (SELECT figure, k, {quality.SHARES} * n // t sh FROM (SELECT figure, k, n, sum(n) OVER (PARTITION BY figure) t
+        FROM (SELECT figure, k, sum(n) n FROM cells GROUP BY ALL))),
+ln AS (SELECT l, figure, k, sum(n) n FROM cells GROUP BY ALL),
+lw AS (SELECT l, figure, k, {quality.SHARES // quality.PRIOR} * coalesce(n, 0) + sh w
+        FROM (SELECT DISTINCT l, figure FROM ln) JOIN corpus USING (figure) LEFT JOIN ln USING (l, figure, k)),
+lsh AS (SELECT l, figure, k, {quality.SHARES} * w // t sh FROM (SELECT *, sum(w) OVER (PARTITION BY l, figure) t FROM lw WHERE w > 0)),
+ow AS (SELECT l, s, figure, k, {quality.SHARES // quality.PRIOR} * coalesce(n, 0) + sh w
+        FROM (SELECT DISTINCT l, s, figure FROM cells) JOIN lsh USING (l, figure) LEFT JOIN cells USING (l, s, figure, k)),
+oz AS (SELECT *, 2 * coalesce(sum(w) FILTER (k = 0) OVER g, 0) >= sum(w) OVER g z FROM ow WINDOW g AS (PARTITION BY l, s, figure)),
+cum AS (SELECT *, sum(w) OVER (PARTITION BY l, s, figure ORDER BY k) upto, sum(w) OVER (PARTITION BY l, s, figure) total
+        FROM oz WHERE w > 0 AND NOT (z AND k = 0)),
+q AS (SELECT l, s, figure, any_value(z) z, min(k) FILTER (10 * upto >= total) q1, min(k) FILTER (10 * upto >= 5 * total) q5,
+        min(k) FILTER (10 * upto >= 9 * total) q9 FROM cum GROUP BY ALL),
+chosen AS (SELECT l, s, figure, CASE WHEN z THEN 0 ELSE q1 - greatest({quality.FENCE} * (q5 - q1), q5 // 128 + 1) END low,
+        q9 + greatest({quality.FENCE} * (q9 - q5), q5 // 128 + 1) high FROM q),
 outside AS (SELECT DISTINCT rid FROM v JOIN chosen USING (l, s, figure) WHERE v.v < low OR v.v > high),
 verdicts AS (SELECT rid, doc_id, CAST(n_words AS BIGINT) n_words, CAST(word_chars AS BIGINT) word_chars,
         CAST(n_symbols AS BIGINT) n_symbols, CAST(n_dup_lines AS BIGINT) n_dup_lines,

@@ -3,16 +3,22 @@
 Every document is measured by a few whole-text figures. For each language and source the
 figures are gathered in mergeable quantile sketches (counts of log-linear integer buckets,
 relative width under 1/128; sketches merge by adding counts, so they are the same in any
-order and for any partitioning). A document is rejected where a figure lies far outside the
-middle half of its own language and source; a fixed base rule removes texts that are too
-short or mostly repeats. Thresholds come from the sketches, joined back on the group.
+order and for any partitioning). A document is rejected where a figure lies far outside what is
+usual in its own language and source: beyond the group's 9th decile by more than ``FENCE`` times
+the way from its median to there, or below its 1st decile likewise. Where half a group or more has
+a figure of zero, the rest of it makes the deciles, and zero is never an outlier. No limit is a
+constant; a fixed base rule removes texts that are too short or mostly repeats. Thresholds come
+from the sketches, joined back on the group.
+
+Sketches of few documents are unsure. To every group's counts those of its language are added,
+scaled to ``PRIOR`` documents, and to every language's those of the corpus; a group with many
+documents speaks for itself, one with few mostly for its language, with no step in between.
 
 Everything is built from DataFrame functions; no Python runs on the executors.
 
 Defined results: null or blank text has no words and fails the base rule; null languages and
-sources are groups of their own; a group with under ``min_docs`` measured documents uses its
-language's sketch, a small language that of the whole corpus; repeated rows are judged one by
-one; an empty table gives an empty result; other columns are passed through untouched
+sources are groups of their own; where no document of a group, its language or the corpus has a
+figure, or all have zero, the figure rejects nothing; repeated rows are judged one by one; an empty table gives an empty result; other columns are passed through untouched
 (columns named like a result column are replaced).
 """
 
@@ -25,26 +31,28 @@ from pyspark.sql.window import Window
 from logengine.llm.common import source_key, words
 
 MIN_WORDS = 50
-#: Documents that a group needs for thresholds of its own.
-MIN_DOCS = 100
-#: A figure is an outlier beyond this many widths of the middle half.
-FENCE = 4
-#: Fixed resolution of each figure (thousandths): the least width that the fence adds, so that a
-#: group whose documents all have one value doesn't reject the first other value.
-LEAST_WIDTH = {"symbols": 200, "dup_lines": 400, "repeats": 300, "capitals": 300, "word_length": 4000}
+#: Documents that a group's language counts for in its sketch, and the corpus in a language's.
+PRIOR = 100
+#: A figure is an outlier beyond so many times the way from the median to the outer decile.
+FENCE = 2
+#: Sketch weight of one document of the group itself; PRIOR of them weigh SHARES.
+SHARES = 1_000_000
+_OWN = SHARES // PRIOR
+#: Figures are whole numbers of parts of a million.
+SCALE = 1_000_000
+FIGURES = ["symbols", "dup_lines", "repeats", "capitals", "word_length"]
 #: Threshold tables of up to so many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
 
-FIGURES = list(LEAST_WIDTH)
 LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def _ratio(top: str, bottom: str) -> Column:
-    return F.when(F.col(bottom) > 0, F.expr(f"1000 * {top} div {bottom}")).otherwise(F.lit(0).cast("long"))
+    return F.when(F.col(bottom) > 0, F.expr(f"{SCALE}L * {top} div {bottom}")).otherwise(F.lit(0).cast("long"))
 
 
 def measure(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the base counts, ``base_failed`` and the figures ``_f_*`` (thousandths)."""
+    """``docs`` with the base counts, ``base_failed`` and the figures ``_f_*`` (millionths)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     has_word = r"[^\x20\x09-\x0D]"
     own = [c for c in docs.columns if c not in {*LONGS, "base_failed", "kept"}]
@@ -128,52 +136,65 @@ def sketches(measured: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
-def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE) -> DataFrame:
-    """Per (``_lang``, ``_source``) the limits ``_low_*`` and ``_high_*`` of each figure: those of
-    the group, its language or the whole corpus, whichever first has ``min_docs`` documents.
-    ``sketch`` (checkpointed) is read more than once."""
+def _share(weight: str, total: str) -> Column:
+    """Part of a total in SHARES, rounded down; decimals, as the product may exceed 64 bits."""
+    return F.expr(f"(cast({SHARES} as decimal(7, 0)) * cast({weight} as decimal(20, 0))) div cast({total} as decimal(20, 0))")
+
+
+def smoothed(sketch: DataFrame) -> DataFrame:
+    """(``_lang``, ``_source``, ``figure``, ``key``, ``w``): each group's counts with those of its
+    language, as weights; ``sketch`` (checkpointed) is read for each of its levels."""
+    per_figure = Window.partitionBy("figure")
+    corpus = sketch.where("_lang IS NULL").select(
+        "figure", "key", F.col("n").alias("_n"), F.sum("n").over(per_figure).alias("_t")
+    ).select("figure", "key", _share("_n", "_t").alias("_corpus"))
+    of_lang = sketch.where("_lang IS NOT NULL AND _source IS NULL").select("_lang", "figure", "key", "n")
+    # Keys that a group lacks are those of the levels above it: every level's keys are in the next.
+    langs = _filled(of_lang, ["_lang"], corpus, [], "_corpus")
+    total = Window.partitionBy("_lang", "figure")
+    shares = langs.select("_lang", "figure", "key", "w", F.sum("w").over(total).alias("_t")).select(
+        "_lang", "figure", "key", _share("w", "_t").alias("_language")
+    )
+    own = sketch.where("_source IS NOT NULL").select("_lang", "_source", "figure", "key", "n")
+    return _filled(own, ["_lang", "_source"], shares, ["_lang"], "_language")
+
+
+def _filled(own: DataFrame, group: list[str], above: DataFrame, on: list[str], share: str) -> DataFrame:
+    """Weights of each group at all keys of the level above it."""
+    figures = own.select(*group, "figure").distinct()
+    every = figures.join(above, [*on, "figure"])
+    return every.join(own, [*group, "figure", "key"], "left").select(
+        *group, "figure", "key", (F.lit(_OWN) * F.coalesce("n", F.lit(0)) + F.col(share)).alias("w")
+    ).where("w > 0")
+
+
+def thresholds(sketch: DataFrame, fence: int = FENCE) -> DataFrame:
+    """Per (``_lang``, ``_source``) the limits ``_low_*`` and ``_high_*`` of each figure."""
     group = Window.partitionBy("_lang", "_source", "figure")
-    ranked = sketch.select(
-        "*",
-        F.sum("n").over(group.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(group).alias("docs"),
+    weighed = smoothed(sketch).select(
+        "*", (2 * F.sum(F.when(F.col("key") == 0, F.col("w")).otherwise(0)).over(group) >= F.sum("w").over(group)).alias("_zeros")
     )
-    width = F.create_map(*(F.lit(x) for kv in LEAST_WIDTH.items() for x in kv))
-    quartiles = (
-        ranked.groupBy("_lang", "_source", "figure")
-        .agg(
-            F.min(F.when(4 * F.col("upto") >= F.col("docs"), F.col("key"))).alias("q1"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("docs"), F.col("key"))).alias("q3"),
-            F.max("docs").alias("docs"),
-        )
-        .withColumn("spread", F.greatest(fence * (F.col("q3") - F.col("q1")), width[F.col("figure")]))
-        .withColumn("low", F.col("q1") - F.col("spread"))
-        .withColumn("high", F.col("q3") + F.col("spread"))
+    ranked = weighed.where("NOT (_zeros AND key = 0)").select(
+        "*",
+        F.sum("w").over(group.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("w").over(group).alias("total"),
     )
-    limits = quartiles.groupBy("_lang", "_source").agg(
-        F.max("docs").alias("docs"),
+
+    def quantile(tenths: int) -> Column:
+        return F.min(F.when(10 * F.col("upto") >= tenths * F.col("total"), F.col("key"))).alias(f"q{tenths}")
+
+    deciles = ranked.groupBy("_lang", "_source", "figure").agg(quantile(1), quantile(5), quantile(9), F.max("_zeros").alias("_zeros"))
+    width = F.expr("q5 div 128 + 1")  # of the median's bucket, the least that a sketch can tell apart
+    low = F.when(F.col("_zeros"), F.lit(0)).otherwise(F.col("q1") - F.greatest(fence * (F.col("q5") - F.col("q1")), width))
+    high = F.col("q9") + F.greatest(fence * (F.col("q9") - F.col("q5")), width)
+    limits = deciles.withColumn("low", low).withColumn("high", high)
+    return limits.groupBy("_lang", "_source").agg(
         *(
             F.max(F.when(F.col("figure") == f, F.col(side))).alias(f"_{side}_{f}")
             for f in FIGURES
             for side in ("low", "high")
-        ),
-    )
-    names = [f"_{side}_{f}" for f in FIGURES for side in ("low", "high")]
-    every = F.lit("~")  # sorts after all keys of a language or a source
-    limits = limits.withColumn("_lang", F.coalesce("_lang", every)).withColumn("_source", F.coalesce("_source", every))
-    own = limits.where(F.col("_source") != every).select("_lang", "_source", "docs")
-    lang = limits.where((F.col("_source") == every) & (F.col("_lang") != every)).select(
-        "_lang", F.col("docs").alias("lang_docs")
-    )
-    enough = F.col("docs") >= min_docs
-    chosen = own.join(lang, "_lang").select(
-        "_lang",
-        "_source",
-        F.when(enough | (F.col("lang_docs") >= min_docs), F.col("_lang")).otherwise(every).alias("_of_lang"),
-        F.when(enough, F.col("_source")).otherwise(every).alias("_of_source"),
+        )
     )
-    named = limits.select(F.col("_lang").alias("_of_lang"), F.col("_source").alias("_of_source"), *names)
-    return chosen.join(named, ["_of_lang", "_of_source"]).select("_lang", "_source", *names)
 
 
 def judge(measured: DataFrame, limits: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
