@@ -1,9 +1,10 @@
 """Quality classifier on supervised subword embeddings.
 
 A text's features are its words, their character n-grams (with word ends marked), its word
-pairs and a mark for each three-word window seen before, each hashed into one of ``BUCKETS`` learned vectors. The vectors of all features are
-averaged, a linear layer and a softmax give the classes. Vectors and layer are trained together
-by stochastic gradient descent in numpy, document by document, at a falling rate.
+pairs and word triples, each hashed into one of ``BUCKETS`` learned vectors. The vectors of all
+features are averaged, a linear layer and a softmax give the classes. Vectors and layer are trained
+together by stochastic gradient descent in numpy, document by document, at a falling rate; the
+classes weigh the same in the loss, however rare one of them is.
 
 Training sees a bounded sample (``TRAIN_DOCS`` labelled rows, those of least seeded hash) and runs
 in one task; every other step runs on all rows in parallel. Scoring needs only each bucket's share
@@ -57,17 +58,16 @@ def word_features(word: str) -> list[int]:
     return [digest(g.encode()) % BUCKETS for g in [marked + " ", *grams]]
 
 
-#: Bucket of the mark of a three-word window that the text has had before.
-AGAIN = xxhash.xxh3_64_intdigest(b"< again >") % BUCKETS
+def _hashed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = left * _PAIR ^ right
+    return (mixed ^ mixed >> np.uint64(29)) * _PAIR
 
 
 def sequence_features(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of the neighbouring pairs of words with these hashes, and of repeated windows."""
-    mixed = hashes[:-1] * _PAIR ^ hashes[1:]
-    mixed = (mixed ^ mixed >> np.uint64(29)) * _PAIR
-    windows = mixed[:-1] * _PAIR ^ hashes[2:]
-    again = len(windows) - len(np.unique(windows))
-    return np.r_[(mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, np.full(again, AGAIN)]
+    """Buckets of the neighbouring pairs and triples of words with these hashes."""
+    pairs = _hashed(hashes[:-1], hashes[1:])
+    both = np.r_[pairs, _hashed(pairs[:-1], hashes[2:])]
+    return (both >> np.uint64(40)).astype(np.int64) % BUCKETS
 
 
 class _Words(dict):
@@ -130,6 +130,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS,
         return np.r_[np.zeros(BUCKETS), np.log(share / (1 - share))]
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     layer, bias = np.zeros((2, DIM)), np.zeros(2)
+    weights = len(docs) / (2 * (len(docs) - ones)), len(docs) / (2 * ones)  # the classes weigh the same
     steps, step = epochs * len(docs), 0
     # The mean of many features moves little; its own scale makes steps alike for any length.
     for _ in range(epochs):
@@ -143,6 +144,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS,
             prob = np.exp(logit - logit.max())
             error = prob / prob.sum()
             error[y] -= 1
+            error *= weights[y]
             scale = 1 / max(1e-9, np.sqrt((weight * weight).sum()))
             back = layer.T @ error
             layer -= now * np.outer(error, mean)
