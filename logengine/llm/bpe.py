@@ -209,13 +209,14 @@ def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, shape
     vocabulary = spark.sparkContext.broadcast(Vocabulary.load(path or public_tokenizers.path(RANK_FILE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary, pattern, memory)
+        encoder, last, ids = _encoder(vocabulary, pattern, memory), None, []
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 rows = []
                 for text in part.column(1):
-                    ids = encoder.encode(text.as_py())
+                    if not rows or text != last:  # copies of a row follow it
+                        last, ids = text, encoder.encode(text.as_py())
                     rows.append(shape(ids, encoder.decode(ids)))
                 columns = [part.column(0), *(pa.array(c) for c in zip(*rows, strict=True))]
                 yield pa.RecordBatch.from_arrays(

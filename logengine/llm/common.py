@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -89,6 +90,34 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_WRITTEN: list[str] = []
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame written once as Parquet in the shared folder, so that each reader takes the columns
+    it needs; :func:`remove_written` clears what is no longer read."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_written(spark: SparkSession) -> None:
+    while _WRITTEN:
+        remove(spark, _WRITTEN.pop())
+
+
+def row_id(doc_id: Column, text: Column) -> Column:
+    """The id, or where there is none one that equal texts share and that is after all usual ids."""
+    return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2))
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function for mapInArrow that gives its worker's unused memory back when its task ends;
     workers are reused, and what an idle one holds counts against its executor."""
