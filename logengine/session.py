@@ -59,13 +59,15 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local runs) is a fresh local
-    scratch folder used, one per session; on a cluster the setting must
-    point at shared storage, never at a machine-local folder.
+    Only a local session without one (tests, local runs) gets a fresh
+    scratch folder of its own; on a cluster the setting must point at shared
+    storage, and without it this is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         base = named or tempfile.mkdtemp(prefix="logengine-ckpt-", dir=os.environ.get("LOGENGINE_SCRATCH", "/tmp"))
         context.setCheckpointDir(base)
     return named or context.getCheckpointDir()
