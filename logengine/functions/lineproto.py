@@ -171,3 +171,42 @@ def field_specs(schema: T.StructType, names: Sequence[str]) -> dict[str, tuple[s
     """``{name: (column, type)}`` for :func:`fields_text` from a frame schema."""
     by_name = {f.name: f.dataType for f in schema.fields}
     return {n: (n, by_name[n]) for n in names}
+
+
+def variant_fields(fields: Column | str) -> Column:
+    """Sorted ``(key, kind, text)`` entries of an object in a VARIANT column:
+    any set of fields, each with the type of its own value. Kinds are
+    ``integer``, ``number``, ``boolean``, ``string``, ``null`` and ``nested``
+    (objects and arrays, which a point cannot hold); ``text`` is the encoded
+    value, null for the last two. Null where the column is no object."""
+    entries = F.map_entries(F.try_variant_get(_c(fields), "$", "map<string,variant>"))
+
+    def one(e: Column) -> Column:
+        value, kind = e["value"], F.schema_of_variant(e["value"])
+
+        def as_type(t: str) -> Column:
+            return F.try_variant_get(value, "$", t)
+
+        name = (
+            F.when(kind == "BIGINT", F.lit("integer"))
+            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("number"))
+            .when(kind == "BOOLEAN", F.lit("boolean"))
+            .when(kind == "STRING", F.lit("string"))
+            .when(kind == "VOID", F.lit("null"))
+            .otherwise(F.lit("nested"))
+        )
+        text = (
+            F.when(kind == "BIGINT", F.concat(as_type("bigint").cast("string"), F.lit(INTEGER_SUFFIX)))
+            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), format_floating(as_type("double")))
+            .when(kind == "BOOLEAN", as_type("boolean").cast("string"))
+            .when(kind == "STRING", quoted_string(as_type("string")))
+        )
+        return F.struct(e["key"].alias("key"), name.alias("kind"), text.alias("text"))
+
+    return F.array_sort(F.transform(entries, one))
+
+
+def variant_fields_text(entries: Column) -> Column:
+    """``k=v,...`` of :func:`variant_fields`; nulls are skipped."""
+    shown = F.filter(entries, lambda e: e["text"].isNotNull())
+    return F.array_join(F.transform(shown, lambda e: F.concat(escape_key(e["key"]), F.lit("="), e["text"])), ",")

@@ -19,6 +19,8 @@ from logengine.functions.lineproto import (
     point_line,
     tags_text_from_columns,
     tags_text_from_map,
+    variant_fields,
+    variant_fields_text,
 )
 from logengine.functions.time import epoch_us_ntz, to_nanos
 
@@ -131,6 +133,42 @@ def invalid_reason(
     return reason
 
 
+def _variant_parts(df: DataFrame, measurement: str | Column, fields: str, tags: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Rows with ``_entries``, and why one of them cannot become a point."""
+    parts = df.withColumn("_entries", variant_fields(fields))
+    m = F.lit(measurement) if isinstance(measurement, str) else measurement
+    entries = F.col("_entries")
+    reason = F.when(m.isNull() | (m == F.lit("")), F.lit("empty_measurement"))
+    if tags:
+        reason = reason.when(_any([F.col(t).isNull() for t in tags]), F.lit("null_tag"))
+    return parts, (
+        reason.when(entries.isNull(), F.lit("unreadable_fields"))
+        .when(F.exists(entries, lambda e: e["kind"] == "nested"), F.lit("nested_field"))
+        .when(~F.exists(entries, lambda e: e["text"].isNotNull()), F.lit("no_fields"))
+    )
+
+
+def encode_variant_points(df: DataFrame, measurement: str | Column, fields: str, tags: Sequence[str] = (),
+                          time_col: str | None = None, time_unit: str = "NANOSECONDS", keep: Sequence[str] = (),
+                          with_time: bool = True) -> DataFrame:
+    """``(*keep, line)``: points whose fields are an object in a VARIANT
+    column (``parse_json``, ``to_variant_object`` or a VARIANT table column):
+    each row has its own set of fields, each value its own type. Nulls are
+    skipped; rows that are no point are in :func:`invalid_variant_points`."""
+    parts, reason = _variant_parts(df, measurement, fields, tags)
+    t = time_ns(df, time_col, time_unit) if with_time else None
+    tags_text = tags_text_from_columns({k: F.col(k).cast("string") for k in tags})
+    line = point_line(measurement, tags_text, variant_fields_text(F.col("_entries")), t)
+    return parts.where(reason.isNull()).select(*keep, line.alias("line"))
+
+
+def invalid_variant_points(df: DataFrame, measurement: str | Column, fields: str, tags: Sequence[str] = (),
+                           keep: Sequence[str] = ()) -> DataFrame:
+    """``(*keep, reason)`` of the rows that :func:`encode_variant_points` leaves out."""
+    parts, reason = _variant_parts(df, measurement, fields, tags)
+    return parts.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def _any(cs: list[Column]) -> Column:
     out = cs[0]
     for c in cs[1:]:

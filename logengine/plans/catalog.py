@@ -293,6 +293,36 @@ def q_batch_tags(spark, sf):
     )
 
 
+def _field_sets(spark, sf):
+    """Events whose fields are JSON objects: another set for each row, and types by value."""
+    e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+
+    def every(n, text):
+        return F.when(F.col("event_id") % n == 0, text).otherwise(F.lit(""))
+
+    user = F.col("user_id").cast("string")
+    json = F.concat(
+        F.expr("substring(props, 1, length(props) - 1)"),
+        every(2, F.concat(F.lit(', "v": '), F.col("value").cast("decimal(18,2)").cast("string"))),
+        every(3, F.concat(F.lit(', "a b": '), (F.col("event_id") % 2 == 0).cast("string"))),
+        every(5, F.concat(F.lit(', "id": '), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"say \\"'), user, F.lit('\\""'))).otherwise(user))),
+        every(7, F.lit(', "gone": null')),
+        every(11, F.lit(', "nest": {"a": [1]}')),
+        F.when(F.col("event_id") % 13 == 0, F.lit(", oops")).otherwise(F.lit("}")),
+    )
+    only_null = F.when(F.col("event_id") % 17 == 0, F.lit('{"gone": null}')).when(F.col("event_id") % 19 == 0, F.lit("[1, 2]")).otherwise(json)
+    return e.select("event_id", "ts", "user_id", "event_type", F.try_parse_json(only_null).alias("fields"))
+
+
+def q_variant_points(spark, sf):
+    return points.encode_variant_points(_field_sets(spark, sf), F.col("event_type"), "fields", tags=["user_id"], time_col="ts",
+                                        keep=["event_id"])
+
+
+def q_variant_rejects(spark, sf):
+    return points.invalid_variant_points(_field_sets(spark, sf), F.col("event_type"), "fields", tags=["user_id"], keep=["event_id"])
+
+
 # -- 2.H batching ---------------------------------------------------------------------------------
 
 def _order_lines(spark, sf):
@@ -454,6 +484,8 @@ QUERIES: dict[str, Query] = {
     "legacy_number_fields": q_legacy_number_fields,
     "invalid_points": q_invalid_points,
     "batch_tags": q_batch_tags,
+    "variant_points": q_variant_points,
+    "variant_rejects": q_variant_rejects,
     "write_batches": q_write_batches,
     "oversize_batches": q_oversize_batches,
     "byte_batches": q_byte_batches,

@@ -254,6 +254,20 @@ ORACLE_SQL: dict[str, str] = {
         + " || ',o_orderstatus=batch o_custkey=' || o_custkey || 'i,o_orderstatus=' || " + fesc("o_orderstatus")
         + " || ',o_totalprice=' || " + fmt("o_totalprice") + " || ' ' || epoch_ns(o_orderdate) AS line FROM orders"
     ),
+    "variant_points": (
+        "SELECT event_id, event_type || ',user_id=' || user_id || ' ' || list_aggregate(list_sort(list_filter(["
+        "CASE WHEN event_id % 3 = 0 THEN 'a\\ b=' || (event_id % 2 = 0) END, "
+        "CASE WHEN event_id % 5 = 0 THEN 'id=' || CASE WHEN event_id % 2 = 0 THEN '\"say \\\"' || user_id || '\\\"\"' ELSE user_id || 'i' END END, "
+        "'k=' || CAST(props->>'k' AS BIGINT) || 'i', CASE WHEN event_id % 2 = 0 THEN 'v=' || "
+        + fmt("CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)") + " END], lambda x: x IS NOT NULL)), 'string_agg', ',') "
+        "|| ' ' || epoch_ns(ts) AS line FROM events "
+        "WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0"
+    ),
+    "variant_rejects": (
+        "SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'no_fields' WHEN event_id % 19 = 0 OR event_id % 13 = 0 THEN 'unreadable_fields' "
+        "WHEN event_id % 11 = 0 THEN 'nested_field' END AS reason FROM events "
+        "WHERE event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0"
+    ),
     "write_batches": (
         f"WITH l AS (SELECT 'orders_' || substr(o_orderpriority, 1, 1) AS db, 'autogen' AS rp, o_orderkey AS id, {ORDER_LINE} AS line "
         "FROM orders), b AS (SELECT *, CAST((row_number() OVER (PARTITION BY db, rp ORDER BY id) - 1) // 100 AS INTEGER) AS batch_no "

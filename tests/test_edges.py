@@ -479,3 +479,16 @@ def java_split_plain(text):
     while parts and parts[-1] == "":
         parts.pop()
     return parts
+
+
+def test_variant_fields_keep_the_type_of_each_value(spark):
+    docs = ['{"b": 1, "a": 1.0, "c": "1", "d": true, "e": null}', '{"x=y z": "q\\"uote \\\\ \\n", "n": -7}', '{"big": 12345678901234567890, "e": 1e3}',
+            '{"only": null}', '{}', '{"in": {"a": 1}}', '{"in": [1]}', '[1]', '7', 'broken {', None, '{"é": false}']
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, j string").withColumn("v", F.try_parse_json("j"))
+    lines = {r.id: r.line for r in points.encode_variant_points(df, "m", "v", keep=["id"], with_time=False).collect()}
+    assert lines.pop(2).startswith("m big=1234567890123456") and set(lines) == {0, 1, 11}
+    assert lines == {0: 'm a=1.0,b=1i,c="1",d=true', 1: 'm n=-7i,x\\=y\\ z="q\\"uote \\\\ \n"', 11: "m é=false"}
+    reasons = {r.id: r.reason for r in points.invalid_variant_points(df, "m", "v", keep=["id"]).collect()}
+    assert reasons == {3: "no_fields", 4: "no_fields", 5: "nested_field", 6: "nested_field", 7: "unreadable_fields",
+                       8: "unreadable_fields", 9: "unreadable_fields", 10: "unreadable_fields"}
+    assert points.encode_variant_points(df.limit(0), "m", "v").collect() == []
