@@ -157,10 +157,10 @@ def test_field_formats(spark):
 
 
 def test_point_line_and_keys(spark):
-    df = spark.createDataFrame([("test", 90, 9, 1, 1000)], "atag string, idle long, usertime long, system long, t long")
-    line = points.encode_points(df, "cpu", ["idle", "usertime", "system"], tags=["atag"], time_col="t",
+    df = spark.createDataFrame([("north", 71, 6, 23, 4200)], "site string, gusts long, rain long, calm long, t long")
+    line = points.encode_points(df, "weather", ["gusts", "rain", "calm"], tags=["site"], time_col="t",
                                 time_unit="MILLISECONDS").first()["line"]
-    assert line == "cpu,atag=test idle=90i,system=1i,usertime=9i 1000000000"
+    assert line == "weather,site=north calm=23i,gusts=71i,rain=6i 4200000000"
     df2 = spark.createDataFrame([("a b", "x,y=z", 1)], "k string, v string, f long")
     line2 = points.encode_points(df2, "m e", ["f"], tags={"t k": "v", "": "k"}, with_time=False).first()["line"]
     assert line2 == "m\\ e,t\\ k=x\\,y\\=z f=1i"
@@ -203,25 +203,25 @@ def test_oversize_payload(spark):
 
 
 def test_chunks_two_then_one(spark):
-    # SELECT * FROM disk with chunk size 2: three points (tags a, b, c) → 2 then 1
+    # SELECT * FROM gauge with chunk size 2: three points (tags a, b, c) → 2 then 1
     pts = spark.createDataFrame(
-        [("disk", i, {"atag": t}, 1000 + i, 1.0) for i, t in enumerate("abc")],
+        [("gauge", i, {"site": t}, 1000 + i, 1.0) for i, t in enumerate("abc")],
         "measurement string, point_id long, tags map<string,string>, time_ns long, value double",
     )
-    got = sorted((r["row_idx"], r["chunk"]) for r in chunked_result(pts, "disk", 2).collect())
+    got = sorted((r["row_idx"], r["chunk"]) for r in chunked_result(pts, "gauge", 2).collect())
     assert got == [(0, 0), (1, 0), (2, 1)]
-    per_tag = chunked_result(pts, "disk", 2, group_by_tags=True).collect()
+    per_tag = chunked_result(pts, "gauge", 2, group_by_tags=True).collect()
     assert sorted((r["series"], r["row_idx"], r["chunk"]) for r in per_tag) == [
-        ("atag=a", 0, 0), ("atag=b", 0, 0), ("atag=c", 0, 0)]
+        ("site=a", 0, 0), ("site=b", 0, 0), ("site=c", 0, 0)]
 
 
 def test_group_by_all_tags_three_series(spark):
     pts = spark.createDataFrame(
-        [("cpu", i, {"atag": f"test{i}"}, i, float(i)) for i in (3, 1, 2)],
+        [("weather", i, {"site": f"field{i}"}, i, float(i)) for i in (3, 1, 2)],
         "measurement string, point_id long, tags map<string,string>, time_ns long, value double",
     )
-    got = [r["series"] for r in group_by_all_tags(pts, "cpu").orderBy("series").collect()]
-    assert got == ["atag=test1", "atag=test2", "atag=test3"]
+    got = [r["series"] for r in group_by_all_tags(pts, "weather").orderBy("series").collect()]
+    assert got == ["site=field1", "site=field2", "site=field3"]
 
 
 def test_series_rows_from_document(spark):
