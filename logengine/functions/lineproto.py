@@ -173,6 +173,20 @@ def field_specs(schema: T.StructType, names: Sequence[str]) -> dict[str, tuple[s
     return {n: (n, by_name[n]) for n in names}
 
 
+def variant_kind(value: Column) -> Column:
+    """``integer``, ``number``, ``boolean``, ``string``, ``null`` or ``nested``
+    (objects and arrays): what a VARIANT value holds."""
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    return (
+        F.when(kind == "BIGINT", F.lit("integer"))
+        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("number"))
+        .when(kind == "BOOLEAN", F.lit("boolean"))
+        .when(kind == "STRING", F.lit("string"))
+        .when(kind == "VOID", F.lit("null"))
+        .otherwise(F.lit("nested"))
+    )
+
+
 def variant_fields(fields: Column | str) -> Column:
     """Sorted ``(key, kind, text)`` entries of an object in a VARIANT column:
     any set of fields, each with the type of its own value. Kinds are
@@ -182,24 +196,16 @@ def variant_fields(fields: Column | str) -> Column:
     entries = F.map_entries(F.try_variant_get(_c(fields), "$", "map<string,variant>"))
 
     def one(e: Column) -> Column:
-        value, kind = e["value"], F.schema_of_variant(e["value"])
+        value, name = e["value"], variant_kind(e["value"])
 
         def as_type(t: str) -> Column:
             return F.try_variant_get(value, "$", t)
 
-        name = (
-            F.when(kind == "BIGINT", F.lit("integer"))
-            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("number"))
-            .when(kind == "BOOLEAN", F.lit("boolean"))
-            .when(kind == "STRING", F.lit("string"))
-            .when(kind == "VOID", F.lit("null"))
-            .otherwise(F.lit("nested"))
-        )
         text = (
-            F.when(kind == "BIGINT", F.concat(as_type("bigint").cast("string"), F.lit(INTEGER_SUFFIX)))
-            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), format_floating(as_type("double")))
-            .when(kind == "BOOLEAN", as_type("boolean").cast("string"))
-            .when(kind == "STRING", quoted_string(as_type("string")))
+            F.when(name == "integer", F.concat(as_type("bigint").cast("string"), F.lit(INTEGER_SUFFIX)))
+            .when(name == "number", format_floating(as_type("double")))
+            .when(name == "boolean", as_type("boolean").cast("string"))
+            .when(name == "string", quoted_string(as_type("string")))
         )
         return F.struct(e["key"].alias("key"), name.alias("kind"), text.alias("text"))
 

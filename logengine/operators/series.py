@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logengine.functions.lineproto import render_tag_entries, tag_entries
+from logengine.functions.lineproto import render_tag_entries, tag_entries, variant_kind
 from logengine.functions.time import iso_to_millis, scale_epoch
 from logengine.operators.numbering import ordinal_within
 
@@ -26,12 +26,16 @@ RESULT_SCHEMA = (
 # Kept apart in the JSON options: a body that does not parse becomes a row
 # whose ``_bad`` holds it, instead of a null.
 _PARSE_SCHEMA = RESULT_SCHEMA + ", _bad STRING"
+# The same with cells that keep the type they have in the document.
+_TYPED_SCHEMA = _PARSE_SCHEMA.replace("ARRAY<ARRAY<STRING>>", "ARRAY<ARRAY<VARIANT>>")
 
 
-def parse_results(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
+def parse_results(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id", typed: bool = False) -> DataFrame:
     """``(doc_id, _r, _unreadable)``: the parsed document and whether its
-    body is null or no JSON object of the expected shape."""
-    parsed = F.from_json(F.col(body_col), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    body is null or no JSON object of the expected shape. ``typed`` keeps
+    cells as VARIANT instead of text."""
+    schema = _TYPED_SCHEMA if typed else _PARSE_SCHEMA
+    parsed = F.from_json(F.col(body_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     r = docs.select(id_col, parsed.alias("_r"))
     return r.withColumn("_unreadable", F.col("_r").isNull() | F.col("_r._bad").isNotNull())
 
@@ -68,6 +72,68 @@ def series_rows(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id")
     )
 
 
+def _merged_kind(kinds: Column) -> Column:
+    """The kind of a column whose cells have these kinds: nulls have no say,
+    integers and numbers are numbers, other mixtures are ``mixed``."""
+    own = F.array_distinct(F.filter(kinds, lambda k: k != "null"))
+    return (
+        F.when(F.size(own) == 0, F.lit("null"))
+        .when(F.size(own) == 1, F.get(own, F.lit(0)))
+        .when(F.forall(own, lambda k: k.isin("integer", "number")), F.lit("number"))
+        .otherwise(F.lit("mixed"))
+    )
+
+
+def typed_cells(docs: DataFrame, body_col: str = "body", id_col: str = "doc_id") -> DataFrame:
+    """One row per cell, with the type that the document gives it:
+    ``(doc_id, result_idx, series_idx, name, row_idx, col_idx, column, kind,
+    column_kind, integer_value, number_value, boolean_value, string_value,
+    error)``.
+
+    ``kind`` is ``integer``, ``number``, ``boolean``, ``string``, ``null``
+    (also a cell that a short row lacks) or ``nested`` (its JSON is in
+    ``string_value``); ``5``, ``5.0`` and ``"5"`` differ. Integers are in
+    ``number_value`` too. ``column_kind`` is the merged kind of the column
+    over all rows of the series that fit their header. Documents, results
+    and series without cells, unreadable bodies and uneven rows keep one row
+    as in :func:`series_rows`. All work is per document, no shuffle."""
+    r = parse_results(docs, body_col, id_col, typed=True).select(
+        id_col, "_r", F.when(F.col("_unreadable"), F.lit(UNREADABLE)).otherwise(F.col("_r.error")).alias("_error")
+    )
+    res = r.select(id_col, "_error", F.posexplode_outer("_r.results").alias("result_idx", "_res"))
+    ser = res.select(
+        id_col, "result_idx", F.coalesce("_res.error", "_error").alias("_error"),
+        F.posexplode_outer("_res.series").alias("series_idx", "_s"),
+    )
+    header = F.coalesce(F.col("_s.columns"), F.array().cast("array<string>"))
+    fitting = F.filter("_s.values", lambda v: F.size(v) <= F.size(header))
+    kinds = F.transform(header, lambda c, i: _merged_kind(F.transform(fitting, lambda v: variant_kind(F.get(v, i)))))
+    vals = ser.select(
+        id_col, "result_idx", "series_idx", "_error", F.col("_s.name").alias("name"),
+        header.alias("_cols"), kinds.alias("_kinds"), F.posexplode_outer("_s.values").alias("row_idx", "_v"),
+    )
+    fits = F.size("_v") <= F.size("_cols")
+    cells = F.transform("_cols", lambda c, i: F.struct(
+        c.alias("column"), F.get(F.col("_kinds"), i).alias("kind"), F.get(F.col("_v"), i).alias("value")))
+    each = vals.select(
+        id_col, "result_idx", "series_idx", "name", "row_idx",
+        F.when(F.col("_v").isNotNull() & ~fits, F.lit(UNEVEN)).otherwise(F.col("_error")).alias("error"),
+        F.posexplode_outer(F.when(F.col("_v").isNotNull() & fits, cells)).alias("col_idx", "_c"),
+    )
+    each = each.select("*", F.col("_c.column").alias("column"), F.col("_c.kind").alias("column_kind"), F.col("_c.value").alias("_x"))
+    each = each.withColumn("kind", F.when(F.col("column").isNotNull(), variant_kind(F.col("_x"))))
+
+    def value(type_: str, *kinds: str) -> Column:
+        return F.when(F.col("kind").isin(*kinds), F.try_variant_get("_x", "$", type_))
+
+    return each.select(
+        id_col, "result_idx", "series_idx", "name", "row_idx", "col_idx", "column", "kind", "column_kind",
+        value("bigint", "integer").alias("integer_value"), value("double", "integer", "number").alias("number_value"),
+        value("boolean", "boolean").alias("boolean_value"), value("string", "string", "nested").alias("string_value"),
+        "error",
+    )
+
+
 def _uneven(res: Column) -> Column:
     """Some row of some series of a result has more cells than its header."""
     def long_row(s: Column) -> Column:

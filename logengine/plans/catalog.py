@@ -396,6 +396,31 @@ def q_series_rows(spark, sf):
     )
 
 
+def _typed_documents(spark, sf):
+    """One result document per order: a column of integers and numbers, one of cells of any type."""
+    o = read_table(spark, sf, "orders", ["o_orderkey"])
+    k = F.col("o_orderkey")
+    text = k.cast("string")
+
+    def any_cell(m):
+        return (
+            F.when(m == 0, text).when(m == 1, F.concat(F.lit('"'), text, F.lit('"'))).when(m == 2, F.concat(text, F.lit(".0")))
+            .when(m == 3, (k % 2 == 0).cast("string")).when(m == 4, F.lit("null"))
+            .when(m == 5, F.concat(F.lit('{"a":['), text, F.lit("]}"))).otherwise(F.concat(text, F.lit("e-1")))
+        )
+
+    second = F.when(k % 3 == 0, F.lit("null")).when(k % 3 == 1, F.concat(text, F.lit(".5"))).otherwise((k + 1).cast("string"))
+    body = F.concat(
+        F.lit('{"results":[{"series":[{"name":"typed","columns":["n","x"],"values":[['), text, F.lit(","), any_cell(k % 7),
+        F.lit("],["), second, F.lit(","), any_cell((k + k % 2) % 7), F.lit("]]}]}]}"),
+    )
+    return o.select(k.alias("doc_id"), body.alias("body"))
+
+
+def q_typed_cells(spark, sf):
+    return series.typed_cells(_typed_documents(spark, sf)).drop("result_idx", "series_idx", "name", "error")
+
+
 def q_select_measurement(spark, sf):
     p = series.with_series(series.select_measurement(points_table(spark, sf), "orders"))
     return p.select("point_id", "series", "time_ns", "value")
@@ -490,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "oversize_batches": q_oversize_batches,
     "byte_batches": q_byte_batches,
     "series_rows": q_series_rows,
+    "typed_cells": q_typed_cells,
     "select_measurement": q_select_measurement,
     "group_by_all_tags": q_group_by_all_tags,
     "series_summary": q_series_summary,

@@ -309,6 +309,24 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT -1 - doc_id, 'row longer than its header', 0, 0, 'short', NULL, 1, NULL, NULL, NULL, NULL "
         "FROM d WHERE doc_id % 20 = 4"
     ),
+    "typed_cells": (
+        "WITH k AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t, CAST(r AS INTEGER) AS row_idx FROM orders, range(2) s(r)), "
+        "m AS (SELECT *, (k + row_idx * (k % 2)) % 7 AS m FROM k), "
+        "c AS (SELECT k, row_idx, CAST(0 AS INTEGER) AS col_idx, 'n' AS \"column\", CAST(CASE WHEN row_idx = 0 THEN t WHEN k % 3 = 0 THEN 'null' "
+        "WHEN k % 3 = 1 THEN t || '.5' ELSE CAST(k + 1 AS VARCHAR) END AS JSON) AS j FROM m UNION ALL "
+        "SELECT k, row_idx, 1, 'x', CAST(CASE m WHEN 0 THEN t WHEN 1 THEN '\"' || t || '\"' WHEN 2 THEN t || '.0' "
+        "WHEN 3 THEN CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END WHEN 4 THEN 'null' WHEN 5 THEN '{\"a\":[' || t || ']}' "
+        "ELSE t || 'e-1' END AS JSON) FROM m), "
+        "d AS (SELECT *, CASE json_type(j) WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' "
+        "WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'string' WHEN 'NULL' THEN 'null' ELSE 'nested' END AS kind FROM c), "
+        "a AS (SELECT *, list_sort(list_distinct(list_filter(list(kind) OVER (PARTITION BY k, col_idx), lambda x: x <> 'null'))) AS kinds FROM d) "
+        "SELECT k AS doc_id, row_idx, col_idx, \"column\", kind, CASE WHEN len(kinds) = 0 THEN 'null' WHEN len(kinds) = 1 THEN kinds[1] "
+        "WHEN kinds = ['integer', 'number'] THEN 'number' ELSE 'mixed' END AS column_kind, "
+        "CASE WHEN kind = 'integer' THEN CAST(j AS BIGINT) END AS integer_value, "
+        "CASE WHEN kind IN ('integer', 'number') THEN CAST(j AS DOUBLE) END AS number_value, "
+        "CASE WHEN kind = 'boolean' THEN CAST(j AS BOOLEAN) END AS boolean_value, "
+        "CASE WHEN kind = 'string' THEN j->>'$' WHEN kind = 'nested' THEN CAST(j AS VARCHAR) END AS string_value FROM a"
+    ),
     "select_measurement": (
         "SELECT o_orderkey AS point_id, 'o_orderpriority=' || " + esc("o_orderpriority") + " || ',o_orderstatus=' || "
         + esc("o_orderstatus") + " AS series, epoch_ns(o_orderdate) AS time_ns, o_totalprice AS value FROM orders"

@@ -15,7 +15,7 @@ from logengine.functions import lineproto as lp
 from logengine.functions.text import java_split
 from logengine.functions.time import iso_to_millis, java_timestamp_text, millis_to_iso, precision_name, scale_epoch
 from logengine.operators import aggregate as agg
-from logengine.operators import parse, points, shape, windows
+from logengine.operators import parse, points, series, shape, windows
 from logengine.operators.batching import DATAGRAM_LIMIT, bucket_batches, oversize_batches, write_batches
 from logengine.operators.greedy import greedy_batches
 from logengine.operators.numbering import ordinal_within, range_bucket
@@ -492,3 +492,27 @@ def test_variant_fields_keep_the_type_of_each_value(spark):
     assert reasons == {3: "no_fields", 4: "no_fields", 5: "nested_field", 6: "nested_field", 7: "unreadable_fields",
                        8: "unreadable_fields", 9: "unreadable_fields", 10: "unreadable_fields"}
     assert points.encode_variant_points(df.limit(0), "m", "v").collect() == []
+
+
+def test_typed_cells_tell_types_apart(spark):
+    body = """{"results":[{"series":[{"name":"s","columns":["a","b"],
+        "values":[[5,"5"],[5.0,null],[true],[1,2,3],[12345678901234567890,{"z":[1]}]]}]},{"error":"bad"},{}]}"""
+    df = spark.createDataFrame([(1, body), (2, "oops"), (3, None), (4, '{"error":"late"}')], "doc_id long, body string")
+    rows = series.typed_cells(df).collect()
+    cells = {(r.row_idx, r.column): (r.kind, r.column_kind) for r in rows if r.column}
+    assert cells == {
+        (0, "a"): ("integer", "mixed"), (0, "b"): ("string", "mixed"), (1, "a"): ("number", "mixed"), (1, "b"): ("null", "mixed"),
+        (2, "a"): ("boolean", "mixed"), (2, "b"): ("null", "mixed"), (4, "a"): ("number", "mixed"), (4, "b"): ("nested", "mixed"),
+    }
+    values = {(r.row_idx, r.column): [r.integer_value, r.number_value, r.boolean_value, r.string_value] for r in rows if r.column}
+    assert values[0, "a"] == [5, 5.0, None, None] and values[0, "b"] == [None, None, None, "5"]
+    assert values[1, "a"] == [None, 5.0, None, None] and values[1, "b"] == [None] * 4
+    assert values[2, "a"] == [None, None, True, None] and values[4, "b"] == [None, None, None, '{"z":[1]}']
+    errors = sorted((r.doc_id, str(r.result_idx), str(r.error)) for r in rows if not r.column)
+    assert errors == [
+        (1, "0", series.UNEVEN), (1, "1", "bad"), (1, "2", "None"), (2, "None", series.UNREADABLE), (3, "None", series.UNREADABLE),
+        (4, "None", "late"),
+    ]
+    numbers = spark.createDataFrame([(1, '{"results":[{"series":[{"columns":["a","b"],"values":[[1,null],[2.5],[null]]}]}]}')], "doc_id long, body string")
+    assert {(r.column, r.column_kind) for r in series.typed_cells(numbers).collect()} == {("a", "number"), ("b", "null")}
+    assert series.typed_cells(df.limit(0)).collect() == []
