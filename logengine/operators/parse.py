@@ -92,6 +92,19 @@ def rejects(rows: DataFrame) -> DataFrame:
     return rows.where(~marked | ~enough).select("off", "record_ts", "value", reason.alias("reason"))
 
 
+def observe_rows(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with counts under ``name`` in the metrics of the query that
+    reads them: ``rows_read`` and the reasons of :func:`rejects`. Counted as
+    the rows pass, no further job."""
+    marked = F.coalesce(has_level_marker("value"), F.lit(False))
+    return rows.observe(
+        name,
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(~marked).alias("no_level_marker"),
+        F.count_if(marked & ~_five_tokens()).alias("too_few_tokens"),
+    )
+
+
 def untimed(rows: DataFrame) -> DataFrame:
     """Records whose own time does not parse: what an event-time stream
     leaves out."""

@@ -188,9 +188,18 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
         state.setTimeoutTimestamp(last + ttl_ms)
         yield pd.DataFrame({"word": [key[0]], "total": [total]})
 
+    return _word_batches(rows, ts_col, watermark).groupBy("word").applyInPandasWithState(
+        update, "word string, total long", "total long, last_ms long", "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def _word_batches(rows: DataFrame, ts_col: str, watermark: str | None) -> DataFrame:
+    """``(word, ts_col, ms, n)``: words counted per Arrow batch before the
+    shuffle, so a hot word sends one row per batch to its state."""
     rows, watermark = _stamped(rows, ts_col, watermark)
     if not watermark:
         raise ValueError(f"{ts_col} needs a watermark")
+
     def combine(batches):
         for pdf in batches:
             yield pdf.groupby("word", as_index=False).agg(**{ts_col: (ts_col, "max"), "n": (ts_col, "size")})
@@ -198,9 +207,7 @@ def running_word_count_ttl_stream(rows: DataFrame, ttl_ms: int, watermark: str |
     w = agg.words(rows, "value", keep=(ts_col,), with_pos=False).select("word", ts_col)
     w = w.mapInPandas(combine, f"word string, {ts_col} timestamp, n long").withWatermark(ts_col, watermark)
     # the event-time column stays in the input: it carries the watermark
-    return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms"), "n").groupBy("word").applyInPandasWithState(
-        update, "word string, total long", "total long, last_ms long", "update", GroupStateTimeout.EventTimeTimeout
-    )
+    return w.select("word", ts_col, F.unix_millis(ts_col).alias("ms"), "n")
 
 
 def key_count_stream(rows: DataFrame, ts_col: str = ARRIVAL, watermark: str | None = None,
