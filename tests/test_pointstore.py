@@ -23,7 +23,7 @@ def _days(spark, n):
 
 def test_a_measurement_comes_in_time_order_across_files_and_writes(spark, scratch):
     path = os.path.join(scratch, "points")
-    table = _days(spark, 30)
+    table = _days(spark, 60)
     for odd in (0, 1):
         write_points(table.where(F.col("point_id") % 2 == odd), path)
     for name in ("orders", "lineitem"):
@@ -35,7 +35,7 @@ def test_a_measurement_comes_in_time_order_across_files_and_writes(spark, scratc
 
 def test_a_time_range_reads_its_days_only(spark, scratch, capsys):
     path = os.path.join(scratch, "points")
-    table = _days(spark, 30)
+    table = _days(spark, 60)
     write_points(table, path)
     start, end = MIDDLE + 1, MIDDLE + 5 * DAY_NS
     got = read_points(spark, path, "lineitem", start, end)
