@@ -15,11 +15,14 @@ first. A null line is an error: every point counted is in a payload.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logengine.operators.greedy import greedy_batches
 from logengine.operators.numbering import ordinal_within, positions
+from logengine.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for right results)
@@ -63,6 +66,14 @@ def _sizes(lines: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+def _written(sizes: DataFrame) -> DataFrame:
+    """The sizes as Parquet in the shared folder: numbering reads them four times (or the ids
+    alone), and each time would encode and hash every line anew."""
+    path = f"{checkpoint_dir(sizes.sparkSession).rstrip('/')}/sizes-{uuid.uuid4().hex}"
+    sizes.write.parquet(path)
+    return sizes.sparkSession.read.schema(sizes.schema).parquet(path)
+
+
 def _payloads(numbered: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     return numbered.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_points"),
@@ -116,8 +127,10 @@ def byte_batches(lines: DataFrame, limit: int = DATAGRAM_LIMIT, id_col: str = "i
     order, each as long as the limit allows (lines newline-terminated): a
     payload takes lines until the next one no longer fits, which gives the
     fewest payloads, whatever the longest line is. See
-    :mod:`logengine.operators.greedy` for how that is done in parallel. A
+    :mod:`logengine.operators.greedy` for how that is done in parallel. Lines
+    are encoded once, their sizes written to ``spark.checkpoint.dir``. A
     line longer than ``limit`` on its own fails the job, as a datagram could
     not carry it."""
-    placed = positions(_sizes(lines, id_col), GROUP, ["id", "_tie"], out_col="_at", size_col="n", lead=1)
+    sizes = _written(_sizes(lines, id_col))
+    placed = positions(sizes, GROUP, ["id", "_tie"], out_col="_at", size_col="n", lead=1)
     return greedy_batches(placed, GROUP, limit)

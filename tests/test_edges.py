@@ -391,6 +391,23 @@ def test_byte_batches_fit_the_datagram_limit(spark):
         byte_batches(df.unionByName(one), 50_000).collect()
 
 
+def test_byte_batches_encode_each_line_once(spark):
+    from logengine.operators.batching import byte_batches
+
+    n, made = 3000, spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def line(i):
+        made.add(1)
+        return "x" * (i % 97 + 1)
+
+    df = spark.range(n).select(F.lit("db").alias("db"), F.lit("rp").alias("rp"), (F.col("id") % 50).alias("id"),
+                               line("id").alias("line"))
+    got = byte_batches(df, 1000).collect()
+    assert sum(r["n_points"] for r in got) == n and max(r["n_bytes"] for r in got) <= 1000
+    assert made.value == n
+
+
 def plain_cut(sizes, limit):
     out, held = [], []
     for n in sizes:
